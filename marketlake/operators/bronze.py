@@ -17,14 +17,13 @@ def decode(messages: DataFrame, table: str) -> DataFrame:
     if dict(messages.dtypes)["value"] == "binary":
         text = value.cast("string")
         value = F.when(F.is_valid_utf8(text), text).otherwise(F.make_valid_utf8(text))
-    parsed = messages.withColumn("_raw", value).withColumn(
-        "_p",
-        F.from_json("_raw", wire_schema(table, _CORRUPT), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}),
+    record = F.from_json(
+        "_raw", wire_schema(table, _CORRUPT), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    # An empty text parses to NULL rather than to a corrupt record.
-    corrupt = F.when(F.col("_p").isNull(), F.coalesce("_raw", F.lit(""))).otherwise(F.col(f"_p.{_CORRUPT}"))
-    names = wire_schema(table).names
-    return parsed.select(*[F.col(f"_p.{n}").alias(n) for n in names], "_raw", corrupt.alias(_CORRUPT))
+    # Generated rather than projected, so that a filter on `_corrupt` does not parse the text again.
+    parsed = messages.select(value.alias("_raw")).select("_raw", F.inline(F.array(record)))
+    blank = F.col("_raw").isNull() | (F.trim("_raw") == "")
+    return parsed.withColumn(_CORRUPT, F.when(blank, F.coalesce("_raw", F.lit(""))).otherwise(F.col(_CORRUPT)))
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:

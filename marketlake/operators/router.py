@@ -45,19 +45,20 @@ def route(
     topic = F.try_element_at(F.create_map(*pairs), F.col("event_type"))
 
     text = F.col("value").cast("string")
-    parsed = raw.withColumn(
-        "_e", F.from_json(text, _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    )
-    event_type, data = F.col("_e.event_type"), F.col("_e.data")
+    kept = [c for c in raw.columns if c not in ("value", "topic", "key", "event_type")]
+    envelope = F.from_json(text, _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    # Generated rather than projected: filters on the labels below must not be pushed into a second parse.
+    parsed = raw.select(*kept, text.alias("_line"), F.inline(F.array(envelope)))
+    line, event_type, data = F.col("_line"), F.col("event_type"), F.col("data")
     # `[...]`, `5` and `null` are JSON but no envelope; the second parse runs for rejected lines only.
-    unreadable = F.col("_e").isNull() | F.col("_e._corrupt").isNotNull()
+    unreadable = F.col("_corrupt").isNotNull() | line.isNull() | (F.trim(line) == "")
     empty = (
         event_type.isNull() | (event_type == "") | data.isNull()
         | ~data.startswith("{") | data.rlike(r"^\{\s*\}$")
     )
     disposition = (
-        F.when(unreadable, F.when(F.try_parse_json(text).isNull(), BAD_JSON).otherwise(MALFORMED))
-        .when(F.col("_e.type").eqNullSafe("welcome"), CONTROL)
+        F.when(unreadable, F.when(F.try_parse_json(line).isNull(), BAD_JSON).otherwise(MALFORMED))
+        .when(F.col("type").eqNullSafe("welcome"), CONTROL)
         .when(empty, MALFORMED)
     )
     if skip_unknown:
@@ -65,16 +66,15 @@ def route(
         disposition = disposition.when(~F.map_contains_key(known, event_type), UNKNOWN_SKIPPED)
     disposition = disposition.otherwise(PUBLISHED)
 
-    routed = parsed.withColumns({"disposition": disposition, "event_type": event_type, "_data": data})
+    routed = parsed.withColumn("disposition", disposition)
     sent = F.col("disposition") == PUBLISHED
     routed = routed.select(
-        *[c for c in raw.columns if c != "value"],
-        F.col("disposition"),
-        F.col("event_type"),
+        *kept,
+        "disposition",
+        "event_type",
         F.when(sent, F.coalesce(topic, F.lit(UNKNOWN_TOPIC))).alias("topic"),
-        F.when(sent, F.coalesce(F.get_json_object("_data", "$.symbol"), F.col("event_type"))).alias("key"),
-        F.when(sent, _with_event_type(F.col("event_type"), F.col("_data"))).otherwise(F.col("value").cast("string"))
-        .alias("value"),
+        F.when(sent, F.coalesce(F.get_json_object(data, "$.symbol"), event_type)).alias("key"),
+        F.when(sent, _with_event_type(event_type, data)).otherwise(line).alias("value"),
     )
     if observation is not None:
         routed = routed.observe(observation, *counter_columns())

@@ -281,3 +281,17 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("table_name"), F.col("user_id").alias("n_rows"),
         (ended - took).alias("started_at"), ended.alias("ended_at"),
     )
+
+
+def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """purchase events as trades in the symbols and days of the quotes and halts."""
+    k = F.col("k")
+    return _events(spark, sf_dir, "purchase").select(
+        *_event_header("TradeExecuted", "E"),
+        F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("trade_id"),
+        _money(F.col("value")).alias("price"),
+        (k + 1).cast("string").alias("quantity"),
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("buyer_agent_id"),
+        F.concat(F.lit("C"), (F.col("user_id") + k).cast("string")).alias("seller_agent_id"),
+        (k % 2 == 0).alias("is_aggressive_buy"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,8 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 def on_dates(dates: Iterable[str | None], column: str = EVENT_DATE) -> Column:
     """Rows of the given dates; None stands for rows without a usable timestamp."""
     dates = list(dates)
-    hit = F.col(column).isin([F.lit(d).cast("date") for d in dates if d is not None])
+    days = ", ".join(f"DATE'{date.fromisoformat(d)}'" for d in dates if d is not None)
+    hit = F.expr(f"{column} IN ({days})") if days else F.lit(False)
     return hit | F.col(column).isNull() if None in dates else hit
 
 
@@ -33,8 +35,8 @@ class Lake:
         return f"{self.base.rstrip('/')}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        fs, path = self._fs(self.path(layer, table))
-        return fs.exists(path)
+        """Whether the table holds any file; a write of no rows leaves an empty folder behind."""
+        return any(not name.startswith(("_S", "_temporary", ".")) for name in self._files(self.path(layer, table)))
 
     def read(
         self,
