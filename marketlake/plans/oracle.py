@@ -98,6 +98,17 @@ SELECT 'TradeExecuted' AS event_type, 'E' || n AS event_id, timestamp, symbol, '
        'C' || (user_id + k) AS seller_agent_id, CASE WHEN k % 2 = 0 THEN 'buy' ELSE 'sell' END AS side_normalized, ts
 FROM ev WHERE kind = 'purchase' AND value > 0"""
 
+PARTS["w_event_orders"] = f"""
+SELECT CASE copy WHEN 'X' THEN 'OrderCancelled' ELSE 'OrderPlaced' END AS event_type, copy || n AS event_id, symbol,
+       CASE WHEN k <> 50 THEN 'O' || n END AS order_id, CASE WHEN copy <> 'X' THEN CASE WHEN k % 2 = 0 THEN 'Buy' ELSE 'Sell' END END AS side,
+       CASE WHEN copy <> 'X' THEN ['Market', 'Limit', 'StopLoss', 'StopLimit', 'Iceberg'][k % 5 + 1] END AS order_type,
+       CASE WHEN copy <> 'X' AND k % 5 <> 0 THEN CAST(value AS VARCHAR) END AS price,
+       CASE WHEN copy <> 'X' AND k <> 60 THEN CAST(k + 1 AS VARCHAR) END AS quantity, CASE WHEN copy <> 'X' THEN 'C' || user_id END AS agent_id,
+       CASE WHEN copy <> 'X' THEN ['RetailTrader', 'InstitutionalInvestor', 'MarketMaker', 'HighFrequencyTrader', 'Arbitrageur'][user_id % 5 + 1] END AS agent_type,
+       ts + to_days(CASE copy WHEN 'X' THEN 2 WHEN 'R' THEN 1 ELSE 0 END) AS ts
+FROM (SELECT *, unnest(['P', 'R', 'X']) AS copy FROM ev WHERE kind = 'view')
+WHERE copy = 'P' OR (copy = 'R' AND k % 25 = 0) OR (copy = 'X' AND k % 10 = 0)"""
+
 PARTS["s_trades"] = """
 SELECT *, reasons AS _invalid_reasons, CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS _validation_status
 FROM (SELECT *, concat_ws('|', CASE WHEN price_cast IS NULL THEN 'null_price' END, CASE WHEN quantity_cast IS NULL THEN 'null_quantity' END,
@@ -108,7 +119,8 @@ FROM (SELECT *, concat_ws('|', CASE WHEN price_cast IS NULL THEN 'null_price' EN
                    row_number() OVER (PARTITION BY trade_id, symbol, timestamp ORDER BY event_id) > 1 AS _is_duplicate
             FROM w_trades))"""
 
-PARTS["s_orders"] = """
+def _stage_orders(wire: str) -> str:
+    return f"""
 SELECT *, reasons AS _invalid_reasons, CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS _validation_status
 FROM (SELECT *, concat_ws('|', CASE WHEN order_id IS NULL THEN 'null_order_id' END, CASE WHEN symbol IS NULL THEN 'null_symbol' END,
              CASE WHEN ts IS NULL THEN 'null_timestamp' END,
@@ -119,10 +131,14 @@ FROM (SELECT *, concat_ws('|', CASE WHEN order_id IS NULL THEN 'null_order_id' E
                    CASE agent_type WHEN 'RetailTrader' THEN 'retail' WHEN 'InstitutionalInvestor' THEN 'institutional'
                         WHEN 'MarketMaker' THEN 'market_maker' WHEN 'HighFrequencyTrader' THEN 'hft' ELSE 'unknown' END AS agent_type_normalized,
                    CASE WHEN event_type = 'OrderCancelled' THEN 'cancellation_event'
-                        WHEN order_id IN (SELECT order_id FROM w_orders WHERE event_type = 'OrderCancelled' AND order_id IS NOT NULL) THEN 'cancelled'
+                        WHEN order_id IN (SELECT order_id FROM {wire} WHERE event_type = 'OrderCancelled' AND order_id IS NOT NULL) THEN 'cancelled'
                         ELSE 'open' END AS fill_status,
                    event_type = 'OrderPlaced' AND row_number() OVER (PARTITION BY event_type, order_id ORDER BY ts, event_id) > 1 AS _is_duplicate
-            FROM w_orders))"""
+            FROM {wire}))"""
+
+
+PARTS["s_orders"] = _stage_orders("w_orders")
+PARTS["s_event_orders"] = _stage_orders("w_event_orders")
 
 PARTS["s_quotes"] = """
 SELECT *, reasons AS _invalid_reasons, CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS _validation_status
@@ -140,12 +156,20 @@ PARTS["trades_ok"] = "SELECT *, CAST(ts AS DATE) AS trade_date FROM s_trades WHE
 PARTS["orders_ok"] = "SELECT * FROM s_orders WHERE _validation_status = 'valid' AND NOT _is_duplicate AND event_type <> 'OrderCancelled'"
 PARTS["quotes_ok"] = "SELECT *, CAST(ts AS DATE) AS trade_date FROM s_quotes WHERE _validation_status = 'valid'"
 
-PARTS["g_bars"] = """
+PARTS["event_orders_ok"] = "SELECT * FROM s_event_orders WHERE _validation_status = 'valid' AND NOT _is_duplicate AND event_type <> 'OrderCancelled'"
+
+
+def _bars(trades: str) -> str:
+    return f"""
 SELECT symbol, trade_date, arg_min(price_cast, (ts, trade_id, price_cast, quantity_cast)) AS open, max(price_cast) AS high, min(price_cast) AS low,
        arg_max(price_cast, (ts, trade_id, price_cast, quantity_cast)) AS close, CAST(sum(CAST(quantity_cast AS DECIMAL(18,2))) AS DOUBLE) AS volume,
        CAST(sum(CAST(price_cast AS DECIMAL(18,2)) * CAST(quantity_cast AS DECIMAL(18,2))) AS DOUBLE)
          / CAST(sum(CAST(quantity_cast AS DECIMAL(18,2))) AS DOUBLE) AS vwap, count(*) AS trade_count
-FROM trades_ok GROUP BY symbol, trade_date"""
+FROM {trades} GROUP BY symbol, trade_date"""
+
+
+PARTS["g_bars"] = _bars("trades_ok")
+PARTS["g_event_bars"] = _bars("(SELECT *, CAST(ts AS DATE) AS trade_date FROM w_event_trades)")
 
 PARTS["g_stats"] = """
 SELECT symbol, CAST(ts AS DATE) AS trade_date, CAST(vwap AS DOUBLE) AS stats_vwap, CAST(volume AS DOUBLE) AS stats_volume
@@ -163,28 +187,40 @@ FROM (SELECT symbol, trade_date, avg(spread_bps) AS s, avg(abs(depth_imbalance))
 LEFT JOIN (SELECT symbol, CAST(ts AS DATE) AS trade_date, count(*) AS trade_count, sum(quantity_cast) AS total_volume FROM w_event_trades GROUP BY ALL) t
   ON q.symbol = t.symbol AND q.trade_date = t.trade_date"""
 
-PARTS["g_agents"] = """
-SELECT agent_id, agent_type_normalized AS agent_type FROM orders_ok WHERE agent_id IS NOT NULL AND agent_type_normalized <> 'unknown'
+def _agents(orders: str) -> str:
+    return f"""
+SELECT agent_id, agent_type_normalized AS agent_type FROM {orders} WHERE agent_id IS NOT NULL AND agent_type_normalized <> 'unknown'
 GROUP BY agent_id, agent_type_normalized QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY count(*) DESC, agent_type_normalized) = 1"""
 
-PARTS["g_sides"] = """
+
+PARTS["g_agents"] = _agents("orders_ok")
+PARTS["g_event_agents"] = _agents("event_orders_ok")
+
+
+def _sides(trades: str) -> str:
+    return f"""
 SELECT trade_id, symbol, trade_date, price_cast, quantity_cast AS volume, 'buy' AS side, buyer_agent_id AS agent_id,
-       -(CAST(price_cast AS DECIMAL(18,2)) * CAST(quantity_cast AS DECIMAL(18,2))) AS cash FROM trades_ok
+       -(CAST(price_cast AS DECIMAL(18,2)) * CAST(quantity_cast AS DECIMAL(18,2))) AS cash FROM {trades}
 UNION ALL
 SELECT trade_id, symbol, trade_date, price_cast, quantity_cast, 'sell', seller_agent_id,
-       CAST(price_cast AS DECIMAL(18,2)) * CAST(quantity_cast AS DECIMAL(18,2)) FROM trades_ok"""
+       CAST(price_cast AS DECIMAL(18,2)) * CAST(quantity_cast AS DECIMAL(18,2)) FROM {trades}"""
+
 
+PARTS["g_sides"] = _sides("trades_ok")
+PARTS["g_event_sides"] = _sides("(SELECT *, CAST(ts AS DATE) AS trade_date FROM w_event_trades)")
 
-def _pnl(agents: str) -> str:
+
+def _pnl(agents: str, sides: str = "g_sides") -> str:
     return f"""
 SELECT agent_type, trade_date, CAST(sum(cash) AS DOUBLE) AS realized_pnl, CAST(sum(vol) AS DOUBLE) AS total_volume, CAST(sum(n) AS BIGINT) AS trade_count,
        round(CAST(sum(cash) AS DOUBLE) / count(*), 4) AS avg_pnl_per_symbol, count(DISTINCT symbol) AS symbols_traded
 FROM (SELECT coalesce(agent_type, 'unknown') AS agent_type, symbol, trade_date, sum(cash) AS cash, sum(CAST(volume AS DECIMAL(18,2))) AS vol, count(*) AS n
-      FROM g_sides LEFT JOIN ({agents}) a USING (agent_id) GROUP BY ALL)
+      FROM {sides} LEFT JOIN ({agents}) a USING (agent_id) GROUP BY ALL)
 GROUP BY agent_type, trade_date"""
 
 
 PARTS["g_pnl"] = _pnl("SELECT * FROM g_agents")
+PARTS["g_event_pnl"] = _pnl("SELECT * FROM g_event_agents", "g_event_sides")
 
 PARTS["g_pairs"] = """
 SELECT h.symbol, h.seq AS halt_seq, CAST(h.ts AS DATE) AS halt_date, h.ts AS halt_ts, r.ts AS resume_ts,
@@ -363,25 +399,38 @@ SELECT topic, key, event_type, event_type AS payload_event_type, event_id, times
 UNION ALL SELECT 'stock.unknown', 'Heartbeat', 'Heartbeat', 'Heartbeat', 'N' || n, NULL FROM digits WHERE digit = 2
 UNION ALL SELECT 'stock.agents', 'AgentAction', 'AgentAction', 'Own', 'N' || n, NULL FROM digits WHERE digit = 5"""
 
+BAD_ORDER = "reasons <> '' OR _is_duplicate"
 LAYER_ROWS = {
-    "bronze": {t: f"w_{t}" for t in ("trades", "orders", "quotes", "order_book", "market_stats", "trading_halts")},
-    "staging": {t: f"s_{t}" for t in ("trades", "orders", "quotes")},
-    "silver": {t: f"{t}_ok" for t in ("trades", "orders", "quotes")},
+    "bronze": {
+        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND (again = 0 OR k % 50 = 0)", "orders": "w_event_orders",
+        "quotes": "w_quotes", "order_book": "w_order_book", "market_stats": "ev WHERE kind = 'purchase'", "trading_halts": "w_trading_halts",
+    },
+    "staging": {
+        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND (again = 0 OR k % 50 = 0)", "orders": "s_event_orders",
+        "quotes": "s_quotes",
+    },
+    "silver": {"trades": "w_event_trades", "orders": "event_orders_ok", "quotes": "quotes_ok"},
     "invalid": {
-        "trades": "s_trades WHERE reasons <> '' OR _is_duplicate", "orders": "s_orders WHERE reasons <> '' OR _is_duplicate",
-        "quotes": "s_quotes WHERE reasons <> ''",
+        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND ((again = 0 AND value <= 0) OR (again = 1 AND k % 50 = 0))",
+        "orders": f"s_event_orders WHERE {BAD_ORDER}", "quotes": "s_quotes WHERE reasons <> ''",
     },
     "gold": {
-        "ohlcv": "g_bars", "agent_pnl": "g_pnl", "market_quality": "(SELECT DISTINCT symbol, trade_date FROM quotes_ok)",
+        "ohlcv": "g_event_bars", "agent_pnl": "g_event_pnl", "market_quality": "(SELECT DISTINCT symbol, trade_date FROM quotes_ok)",
         "circuit_breaker": "(SELECT DISTINCT symbol, halt_date FROM g_pairs)",
     },
 }
-LAYER_COUNTS = " UNION ALL ".join(
+# A table without rows is not stored.
+LAYER_COUNTS = "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS n_rows FROM {rows}"
     for layer, tables in LAYER_ROWS.items() for table, rows in tables.items()
 ) + """
 UNION ALL SELECT 'bronze', 'agent_actions', (SELECT count(*) FROM w_agent_actions) + (SELECT count(*) FROM digits WHERE digit = 5)
-UNION ALL SELECT 'reference', 'symbols', count(*) FROM (SELECT symbol FROM s_trades UNION SELECT symbol FROM s_orders UNION SELECT symbol FROM s_quotes)"""
+UNION ALL SELECT 'reference', 'symbols', count(*) FROM (SELECT DISTINCT symbol FROM ev WHERE kind IN ('purchase', 'view', 'click'))) WHERE n_rows > 0"""
+
+INCREMENTS = """
+SELECT 'orders' AS table_name, event_id AS key, fill_status AS label, CASE WHEN _is_duplicate THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS amount FROM s_event_orders
+UNION ALL SELECT 'ohlcv', symbol || '|' || trade_date, CAST(trade_count AS VARCHAR), vwap FROM g_event_bars
+UNION ALL SELECT 'agent_pnl', agent_type || '|' || trade_date, CAST(symbols_traded AS VARCHAR), realized_pnl FROM g_event_pnl"""
 
 PAIRS_OUT = f"""SELECT * EXCLUDE (halt_ts, resume_ts), {_stamp('halt_ts')}, {_stamp('resume_ts')} FROM g_pairs"""
 STATUS_OUT = "SELECT event_id, order_id, fill_status, _is_duplicate FROM s_orders"
@@ -509,12 +558,12 @@ _BODIES: dict[str, str] = {
     "lake_write_dynamic_overwrite": """SELECT event_id, timestamp, symbol, spread_bps, CASE WHEN timestamp >= '2024-01-15' THEN 2 ELSE 1 END AS version,
         CAST(ts AS DATE) AS event_date FROM quotes_ok""",
     "lake_run_layers": LAYER_COUNTS,
-    "lake_run_layers_incremental": "SELECT symbol, trade_date, open, high, low, close, volume, vwap, trade_count FROM g_bars",
+    "lake_run_layers_incremental": INCREMENTS,
     "stream_ingest_bronze": BRONZE_STREAM,
     "stream_dedup": """SELECT DISTINCT trade_id, symbol, timestamp, price, quantity FROM w_trades
         WHERE TRY_CAST(price AS DOUBLE) > 0 AND TRY_CAST(quantity AS DOUBLE) > 0""",
     "stream_ohlcv": "SELECT symbol, trade_date, open, high, low, close, volume, vwap, trade_count FROM g_bars",
-    "stream_order_status": STATUS_OUT,
+    "stream_order_status": STATUS_OUT.replace("s_orders", "s_event_orders"),
     "stream_halt_pairing": PAIRS_OUT,
 }
 

@@ -612,21 +612,34 @@ def lake_write_dynamic_overwrite(spark, d):
 
 @query
 def lake_run_layers(spark, d):
-    """The whole feed through every layer; rows per stored table."""
+    """A month's feed through every layer; rows per stored table."""
     lake = scratch_lake(spark, "layers")
-    layers.run_layers(lake, feed=source.raw_feed(spark, d))
+    layers.run_layers(lake, feed=source.raw_feed(spark, d, month=True))
     return layers.table_counts(lake)
 
 
 @query
 def lake_run_layers_incremental(spark, d):
-    """The feed in two batches, the second run over touched dates only; bars as stored at the end."""
+    """The feed in two batches, the second run over touched dates only; order labels, bars and P&L at the end."""
     lake = scratch_lake(spark, "increments")
-    feed = source.raw_feed(spark, d, ("trades", "orders", "quotes", "market_stats"), with_noise=False)
+    feed = source.raw_feed(spark, d, with_noise=False, month=True)
     second = F.pmod(F.crc32("value"), F.lit(40)) == 7
     layers.run_layers(lake, feed=feed.filter(~second), batch=0)
     layers.run_layers(lake, feed=feed.filter(second), batch=1, dates="batch")
-    return lake.read("gold", "ohlcv").select("symbol", "trade_date", "open", "high", "low", "close", "volume", "vwap", "trade_count")
+    orders = lake.read("staging", "orders").select(
+        F.lit("orders").alias("table_name"), F.col("event_id").alias("key"), F.col("fill_status").alias("label"),
+        F.when(F.col("_is_duplicate"), 1.0).otherwise(0.0).alias("amount"),
+    )
+    day = F.col("trade_date").cast("string")
+    ohlcv = lake.read("gold", "ohlcv").select(
+        F.lit("ohlcv").alias("table_name"), F.concat_ws("|", "symbol", day).alias("key"),
+        F.col("trade_count").cast("string").alias("label"), F.col("vwap").alias("amount"),
+    )
+    pnl_rows = lake.read("gold", "agent_pnl").select(
+        F.lit("agent_pnl").alias("table_name"), F.concat_ws("|", "agent_type", day).alias("key"),
+        F.col("symbols_traded").cast("string").alias("label"), F.col("realized_pnl").alias("amount"),
+    )
+    return orders.unionByName(ohlcv).unionByName(pnl_rows)
 
 
 # --- streams ------------------------------------------------------------------------------------
@@ -684,7 +697,7 @@ def stream_ohlcv(spark, d):
 @query
 def stream_order_status(spark, d):
     lake = scratch_lake(spark, "status")
-    feed = _feed_files(spark, source.raw_feed(spark, d, ("orders",), False), lake)
+    feed = _feed_files(spark, source.raw_feed(spark, d, ("orders",), False, month=True), lake)
     order_stream.keep_order_status(feed, lake, lake.path("_checkpoints", "status"))
     return lake.read("staging", "orders").select("event_id", "order_id", "fill_status", "_is_duplicate")
 
