@@ -12,6 +12,7 @@ DATE_LED_TEXT = r"^\s*\d{4}-\d{2}-\d{2}"
 
 PRICE = T.DecimalType(20, 6)
 QUANTITY = T.DecimalType(18, 6)
+TOTAL = T.DecimalType(32, 6)
 
 
 def col_or(df: DataFrame, name: str, default=None) -> Column:
@@ -40,24 +41,40 @@ def to_utc(df: DataFrame, name: str = "timestamp") -> Column:
     return col.cast("timestamp")
 
 
-def _sum_with_rest(exact: Column, approximate: Column) -> Column:
-    total = F.sum(exact).cast("double")
-    rest = F.sum(F.when(exact.isNull(), approximate))
-    return F.coalesce(total + F.coalesce(rest, F.lit(0.0)), rest)
+def exact_parts(value: Column, kind: T.DecimalType) -> tuple[Column, Column]:
+    """Split a double into a decimal on the kind's grid and what is left over as a double.
 
+    Sums of decimals do not depend on the order of the rows. The rest is exactly 0 for values that have
+    no more digits than the grid, and keeps every digit of those that do; values beyond the decimal's
+    range are all rest.
+    """
+    scale, limit = 10.0**kind.scale, 10.0 ** (kind.precision - kind.scale - 1)
+    value = value.cast("double")
+    on_grid = F.when(F.abs(value) < limit, F.rint(value * scale) / scale).otherwise(0.0)
+    on_grid = F.when(value.isNotNull(), on_grid)
+    return on_grid.cast(kind), value - on_grid
 
-def exact_sum(value: Column, kind: T.DecimalType) -> Column:
-    """Sum as a double that does not depend on the order of the rows.
 
-    Rows are added as decimals, so any partitioning gives the same bits. Values too large for the
-    decimal are added as doubles beside it rather than lost.
-    """
-    return _sum_with_rest(value.try_cast(kind), value.cast("double"))
+def notional_parts(price: Column, quantity: Column) -> tuple[Column, Column]:
+    """price x quantity split the same way."""
+    p, p_rest = exact_parts(price, PRICE)
+    q, q_rest = exact_parts(quantity, QUANTITY)
+    return p * q, price * q_rest + p_rest * (quantity - q_rest)
+
+
+def total(exact: Column, rest: Column) -> Column:
+    """Sum of split values as a double."""
+    return F.sum(exact).cast("double") + F.coalesce(F.sum(rest), F.lit(0.0))
+
+
+def exact_sum(value: Column, kind: T.DecimalType) -> Column:
+    """Sum as a double with the same bits for any order of the rows (see `exact_parts`)."""
+    return total(*exact_parts(value, kind))
 
 
 def exact_notional(price: Column, quantity: Column) -> Column:
     """Order-independent sum of price x quantity, as a double."""
-    return _sum_with_rest(price.try_cast(PRICE) * quantity.try_cast(QUANTITY), price * quantity)
+    return total(*notional_parts(price, quantity))
 
 
 def round_half_away(value: Column, places: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import PRICE
+from marketlake.functions.casts import PRICE, exact_parts, total
 from marketlake.operators import reference
 from marketlake.operators.timeline import carry_last, running_sums
 
@@ -42,6 +42,7 @@ def agent_slippage(trades: DataFrame, quotes: DataFrame, registry: DataFrame) ->
     buy = F.col("side_normalized") == "buy"
     cost = F.when(buy, F.col("price_cast") - F.col("mid")).otherwise(F.col("mid") - F.col("price_cast"))
     bps = F.when(F.col("mid") > 0, cost / F.col("mid") * 10_000)
+    exact, rest = exact_parts(F.col("bps"), PRICE)
     per_agent = (
         trades_with_mid(trades, quotes)
         .filter("side_normalized IS NOT NULL")
@@ -49,7 +50,7 @@ def agent_slippage(trades: DataFrame, quotes: DataFrame, registry: DataFrame) ->
         .groupBy(F.when(buy, F.col("buyer_agent_id")).otherwise(F.col("seller_agent_id")).alias("agent_id"))
         .agg(
             F.count(F.lit(1)).alias("n"), F.count("bps").alias("priced"),
-            F.sum(F.col("bps").try_cast(PRICE)).alias("total"),
+            F.sum(exact).alias("_bps"), F.sum(rest).alias("_bps_rest"),
         )
     )
     return (
@@ -58,7 +59,7 @@ def agent_slippage(trades: DataFrame, quotes: DataFrame, registry: DataFrame) ->
         .agg(
             F.sum("n").alias("trades"),
             F.sum("priced").alias("priced_trades"),
-            (F.sum("total").cast("double") / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_slippage_bps"),
+            (total(F.col("_bps"), F.col("_bps_rest")) / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_slippage_bps"),
         )
     )
 
@@ -93,10 +94,9 @@ def halt_pre_post(halts: DataFrame, trades: DataFrame, minutes: int = 30) -> Dat
     trade_rows = trades.select("symbol", "event_id", "timestamp_utc", F.lit(1).alias("_rank"), "price_cast")
     both = probe_rows.unionByName(trade_rows, allowMissingColumns=True)
     is_trade = F.col("probe").isNull()
+    exact, rest = exact_parts(F.col("price_cast"), PRICE)
     summed = running_sums(
-        both, "symbol",
-        {"_n": is_trade.cast("bigint"), "_sum": F.col("price_cast").try_cast(PRICE)},
-        ("timestamp_utc", "_rank", "event_id"),
+        both, "symbol", {"_n": is_trade.cast("bigint"), "_sum": exact, "_rest": rest}, ("timestamp_utc", "_rank", "event_id")
     )
 
     def at(probe: str, column: str) -> Column:
@@ -104,7 +104,8 @@ def halt_pre_post(halts: DataFrame, trades: DataFrame, minutes: int = 30) -> Dat
 
     def mean(hi: str, lo: str, name: str) -> Column:
         n = at(hi, "_n") - at(lo, "_n")
-        return ((at(hi, "_sum") - at(lo, "_sum")).cast("double") / F.nullif(n, F.lit(0))).alias(name)
+        paid = (at(hi, "_sum") - at(lo, "_sum")).cast("double") + (at(hi, "_rest") - at(lo, "_rest"))
+        return (paid / F.nullif(n, F.lit(0))).alias(name)
 
     return (
         summed.filter(~is_trade)

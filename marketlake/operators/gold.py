@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import PRICE, QUANTITY, exact_notional, exact_sum, round_half_away, to_number, to_utc
+from marketlake.functions.casts import (
+    QUANTITY,
+    TOTAL,
+    exact_notional,
+    exact_parts,
+    exact_sum,
+    notional_parts,
+    round_half_away,
+    to_number,
+    to_utc,
+    total,
+)
 
 DAY_KEY = ["symbol", "trade_date"]
 
@@ -131,15 +142,16 @@ def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
     of all trades joins with a few rows. Money stays decimal until the last sum.
     """
     signed = F.when(F.col("side") == "sell", F.col("volume")).otherwise(-F.col("volume"))
-    cash = F.col("price_cast").try_cast(PRICE) * signed.try_cast(QUANTITY)
+    cash, cash_rest = notional_parts(F.col("price_cast"), signed)
+    volume, volume_rest = exact_parts(F.col("volume"), QUANTITY)
     per_agent = (
         trade_sides(trades)
         .groupBy("agent_id", *DAY_KEY)
         .agg(
             F.sum(cash).alias("_cash"),
-            F.sum(F.when(cash.isNull(), F.col("pnl"))).alias("_cash_rest"),
-            F.sum(F.col("volume").try_cast(QUANTITY)).alias("_volume"),
-            F.sum(F.when(F.col("volume").try_cast(QUANTITY).isNull(), F.col("volume"))).alias("_volume_rest"),
+            F.sum(cash_rest).alias("_cash_rest"),
+            F.sum(volume).alias("_volume"),
+            F.sum(volume_rest).alias("_volume_rest"),
             F.count(F.lit(1)).alias("trade_count"),
         )
     )
@@ -147,28 +159,22 @@ def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
         per_agent.join(registry, "agent_id", "left")
         .groupBy(F.coalesce("agent_type", F.lit("unknown")).alias("agent_type"), *DAY_KEY)
         .agg(
-            _total("_cash", "_cash_rest").alias("realized_pnl"),
-            _total("_volume", "_volume_rest").alias("total_volume"),
+            total(F.col("_cash"), F.col("_cash_rest")).alias("realized_pnl"),
+            total(F.col("_volume"), F.col("_volume_rest")).alias("total_volume"),
             F.sum("trade_count").alias("trade_count"),
         )
     )
 
 
-def _total(exact: str, rest: str) -> Column:
-    """Decimal part plus whatever did not fit the decimal; NULL when there was nothing to add."""
-    whole = F.sum(exact).cast("double")
-    return F.coalesce(whole + F.coalesce(F.sum(rest), F.lit(0.0)), F.sum(rest))
-
-
 def agent_pnl(
     trades: DataFrame, orders: DataFrame, agent_col: str = "agent_type_normalized", one_type: bool = True
 ) -> DataFrame:
     """Daily net P&L, volume and trade count per agent type, with the average over symbols."""
     by_symbol = agent_pnl_by_symbol(trades, agent_registry(orders, agent_col, one_type))
-    pnl = exact_sum(F.col("realized_pnl"), "decimal(38,8)")
+    pnl = exact_sum(F.col("realized_pnl"), TOTAL)
     return by_symbol.groupBy("agent_type", "trade_date").agg(
         pnl.alias("realized_pnl"),
-        exact_sum(F.col("total_volume"), "decimal(28,6)").alias("total_volume"),
+        exact_sum(F.col("total_volume"), TOTAL).alias("total_volume"),
         F.sum("trade_count").alias("trade_count"),
         round_half_away(pnl / F.count("realized_pnl"), 4).alias("avg_pnl_per_symbol"),
         F.count("symbol").alias("symbols_traded"),

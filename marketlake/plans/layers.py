@@ -6,8 +6,10 @@ Every step reads stored tables and replaces whole date partitions, so a rerun ch
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,13 @@ RUN_LOG = "layer string, table_name string, n_rows bigint, started_at timestamp,
 Dates = list[str | None] | None
 
 
+def together(*steps: Callable[[], None]) -> None:
+    """Start independent writes side by side, so that small tables do not leave the executors idle."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 class LayerRun:
     """One run over a lake. `dates` per table is None for everything, or the dates to recompute."""
 
@@ -67,11 +76,14 @@ class LayerRun:
         routed = router.route(feed).withColumn("topic", F.coalesce("topic", F.lit("none")))
         self.lake.append_batch(routed, "landing", "messages", batch, partition="topic")
         landed = self.lake.spark.read.parquet(self.lake.path("landing", "messages")).filter(F.col(BATCH) == batch)
-        for table in TABLE_EVENTS:
+
+        def add(table: str) -> None:
             started = datetime.now(timezone.utc)
             self.lake.append_batch(bronze.from_topics(landed, table), "bronze", table, batch)
             self._logged("bronze", table, started, BATCH, None)
 
+        together(*[partial(add, table) for table in TABLE_EVENTS])
+
     def touched(self, table: str) -> Dates:
         """Event dates the batch added rows to; a list no longer than the calendar."""
         if not self.lake.exists("bronze", table):
@@ -80,34 +92,45 @@ class LayerRun:
         return _dates(rows.select(EVENT_DATE))
 
     def stage(self, dates: dict[str, Dates]) -> None:
-        settle = self.lake.settle
-        self.store(staging.trades(self.bronze("trades", dates["trades"]), settle("trade_firsts")).drop("_ingest_id"),
-                   "staging", "trades", dates=dates["trades"])
-        rows, history = self.bronze("orders", dates["orders"]), None
-        if dates["orders"] is not None:
-            history = sharing_orders(self.bronze("orders"), rows)
-        self.store(staging.orders(rows, history, settle("order_facts")).drop("_ingest_id"),
-                   "staging", "orders", dates=dates["orders"])
-        self.store(staging.quotes(self.bronze("quotes", dates["quotes"])).drop("_ingest_id"),
-                   "staging", "quotes", dates=dates["quotes"])
+        together(*[partial(self._stage, table, dates[table]) for table in STAGED])
+
+    def _stage(self, table: str, days: Dates) -> None:
+        rows = self.bronze(table, days)
+        if table == "trades":
+            staged = staging.trades(rows, self.lake.settle("trade_firsts"))
+        elif table == "orders":
+            history = None if days is None else sharing_orders(self.bronze("orders"), rows)
+            staged = staging.orders(rows, history, self.lake.settle("order_facts"))
+        else:
+            staged = staging.quotes(rows)
+        self.store(staged.drop("_ingest_id"), "staging", table, dates=days)
 
     def reject(self, dates: dict[str, Dates]) -> None:
-        for table in STAGED:
-            rows = promote.invalid(self.table("staging", table, dates[table]), dup=table != "quotes")
-            self.store(rows, "invalid", table, dates=dates[table])
+        def add(table: str) -> None:
+            rows = self.table("staging", table, dates[table])
+            self.store(promote.invalid(rows, dup=table != "quotes"), "invalid", table, dates=dates[table])
+
+        together(*[partial(add, table) for table in STAGED])
 
     def promote(self, dates: dict[str, Dates]) -> None:
-        for table in STAGED:
+        def add(table: str) -> None:
             rows = self.table("staging", table, dates[table])
             good = promote.silver_orders(rows) if table == "orders" else promote.silver(rows, dup=table != "quotes")
             self.store(good, "silver", table, dates=dates[table])
 
+        together(*[partial(add, table) for table in STAGED])
+
     def refer(self) -> None:
+        def symbols() -> None:
+            self.store(reference.symbols(*[self.table("staging", t) for t in STAGED]), "reference", "symbols", None)
+
+        maps = {
+            "agent_type_map": reference.agent_type_map,
+            "order_type_map": reference.order_type_map,
+            "order_side_map": reference.order_side_map,
+        }
         spark = self.lake.spark
-        self.store(reference.agent_type_map(spark), "reference", "agent_type_map", None)
-        self.store(reference.order_type_map(spark), "reference", "order_type_map", None)
-        self.store(reference.order_side_map(spark), "reference", "order_side_map", None)
-        self.store(reference.symbols(*[self.table("staging", t) for t in STAGED]), "reference", "symbols", None)
+        together(symbols, *[partial(self.store, make(spark), "reference", name, None) for name, make in maps.items()])
 
     def aggregate(self, dates: dict[str, Dates]) -> None:
         trades, quotes, orders = (self.table("silver", t) for t in ("trades", "quotes", "orders"))
@@ -116,15 +139,25 @@ class LayerRun:
         def part(df: DataFrame, days: Dates) -> DataFrame:
             return df if days is None else df.filter(on_dates(days))
 
-        days = _union(dates["trades"], dates["market_stats"])
-        self.store(gold.ohlcv(part(trades, days), part(stats, days)), "gold", "ohlcv", "trade_date", days)
-        days = _union(dates["trades"], dates["quotes"])
-        self.store(gold.market_quality(part(quotes, days), part(trades, days)), "gold", "market_quality", "trade_date", days)
-        days = _union(dates["trades"], self._days_of_agents(trades, orders, dates["orders"]))
-        self.store(gold.agent_pnl(part(trades, days), orders), "gold", "agent_pnl", "trade_date", days)
-        # Pairing counts from a symbol's first halt on; halts are rare, so they are paired afresh.
-        events = self.lake.read("bronze", "trading_halts", bronze_schema("trading_halts"))
-        self.store(halts.circuit_breaker(events), "gold", "circuit_breaker", "halt_date")
+        def ohlcv() -> None:
+            days = _union(dates["trades"], dates["market_stats"])
+            self.store(gold.ohlcv(part(trades, days), part(stats, days)), "gold", "ohlcv", "trade_date", days)
+
+        def quality() -> None:
+            days = _union(dates["trades"], dates["quotes"])
+            scores = gold.market_quality(part(quotes, days), part(trades, days))
+            self.store(scores, "gold", "market_quality", "trade_date", days)
+
+        def pnl() -> None:
+            days = _union(dates["trades"], self._days_of_agents(trades, orders, dates["orders"]))
+            self.store(gold.agent_pnl(part(trades, days), orders), "gold", "agent_pnl", "trade_date", days)
+
+        def breaker() -> None:
+            # Pairing counts from a symbol's first halt on; halts are rare, so they are paired afresh.
+            events = self.lake.read("bronze", "trading_halts", bronze_schema("trading_halts"))
+            self.store(halts.circuit_breaker(events), "gold", "circuit_breaker", "halt_date")
+
+        together(ohlcv, quality, pnl, breaker)
 
     def _days_of_agents(self, trades: DataFrame, orders: DataFrame, order_days: Dates) -> Dates:
         """Trade dates whose P&L may move because a recomputed order changes an agent's type."""

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.casts import TOTAL, exact_sum
 from marketlake.sources.lake import Lake
 
 
@@ -37,7 +38,7 @@ def agent_pnl_total(pnl: DataFrame) -> DataFrame:
     """Total P&L and trades per agent type, best first."""
     return (
         pnl.groupBy("agent_type")
-        .agg(F.sum(F.col("realized_pnl").cast("decimal(38,8)")).cast("double").alias("total_pnl"),
+        .agg(exact_sum(F.col("realized_pnl"), TOTAL).alias("total_pnl"),
              F.sum("trade_count").alias("trades"))
         .orderBy(F.desc("total_pnl"), "agent_type")
     )
