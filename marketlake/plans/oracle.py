@@ -539,7 +539,7 @@ _BODIES: dict[str, str] = {
     "trades_with_mid": """SELECT t.symbol, t.event_id, t.price_cast, q.mid_price AS mid FROM w_event_trades t
         ASOF LEFT JOIN (SELECT symbol, ts, mid_price FROM quotes_ok) q ON t.symbol = q.symbol AND t.ts >= q.ts""",
     "agent_slippage": """SELECT coalesce(agent_type, 'unknown') AS agent_type, count(*) AS trades, count(bps) AS priced_trades,
-        round(CAST(sum(CAST(bps AS DECIMAL(20,6))) AS DOUBLE) / nullif(count(bps), 0), 3) AS avg_slippage_bps
+        round(avg(bps), 3) AS avg_slippage_bps
         FROM (SELECT CASE side_normalized WHEN 'buy' THEN buyer_agent_id ELSE seller_agent_id END AS agent_id,
                      CASE WHEN mid_price > 0 THEN (CASE side_normalized WHEN 'buy' THEN price_cast - mid_price ELSE mid_price - price_cast END) / mid_price * 10000 END AS bps
               FROM w_event_trades t ASOF LEFT JOIN (SELECT symbol, ts, mid_price FROM quotes_ok) q ON t.symbol = q.symbol AND t.ts >= q.ts)
