@@ -41,6 +41,16 @@ def to_utc(df: DataFrame, name: str = "timestamp") -> Column:
     return col.cast("timestamp")
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that filters and later expressions read instead of computing again.
+
+    A plain projection is merged into what follows it: a filter on a parsed column would be pushed below
+    and parse the text a second time. Generated columns stay where they are; filters on the other columns
+    still pass through to the scan.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def exact_parts(value: Column, kind: T.DecimalType) -> tuple[Column, Column]:
     """Split a double into a decimal on the kind's grid and what is left over as a double.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import col_or, to_number, to_utc
+from marketlake.functions.casts import col_or, computed_once, to_number, to_utc
 from marketlake.functions.labels import (
     code_lookup,
     depth_imbalance,
@@ -46,15 +46,15 @@ def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
     if "is_aggressive_buy" in bronze.columns:
         buy = F.col("is_aggressive_buy").cast("boolean")
         side = F.when(buy, "buy").when(~buy, "sell")
-    df = _ensure(bronze, "trade_id", "symbol", "timestamp").withColumns({
+    rows = _ensure(bronze, "trade_id", "symbol", "timestamp")
+    # The timestamp is part of the key, so only what tells two copies apart has to be ordered.
+    order = [c for c in ("event_id", INGEST_ORDER) if c in rows.columns] or ["timestamp"]
+    df = computed_once(rows, {
         "price_cast": to_number(bronze, "price"),
         "quantity_cast": to_number(bronze, "quantity"),
         "timestamp_utc": to_utc(bronze),
-        "side_normalized": side,
-    })
-    # The timestamp is part of the key, so only what tells two copies apart has to be ordered.
-    order = [c for c in _order_columns(df) if c != "timestamp_utc"] or ["timestamp_utc"]
-    df = label_duplicates(df, TRADE_KEY, order, settle=settle)
+    }).withColumn("side_normalized", side)
+    df = label_duplicates(df, TRADE_KEY, order, history=rows, settle=settle)
     price, quantity = F.col("price_cast"), F.col("quantity_cast")
     return _with_labels(df, {
         "null_price": price.isNull(),
@@ -100,10 +100,11 @@ def orders(bronze: DataFrame, history: DataFrame | None = None, settle: Settle |
     Duplicates and cancellations of an order may lie on other days: when `bronze` is a part of the
     table, `history` supplies every row that shares an order id with it.
     """
-    df = _ensure(bronze, "order_id", "symbol", "timestamp").withColumns({
+    df = computed_once(_ensure(bronze, "order_id", "symbol", "timestamp"), {
         "price_cast": to_number(bronze, "price"),
         "quantity_cast": to_number(bronze, "quantity"),
         "timestamp_utc": to_utc(bronze),
+    }).withColumns({
         "side_normalized": F.lower("side") if "side" in bronze.columns else F.lit("unknown"),
         "order_type_normalized": code_lookup(col_or(bronze, "order_type").cast("string"), ORDER_TYPES),
         "agent_type_normalized": code_lookup(col_or(bronze, "agent_type").cast("string"), AGENT_TYPES),
@@ -129,7 +130,7 @@ def orders(bronze: DataFrame, history: DataFrame | None = None, settle: Settle |
 def quotes(bronze: DataFrame) -> DataFrame:
     """Label QuoteUpdate rows and derive mid price, spread and depth imbalance for usable markets."""
     bid, ask = F.col("bid"), F.col("ask")
-    df = _ensure(bronze, "symbol", "timestamp").withColumns({
+    df = computed_once(_ensure(bronze, "symbol", "timestamp"), {
         "bid": to_number(bronze, "best_bid"),
         "ask": to_number(bronze, "best_ask"),
         "bid_size": to_number(bronze, "best_bid_size"),

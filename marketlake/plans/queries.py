@@ -72,12 +72,17 @@ def scratch_lake(spark: SparkSession, name: str) -> Lake:
 # --- shared frames ------------------------------------------------------------------------------
 
 
+def settle(spark: SparkSession, name: str):
+    """Stores a lookup's small side first, so that the large side is joined without being shuffled."""
+    return scratch_lake(spark, "lookup").settle(name)
+
+
 def staged_trades(spark, d):
-    return staging.trades(source.trades(spark, d))
+    return staging.trades(source.trades(spark, d), settle(spark, "trade_firsts"))
 
 
 def staged_orders(spark, d):
-    return staging.orders(source.orders(spark, d))
+    return staging.orders(source.orders(spark, d), settle=settle(spark, "order_facts"))
 
 
 def staged_quotes(spark, d):

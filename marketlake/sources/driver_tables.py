@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the table is fewer files than cores; a large table is read as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _iso(ts: Column, micros: bool = False) -> Column:
     pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" if micros else "yyyy-MM-dd'T'HH:mm:ss"
     return F.concat(F.date_format(ts, pattern), F.lit("+00:00"))
@@ -38,7 +44,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(F.col("l_partkey") % 97 == 0, None).when(F.col("l_partkey") % 101 == 0, 0.0).otherwise(F.col("l_extendedprice"))
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(""), F.lit("r"))).otherwise(F.array(F.lit("")))
     rows = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
         .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("copy", F.explode(copies))
@@ -69,7 +75,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_orderstatus") == "F") & (key % 3 == 0), "X"),
     ))
     rows = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"), "o_orderkey")
         .join(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("kind", F.explode(kinds))
     )
@@ -108,7 +114,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "events").filter(F.col("event_type").isin(list(kinds)))
+        spread(table(spark, sf_dir, "events").filter(F.col("event_type").isin(list(kinds))), "event_id")
         .withColumnRenamed("event_type", "kind")
         .withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     )
@@ -142,7 +148,7 @@ def market_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First lines of lineitem x part as exchange snapshots."""
     price = _money(F.col("l_extendedprice"))
     return (
-        table(spark, sf_dir, "lineitem").filter("l_linenumber = 1")
+        spread(table(spark, sf_dir, "lineitem").filter("l_linenumber = 1"), "l_orderkey")
         .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.lit("MarketStats").alias("event_type"),
