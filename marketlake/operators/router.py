@@ -21,7 +21,7 @@ _ENVELOPE = "event_type STRING, type STRING, data STRING, _corrupt STRING"
 def _with_event_type(event_type: Column, data: Column) -> Column:
     """Payload text led by its event_type; a payload that carries its own keeps it.
 
-    The text is spliced, not parsed and re-serialised, so values and key order stay as they were sent.
+    The text is spliced rather than rebuilt, so key order and types stay as they were sent.
     """
     head = F.to_json(F.struct(event_type.alias("event_type")))
     spliced = F.concat(F.left(head, F.length(head) - 1), F.lit(","), F.substring(F.ltrim(data), 2, 2**31 - 1))

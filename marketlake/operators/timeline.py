@@ -13,39 +13,32 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlake.operators.duplicates import same_key
-
 # Rows without a usable time all fall into one bucket per symbol; they are spread over this many.
 UNTIMED_BUCKETS = 64
 
-_BUCKET = ["_bucket", "_spread"]
-
 
 def minute_bucket() -> Column:
     return F.date_trunc("minute", "timestamp_utc")
 
 
-def _bucketed(df: DataFrame, bucket: Column, spread_by: str) -> DataFrame:
-    return df.withColumn("_bucket", bucket).withColumn(
-        "_spread", F.when(F.col("_bucket").isNull(), F.pmod(F.xxhash64(spread_by), F.lit(UNTIMED_BUCKETS)))
-    )
-
+def _bucketed(df: DataFrame, group: str, bucket: Column, spread_by: str) -> DataFrame:
+    """Rows with the bucket they belong to as `_key`.
 
-def _earlier(group: str) -> WindowSpec:
-    """The buckets of a group before this one; rows without time come last."""
-    return (
-        W.partitionBy(group).orderBy(F.asc_nulls_last("_bucket"), "_spread").rowsBetween(W.unboundedPreceding, -1)
-    )
+    The key is one struct: never NULL itself and equal on NULL parts, so the window over it and the join
+    on it share a single shuffle of the rows.
+    """
+    spread = F.when(bucket.isNull(), F.pmod(F.xxhash64(spread_by), F.lit(UNTIMED_BUCKETS)))
+    return df.withColumn("_key", F.struct(F.col(group).alias("group"), bucket.alias("bucket"), spread.alias("spread")))
 
 
-def _within(group: str, order_by: Sequence[str]) -> WindowSpec:
-    return W.partitionBy(group, *_BUCKET).orderBy(*order_by)
+def _earlier() -> WindowSpec:
+    """The buckets of a group before this one; rows without time come last."""
+    order = [F.asc_nulls_last("_key.bucket"), F.col("_key.spread")]
+    return W.partitionBy("_key.group").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
 
 
-def _join_buckets(rows: DataFrame, summaries: DataFrame, group: str) -> DataFrame:
-    keys = [group, *_BUCKET]
-    renamed = summaries.withColumnsRenamed({k: f"_s_{k}" for k in keys})
-    return rows.join(renamed, same_key([F.col(k) for k in keys], [F.col(f"_s_{k}") for k in keys]))
+def _within(order_by: Sequence[str]) -> WindowSpec:
+    return W.partitionBy("_key").orderBy(*order_by)
 
 
 def running_sums(
@@ -57,18 +50,16 @@ def running_sums(
 ) -> DataFrame:
     """Add, per group, the sum of each value up to and including this row. NULL values add nothing."""
     bucket = minute_bucket() if bucket is None else bucket
-    rows = _bucketed(df, bucket, order_by[-1]).withColumns({f"_v_{n}": v for n, v in values.items()})
-    sums = rows.groupBy(group, *_BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
-    starts = sums.select(
-        group, *_BUCKET, *[F.sum(f"_t_{n}").over(_earlier(group)).alias(f"_start_{n}") for n in values]
-    )
-    frame = _within(group, order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = _bucketed(df, group, bucket, order_by[-1]).withColumns({f"_v_{n}": v for n, v in values.items()})
+    sums = rows.groupBy("_key").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    starts = sums.select("_key", *[F.sum(f"_t_{n}").over(_earlier()).alias(f"_start_{n}") for n in values])
+    frame = _within(order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
     counted = rows.withColumns({f"_in_{n}": F.sum(f"_v_{n}").over(frame) for n in values})
 
-    def total(n: str) -> Column:
+    def so_far(n: str) -> Column:
         return (F.coalesce(f"_start_{n}", F.lit(0)) + F.coalesce(f"_in_{n}", F.lit(0))).alias(n)
 
-    return _join_buckets(counted, starts, group).select(*df.columns, *[total(n) for n in values])
+    return counted.join(starts, "_key").select(*df.columns, *[so_far(n) for n in values])
 
 
 def carry_last(
@@ -82,11 +73,10 @@ def carry_last(
 ) -> DataFrame:
     """Add, per group, the latest non-NULL value at this row (or strictly before it): an as-of lookup."""
     bucket = minute_bucket() if bucket is None else bucket
-    rows = _bucketed(df, bucket, order_by[-1]).withColumn("_v", value)
+    rows = _bucketed(df, group, bucket, order_by[-1]).withColumn("_v", value)
     known = F.when(F.col("_v").isNotNull(), F.struct(*order_by))
-    last = rows.groupBy(group, *_BUCKET).agg(F.max_by("_v", known).alias("_last"))
-    starts = last.select(group, *_BUCKET, F.last("_last", ignorenulls=True).over(_earlier(group)).alias("_start"))
-    frame = _within(group, order_by).rowsBetween(W.unboundedPreceding, W.currentRow if include_current else -1)
+    last = rows.groupBy("_key").agg(F.max_by("_v", known).alias("_last"))
+    starts = last.select("_key", F.last("_last", ignorenulls=True).over(_earlier()).alias("_start"))
+    frame = _within(order_by).rowsBetween(W.unboundedPreceding, W.currentRow if include_current else -1)
     carried = rows.withColumn("_in", F.last("_v", ignorenulls=True).over(frame))
-    return _join_buckets(carried, starts, group).select(*df.columns, F.coalesce("_in", "_start").alias(name))
-
+    return carried.join(starts, "_key").select(*df.columns, F.coalesce("_in", "_start").alias(name))

@@ -81,8 +81,8 @@ FROM ev WHERE kind IN ('error', 'signup')"""
 
 PARTS["w_order_book"] = """
 SELECT 'OrderBookSnapshot' AS event_type, 'K' || n AS event_id, timestamp, symbol,
-       '[' || array_to_string([ '{"price":' || CAST(value - i * CAST(0.05 AS DECIMAL(18,2)) AS DECIMAL(18,2)) || ',"quantity":' || (i * 10) || ',"order_count":' || i || '}' FOR i IN [1, 2, 3]], ',') || ']' AS bids,
-       '[' || array_to_string([ '{"price":' || CAST(value + i * CAST(0.05 AS DECIMAL(18,2)) AS DECIMAL(18,2)) || ',"quantity":' || (i * 10) || ',"order_count":' || i || '}' FOR i IN [1, 2, 3]], ',') || ']' AS asks,
+       '[' || array_to_string([ '{"price":' || CAST(CAST(value - i * CAST(0.05 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS DOUBLE) || ',"quantity":' || (i * 10) || ',"order_count":' || i || '}' FOR i IN [1, 2, 3]], ',') || ']' AS bids,
+       '[' || array_to_string([ '{"price":' || CAST(CAST(value + i * CAST(0.05 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS DOUBLE) || ',"quantity":' || (i * 10) || ',"order_count":' || i || '}' FOR i IN [1, 2, 3]], ',') || ']' AS asks,
        value, ts
 FROM ev WHERE kind = 'view'"""
 
@@ -437,6 +437,8 @@ STATUS_OUT = "SELECT event_id, order_id, fill_status, _is_duplicate FROM s_order
 
 _BODIES: dict[str, str] = {
     **{f"bronze_{t}": f"SELECT * EXCLUDE (ts), CAST(ts AS DATE) AS event_date FROM w_{t}" for t in ("trades", "orders", "quotes", "market_stats", "trading_halts")},
+    "bronze_order_book": """SELECT * EXCLUDE (ts, value), CAST(value - CAST(0.05 AS DECIMAL(18,2)) AS DOUBLE) AS bids_top, 60.0::DOUBLE AS bids_depth,
+        CAST(value + CAST(0.05 AS DECIMAL(18,2)) AS DOUBLE) AS asks_top, 60.0::DOUBLE AS asks_depth, CAST(ts AS DATE) AS event_date FROM w_order_book""",
     "bronze_agent_actions": "SELECT * EXCLUDE (ts), decision_factors AS decision_factors_list, CAST(ts AS DATE) AS event_date FROM w_agent_actions",
     "decode_json_events": """
         SELECT event_type, quarantined, count(*) AS n_lines FROM (

@@ -122,6 +122,11 @@ def pnl(spark, d):
 def _bronze(name: str) -> Query:
     def run(spark, d):
         df = bronze.ingest(source.topic_messages(spark, d, name), name, keep_raw=False)
+        for side in ("bids", "asks"):
+            if side in df.columns:  # the typed levels, told by their best price and total depth
+                depth = F.aggregate(f"{side}_levels", F.lit(0.0), lambda a, x: a + x["quantity"])
+                df = df.withColumns({f"{side}_top": F.col(f"{side}_levels")[0]["price"], f"{side}_depth": depth})
+                df = df.drop(f"{side}_levels")
         lists = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
         return df.withColumns({c: F.to_json(c) for c in lists})
 
