@@ -342,7 +342,10 @@ def ref_order_side_map(spark, d):
 
 @query
 def ref_symbols(spark, d):
-    return reference.symbols(staged_trades(spark, d), staged_orders(spark, d), staged_quotes(spark, d)).orderBy("symbol")
+    # Staging drops no row, so the catalogue of the staged tables is that of their timed rows.
+    wire = (source.trades(spark, d), source.orders(spark, d), source.quotes(spark, d))
+    timed = [df.select("symbol", casts.to_utc(df).alias("timestamp_utc")) for df in wire]
+    return reference.symbols(*timed).orderBy("symbol")
 
 
 # --- gold ---------------------------------------------------------------------------------------

@@ -21,9 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the table is fewer files than cores; a large table is read as it is."""
+    """Rows over all cores when the table is fewer scan tasks than cores; a large table is read as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _iso(ts: Column, micros: bool = False) -> Column:
