@@ -21,7 +21,7 @@ TRADE_KEY = ("trade_id", "symbol", "timestamp")
 INGEST_ORDER = "_ingest_id"
 
 
-def _order_columns(df: DataFrame) -> list[str]:
+def order_columns(df: DataFrame) -> list[str]:
     """Arrival order: event time, then event id, then the stored position where the reader supplies it."""
     return [c for c in ("timestamp_utc", "event_id", INGEST_ORDER) if c in df.columns]
 
@@ -85,7 +85,7 @@ def order_facts(orders: DataFrame) -> DataFrame:
     return (
         df.groupBy(F.col("order_id").alias("_order_id"))
         .agg(
-            F.min(F.when(placed, F.struct(*_order_columns(df)))).alias("_first"),
+            F.min(F.when(placed, F.struct(*order_columns(df)))).alias("_first"),
             F.count_if(placed).alias("_n_placed"),
             F.max(_is_cancel(df) & F.col("order_id").isNotNull()).alias("_cancelled"),
         )
@@ -117,7 +117,7 @@ def orders(bronze: DataFrame, history: DataFrame | None = None, settle: Settle |
         "fill_status": F.when(cancel, "cancellation_event")
         .when(F.coalesce("_cancelled", F.lit(False)), "cancelled")
         .otherwise("open"),
-        "_is_duplicate": placed & F.col("_first").isNotNull() & (F.struct(*_order_columns(df)) > F.col("_first")),
+        "_is_duplicate": placed & F.col("_first").isNotNull() & (F.struct(*order_columns(df)) > F.col("_first")),
     }).drop("_order_id", "_first", "_cancelled")
     return _with_labels(df, {
         "null_order_id": F.col("order_id").isNull(),

@@ -14,6 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.functions.casts import to_utc
 from marketlake.operators import bronze, duplicates, gold, halts, promote, reference, router, staging
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
 from marketlake.sources.lake import BATCH, EVENT_DATE, Lake, on_dates
@@ -188,6 +189,7 @@ def order_dates_to_redo(orders: DataFrame, touched: list[str | None]) -> list[st
     Besides those dates: every placement of an order cancelled there, and the row that was an order's
     first placement until an earlier one arrived.
     """
+    orders = orders.withColumn("timestamp_utc", to_utc(orders))
     new = on_dates(touched)
     fresh, old = orders.filter(new), orders.filter(~new | (F.lit(None not in touched) & F.col(EVENT_DATE).isNull()))
     cancelled = fresh.filter("event_type = 'OrderCancelled' AND order_id IS NOT NULL").select("order_id").distinct()
@@ -196,7 +198,7 @@ def order_dates_to_redo(orders: DataFrame, touched: list[str | None]) -> list[st
     ids = fresh.filter("event_type = 'OrderPlaced'").select(F.col("order_id").alias("_id")).distinct()
     firsts = (
         old.filter("event_type = 'OrderPlaced'").join(ids, placed, "left_semi")
-        .groupBy("order_id").agg(F.min(F.struct("timestamp", "event_id", EVENT_DATE)).alias("f"))
+        .groupBy("order_id").agg(F.min(F.struct(*staging.order_columns(orders), EVENT_DATE)).alias("f"))
         .select(F.col(f"f.{EVENT_DATE}").alias(EVENT_DATE))
     )
     return _union(touched, _dates(by_cancel.unionByName(firsts)))

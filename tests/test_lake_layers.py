@@ -9,6 +9,7 @@ from marketlake.sources import driver_tables as source
 from marketlake.sources import feed as feeds
 from marketlake.sources import lake as lakes
 from marketlake.streaming import halts as halt_stream
+from marketlake.streaming import ingest as ingest_stream
 from marketlake.streaming import orders as order_stream
 from tests.conftest import SF_DIR
 
@@ -138,6 +139,15 @@ def test_late_cancel_and_late_earlier_placement(spark, lake):
     assert {r.event_id for r in lake.read("silver", "orders").collect()} == {"p1", "p0"}
 
 
+def test_topic_stream_keeps_what_it_cannot_decode(spark, lake):
+    good = '{"event_type":"TradeExecuted","event_id":"%s","timestamp":"2024-01-15T00:00:00Z","symbol":"A","price":1}'
+    messages = stream_of(spark, lake.path("feed", "t"), [[good % "1", "broken {"], [good % "2"]])
+    for _ in range(2):  # the second start finds nothing new
+        ingest_stream.topic_to_bronze(messages, "trades", lake, lake.path("_c", "t"))
+    assert {r.event_id for r in lake.read("bronze", "trades").collect()} == {"1", "2"}
+    assert [r.value for r in lake.read("quarantine", "trades").collect()] == ["broken {"]
+
+
 def test_halt_pairs_stream_equals_batch(spark, lake):
     lines = source.raw_feed(spark, SF_DIR, ("trading_halts",), False)
     lines.repartition(4).write.parquet(lake.path("feed", "h"))
