@@ -73,8 +73,14 @@ def scratch_lake(spark: SparkSession, name: str) -> Lake:
 
 
 def settle(spark: SparkSession, name: str):
-    """Stores a lookup's small side first, so that the large side is joined without being shuffled."""
-    return scratch_lake(spark, "lookup").settle(name)
+    """Stores a lookup's small side first, so that the large side is joined without being shuffled.
+
+    A cluster without a shared folder does without it; the join then settles its sides at run time.
+    """
+    try:
+        return scratch_lake(spark, "lookup").settle(name)
+    except ValueError:
+        return None
 
 
 def staged_trades(spark, d):

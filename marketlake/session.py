@@ -51,11 +51,15 @@ def shared_folder(spark: SparkSession) -> str:
     `spark.checkpoint.dir` names it. Only a local-mode session without that setting gets a folder of
     its own, since there driver and executors are one process.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="marketlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="marketlake-")
+    return _LOCAL_FOLDERS[context.applicationId]
+
+
+_LOCAL_FOLDERS: dict[str, str] = {}

