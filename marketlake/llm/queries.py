@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact
+from marketlake.llm import exact, simhash
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +23,9 @@ def query(fn: Query) -> Query:
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decide(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
