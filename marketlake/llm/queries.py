@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, simhash
+from marketlake.llm import exact, mixing, simhash
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,9 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"), words=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
