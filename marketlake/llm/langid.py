@@ -34,8 +34,8 @@ SEED = 42
 #: Windows that are scored at once.
 AT_ONCE = 64
 UNKNOWN = "und"
-#: Below this score the pipeline rejects a document: no language has the better half.
-LEAST_SCORE = 0.5
+#: Below this score the pipeline rejects a document: no language stands out.
+LEAST_SCORE = 0.3
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 

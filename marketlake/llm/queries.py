@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, langid, mixing, packing, simhash
+from marketlake.llm import exact, langid, mixing, packing, simhash, weighted
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "prediction.lang_pred", "prediction.score")
+
+
+@query
+def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.fingerprints(table(spark, sf_dir, "documents"))
