@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, langid, mixing, packing, simhash, weighted
+from marketlake.llm import exact, langid, mixing, packing, simhash, weighted, wrapper
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
