@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, langid, mixing, packing, simhash, weighted, wrapper
+from marketlake.llm import exact, langid, mixing, packing, simhash, toxicity, weighted, wrapper
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,10 @@ def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wrapper.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.grade(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "toxicity.severity", "toxicity.p_toxic", "toxicity.grade", (F.col("toxicity.p_toxic") >= toxicity.TOXIC).alias("toxic"))
