@@ -30,6 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """As `stored`, in as many buckets as a shuffle has partitions: joins on the keys read it without shuffling it."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    table_name = "scratch_" + path.rsplit("-", 1)[-1]
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", path).bucketBy(number, *keys).sortBy(*keys).saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a `stored` frame that no later step reads."""
     spark = df.sparkSession

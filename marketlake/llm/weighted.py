@@ -4,8 +4,8 @@ A term is a word, its weight the number of times it occurs. Every term has, by h
 numbers of consistent weighted sampling: r and c from Gamma(2, 1), b from (0, 1). With t = floor(ln w / r + b), the bin
 keeps the term with the least ln c - r (t - b + 1), as (term, t). Two texts keep the same sample in a bin with a
 probability of their generalised Jaccard similarity (the sum of the lesser weights over that of the greater), so the
-share of equal samples among the bins that either text fills is the likeness. Dealing the terms out to bins takes one
-sample a term instead of one for each term and place of the signature.
+share of equal samples among the bins that either text fills is the likeness. Dealing each term out to a few bins takes
+a few samples a term instead of one for each term and place of the signature.
 
 Texts are shuffled once, by document, and the words of a document are counted where they then lie.
 
@@ -20,9 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import WHITE, positions, stored, text_of
+from marketlake.llm.common import WHITE, bucketed, positions, stored, text_of
 
 BINS = 128
+#: A weight above this is cut into pieces of it, each a term of its own, at the same places in all texts. That leaves sums of
+#: lesser and greater weights as they are, and no bin is ruled by one heavy term.
+PIECE = 2
+#: Every piece is dealt to so many bins, each time by numbers of its own, so that short texts give more samples.
+DEALS = 2
 #: Low bits of a sample that the fingerprint keeps beside the number of its bin.
 KEPT = 16
 #: Least value of the sampling key that is told apart from lower ones, and its steps.
@@ -47,22 +52,30 @@ def _gamma(hashed: Column) -> Column:
     return -F.ln(_unit(_low(hashed)) * _unit(_high(hashed)))
 
 
-def samples(counts: DataFrame, keys: list[str], term: str, weight: str) -> DataFrame:
-    """(keys, term, weight) → (keys, bin, sample): of each bin the sample with the least key."""
-    drawn = counts.select(
-        *keys,
-        F.col(term).alias("term"),
-        F.ln(F.col(weight).cast("double")).alias("log_weight"),
-        _gamma(F.xxhash64(F.lit(1), term)).alias("r"),
-        F.ln(_gamma(F.xxhash64(F.lit(2), term))).alias("log_c"),
-        F.xxhash64(F.lit(3), term).alias("third"),
-    )
-    drawn = drawn.withColumn("b", _unit(_low(F.col("third")))).withColumn("t", F.floor(F.col("log_weight") / F.col("r") + F.col("b")))
-    least = F.col("log_c") - F.col("r") * (F.col("t") - F.col("b") + 1)
-    key = F.floor(F.greatest(F.lit(0.0), (least + LEAST) * STEPS)).cast("long")
-    both = F.shiftleft(key, 32).bitwiseOR(_low(F.xxhash64("term", "t")))
-    drawn = drawn.select(*keys, (_high(F.col("third")) % BINS).cast("int").alias("bin"), both.alias("both"))
-    return drawn.groupBy(*keys, "bin").agg(F.min("both").alias("sample"))
+def samples(counts: DataFrame, keys: list[str], term: str, weights: list[str]) -> DataFrame:
+    """(keys, term, weights) → (keys, bin, sample_0, sample_1, ...): of each bin the sample with the least key, for each weight.
+
+    A term's numbers are the same for all weights. A weight of 0 takes no part.
+    """
+    most = F.greatest(F.lit(1), F.ceil(F.greatest(*weights) / PIECE))
+    cut = counts.select(*keys, *weights, F.col(term).alias("term"), F.explode(F.sequence(F.lit(0).cast("long"), most - 1)).alias("piece"))
+    part = lambda w: F.greatest(F.lit(0.0), F.least(F.lit(float(PIECE)), F.col(w) - F.col("piece") * PIECE))
+    cut = cut.select(*keys, *[part(w).alias(w) for w in weights], F.xxhash64("term", "piece").alias("term"))
+    dealt = cut.select(*keys, *weights, "term", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])).alias("deal"))
+    hashed = lambda n: F.xxhash64(F.lit(n), F.col("deal"), F.col("term"))
+    drawn = dealt.withColumns({"r": _gamma(hashed(1)), "log_c": F.ln(_gamma(hashed(2))), "third": hashed(3)})
+    drawn = drawn.withColumn("b", _unit(_low(F.col("third"))))
+
+    def sample(weight: str) -> Column:
+        t = F.floor(F.ln(F.col(weight).cast("double")) / F.col("r") + F.col("b"))
+        least = F.col("log_c") - F.col("r") * (t - F.col("b") + 1)
+        key = F.floor(F.greatest(F.lit(0.0), (least + LEAST) * STEPS)).cast("long")
+        return F.when(F.col(weight) > 0, F.shiftleft(key, 32).bitwiseOR(_low(F.xxhash64("term", t))))
+
+    own = BINS // DEALS
+    bin_ = (F.col("deal") * own + (_high(F.col("third")) % own)).cast("int").alias("bin")
+    found = drawn.select(*keys, bin_, *[sample(w).alias(f"sample_{i}") for i, w in enumerate(weights)])
+    return found.groupBy(*keys, "bin").agg(*[F.min(f"sample_{i}").alias(f"sample_{i}") for i in range(len(weights))])
 
 
 def words(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -117,12 +130,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     texts = placed.select("id", "h", "copies", F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))))
     # Rows that repeat a document bring its words so many times; the weight is that of one.
-    counts = words(texts, ["id", "h", "copies", "side"], "text").groupBy("id", "h", "copies", "side", "term").agg(F.count(F.lit(1)).alias("n"))
-    kept = samples(counts.withColumn("weight", F.col("n") / F.col("copies")), ["id", "h", "side"], "term", "weight")
-    entry = F.shiftleft(F.col("bin"), KEPT).bitwiseOR(F.col("sample").bitwiseAND(F.lit((1 << KEPT) - 1)).cast("int"))
-    side = lambda n: F.sort_array(F.collect_list(F.when(F.col("side") == n, entry)))
-    prints = kept.groupBy("id", "h").agg(side(0).alias("fingerprint"), side(1).alias("edited_fingerprint"))
-    prints = stored(prints, "prints")
+    counts = words(texts, ["id", "h", "copies", "side"], "text").groupBy("id", "h", "copies", "term")
+    counts = counts.agg(*[F.count_if(F.col("side") == n).alias(f"n{n}") for n in (0, 1)])
+    counts = counts.select("id", "h", "term", *[(F.col(f"n{n}") / F.col("copies")).alias(f"w{n}") for n in (0, 1)])
+    kept = samples(counts, ["id", "h"], "term", ["w0", "w1"])
+    entry = lambda n: F.shiftleft(F.col("bin"), KEPT).bitwiseOR(F.col(f"sample_{n}").bitwiseAND(F.lit((1 << KEPT) - 1)).cast("int"))
+    prints = kept.groupBy("id", "h").agg(*[F.sort_array(F.collect_list(entry(n))).alias(name) for n, name in enumerate(("fingerprint", "edited_fingerprint"))])
+    # Bucketed as it lies, so that the two joins that follow don't shuffle it.
+    prints = bucketed(prints, "prints", "id", "h")
 
     none = F.array().cast("array<int>")
     after = order.select(F.col("id").alias("to_id"), F.col("h").alias("to_h"), F.col("next_id").alias("id"), F.col("next_h").alias("h"))
