@@ -12,3 +12,26 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
 """
+
+# A run is three lines; blank lines don't count. A line goes if a run with it occurred earlier.
+ORACLE["op5_line_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), numbered AS (
+  SELECT *, regexp_replace(line, '^[ \t\x0B\x0C\r]+|[ \t\x0B\x0C\r]+$', '', 'g') AS bare FROM split
+), counted AS (
+  SELECT *, CASE WHEN bare <> '' THEN sum(CASE WHEN bare <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) END AS k FROM numbered
+), runs AS (
+  SELECT doc_id, k, bare AS a, lead(bare) OVER w AS b, lead(bare, 2) OVER w AS c
+  FROM counted WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), ranked AS (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) AS nth FROM runs WHERE c IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, k + j AS k FROM ranked, (VALUES (0), (1), (2)) AS s(j) WHERE nth > 1
+)
+SELECT l.doc_id, count(l.k) AS lines, count(g.k) AS deleted,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE g.k IS NULL), '')) AS kept_sha256
+FROM counted l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.k = g.k
+GROUP BY l.doc_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, langid, mixing, packing, simhash, toxicity, weighted, wrapper
+from marketlake.llm import exact, langid, lines, mixing, packing, passages, simhash, toxicity, weighted, wrapper
 from marketlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.grade(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", "toxicity.severity", "toxicity.p_toxic", "toxicity.grade", (F.col("toxicity.p_toxic") >= toxicity.TOXIC).alias("toxic"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "dedup.lines", "dedup.deleted", F.sha2("dedup.text", 256).alias("kept_sha256"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
