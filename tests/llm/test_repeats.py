@@ -1,0 +1,143 @@
+"""Line dedup and substring dedup against brute force."""
+
+import hashlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pandas as pd
+import pytest
+
+from marketlake.llm import lines, passages
+from marketlake.llm.oracle import ORACLE
+from tests.conftest import SF_DIR
+
+SCHEMA = "doc_id long, text string"
+
+
+# --- lines --------------------------------------------------------------------------------------
+
+
+def plain_line_dedup(docs, run):
+    """{doc_id: text} → {doc_id: numbers of the lines that go}, by all windows in order."""
+    seen, gone = set(), defaultdict(set)
+    for doc_id, text in sorted(docs.items()):
+        split = (text or "").split("\n")
+        own = [i for i, line in enumerate(split) if line.strip(" \t\x0b\x0c\r")]
+        for k in range(len(own) - run + 1):
+            window = tuple(split[i].strip(" \t\x0b\x0c\r") for i in own[k : k + run])
+            if window in seen:
+                gone[doc_id].update(own[k : k + run])
+            seen.add(window)
+    return gone
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 5])
+def test_lines_against_all_windows(spark, run):
+    random = np.random.default_rng(run)
+    docs = {i: "\n".join("abcdefgh"[random.integers(0, 8 if i % 3 else 2)] * int(random.integers(0, 3)) for _ in range(random.integers(0, 25))) for i in range(150)}
+    docs[200], docs[201], docs[202] = None, "", "x\n" * 50
+    got = lines.dedup(spark.createDataFrame(list(docs.items()), SCHEMA).repartition(5), run).collect()
+    gone = plain_line_dedup(docs, run)
+    for r in got:
+        stays = "\n".join(line for i, line in enumerate((docs[r["doc_id"]] or "").split("\n")) if i not in gone[r["doc_id"]])
+        assert (r["dedup"]["text"], r["dedup"]["deleted"]) == (stays, len(gone[r["doc_id"]])), r["doc_id"]
+    assert len(got) == len(docs)
+
+
+def test_line_query_against_sql(run):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    expected = con.execute(ORACLE["op5_line_dedup"]).df().sort_values("doc_id").reset_index(drop=True)
+    got = run("op5_line_dedup").sort_values("doc_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got[sorted(got)], expected[sorted(expected)], check_dtype=False)
+
+
+def test_every_window_of_equal_lines_chooses_the_same(spark):
+    random = np.random.default_rng(0)
+    shared = random.integers(0, 1 << 60, 6).astype(np.uint64)
+    for _ in range(50):
+        parts = [np.concatenate([random.integers(0, 1 << 60, 7).astype(np.uint64), shared, random.integers(0, 1 << 60, 4).astype(np.uint64)]) for _ in (0, 1)]
+        chosen = [{int(p[i]) for i in lines.winnow(p, 3)} & set(map(int, shared)) for p in parts]
+        assert chosen[0] & chosen[1]
+
+
+def test_line_odd_rows(odd, no_docs):
+    got = lines.dedup(odd)
+    assert got.columns == [*odd.columns, "dedup"] and got.count() == odd.count()
+    assert got.where("dedup.text IS NULL").count() == 0
+    assert lines.dedup(no_docs).count() == 0
+
+
+# --- passages -----------------------------------------------------------------------------------
+
+
+def test_chains_against_all_predecessors():
+    random = np.random.default_rng(2)
+    for n in (1, 2, 7, 40):
+        a, b = random.integers(0, 60, n).tolist(), random.integers(0, 60, n).tolist()
+        order = sorted(range(n), key=lambda i: (a[i], -b[i]))
+        score = {}
+        for i in order:
+            earlier = [score[j] - passages.GAP_COST * (a[i] - a[j] + b[i] - b[j]) for j in score if a[j] < a[i] and b[j] < b[i]]
+            score[i] = passages.K + max([0.0, *earlier])
+        chains = passages.chain(a, b)
+        first = chains[0]
+        got = passages.K * len(first) - sum(passages.GAP_COST * (a[y] - a[x] + b[y] - b[x]) for x, y in zip(first, first[1:]))
+        assert got == pytest.approx(max(score.values()))
+        assert sorted(i for c in chains for i in c) == list(range(n))
+        assert all(a[x] < a[y] and b[x] < b[y] for c in chains for x, y in zip(c, c[1:]))
+
+
+def sentence(random, n):
+    return " ".join("".join(random.choice(list("abcdefghijklmnop"), 5)) for _ in range(n))
+
+
+def test_planted_passages(spark):
+    random = np.random.default_rng(4)
+    exact, fuzzy, short = sentence(random, 51), sentence(random, 120).split(), sentence(random, 30)
+    docs = {}
+    for i in range(60):
+        docs[i] = sentence(random, int(random.integers(80, 300)))
+    for i in (3, 17, 40, 41):
+        docs[i] = docs[i][:200].rsplit(" ", 1)[0] + " " + exact.upper() + " \n" + docs[i][200:].split(" ", 1)[1]
+    for i in (5, 22, 50):
+        changed = [w if random.random() > 0.05 else sentence(random, 1) for w in fuzzy]
+        docs[i] += " " + " ".join(changed[:60] + changed[61:])
+    for i in (8, 9, 10):
+        docs[i] += " " + short
+    docs[61], docs[62], docs[63] = None, "", "a b c"
+    docs[64] = docs[1]
+    docs[65] = sentence(random, 60) + " " + " ".join([sentence(random, 55)] * 3)
+    got = passages.passages(spark.createDataFrame(list(docs.items()), SCHEMA).coalesce(1)).toPandas()
+    pairs = {(r.doc_id, r.other_id) for r in got.itertuples()}
+    assert pairs >= {(17, 3), (40, 3), (41, 3), (64, 1)}
+    assert all(any(set(p) <= g for g in ({3, 17, 40, 41}, {64, 1}, {5, 22, 50})) for p in pairs)
+    assert {d for p in pairs for d in p} >= {5, 22, 50}
+    whole = got[got["doc_id"] == 64].iloc[0]
+    assert whole.start == 0 and whole.end == len(docs[1].split()) and whole.similarity == 1.0
+    for r in got[got["other_id"] == 3].itertuples():
+        assert " ".join(docs[r.doc_id].split()[r.start : r.end]) == exact.upper()
+
+
+def test_query_finds_every_long_exact_repeat(run, given):
+    got = run("op8_substring_dedup")
+    flagged = set(got["doc_id"]) | set(got["other_id"])
+    found = defaultdict(set)
+    for doc_id, text in zip(given["doc_id"], given["text"]):
+        words = text.lower().split()
+        for i in range(len(words) - 50):
+            found[hashlib.md5(" ".join(words[i : i + 51]).encode()).digest()].add(doc_id)
+    expected = {d for docs in found.values() if len(docs) > 1 for d in docs}
+    assert expected and expected <= flagged
+    assert ((got["end"] - got["start"]) >= passages.LEAST_WORDS).all() and (got["similarity"] >= passages.LEAST_EQUAL).all()
+    texts = {d: t.lower().split() for d, t in zip(given["doc_id"], given["text"])}
+    for r in got.itertuples():
+        a, b = texts[r.doc_id][r.start : r.end], texts[r.other_id][r.other_start : r.other_end]
+        assert passages.common_words(np.array(a), np.array(b)) >= round(r.similarity * max(len(a), len(b))) and r.doc_id != r.other_id
+
+
+def test_passage_odd_rows(odd, no_docs):
+    got = passages.passages(odd).collect()
+    assert all(r["doc_id"] != 7 or r["other_id"] != 7 for r in got)
+    assert passages.passages(no_docs).count() == 0
