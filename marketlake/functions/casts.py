@@ -87,6 +87,12 @@ def exact_notional(price: Column, quantity: Column) -> Column:
     return total(*notional_parts(price, quantity))
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean of the values rounded to 1e-9 each: the same bits for any order of the rows."""
+    grid = F.rint(value * 1e9).cast(T.DecimalType(28, 0))
+    return F.sum(grid).cast("double") / 1e9 / F.nullif(F.count(value), F.lit(0))
+
+
 def round_half_away(value: Column, places: int) -> Column:
     """SQL ROUND(double, places) done in binary: scale, round to the nearest integer, scale back."""
     scale = F.lit(float(10**places))

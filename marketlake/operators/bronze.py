@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.casts import to_utc
@@ -12,18 +12,20 @@ _CORRUPT = "_corrupt"
 
 
 def decode(messages: DataFrame, table: str) -> DataFrame:
-    """Parse payload text. `_corrupt` holds the text of a record that is not a JSON object, else NULL."""
-    value = F.col("value")
-    if dict(messages.dtypes)["value"] == "binary":
-        text = value.cast("string")
-        value = F.when(F.is_valid_utf8(text), text).otherwise(F.make_valid_utf8(text))
+    """Parse payload text. `_corrupt` holds the text of a record that is not a JSON object in valid UTF-8, else NULL.
+
+    Bytes that are no UTF-8 are repaired in `_corrupt` only; nothing of such a record is taken over.
+    """
+    text = F.col("value").cast("string")
+    messages = messages.select(F.make_valid_utf8(text).alias("_raw"), F.is_valid_utf8(text).alias("_utf8"))
     record = F.from_json(
-        "_raw", wire_schema(table, _CORRUPT), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        F.when(F.col("_utf8"), F.col("_raw")), wire_schema(table, _CORRUPT), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
     # Generated rather than projected, so that a filter on `_corrupt` does not parse the text again.
-    parsed = messages.select(value.alias("_raw")).select("_raw", F.inline(F.array(record)))
-    blank = F.col("_raw").isNull() | (F.trim("_raw") == "")
-    return parsed.withColumn(_CORRUPT, F.when(blank, F.coalesce("_raw", F.lit(""))).otherwise(F.col(_CORRUPT)))
+    parsed = messages.select("_raw", "_utf8", F.inline_outer(F.array(record)))
+    unreadable = F.col("_raw").isNull() | (F.trim("_raw") == "") | ~F.col("_utf8")
+    corrupt = F.when(unreadable, F.coalesce("_raw", F.lit(""))).otherwise(F.col(_CORRUPT))
+    return parsed.withColumn(_CORRUPT, corrupt).drop("_utf8")
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
@@ -31,8 +33,18 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("value"))
 
 
-def ingest(messages: DataFrame, table: str, keep_raw: bool = True) -> DataFrame:
-    """Decoded table rows plus `event_date`, and the payload text so that undeclared keys survive.
+def extra_keys(raw: Column, table: str) -> Column:
+    """Keys of a payload that its contract doesn't declare, with their values as text; NULL where there are none.
+
+    The keys alone are looked at first, so that only payloads with others are parsed a second time.
+    """
+    declared = F.array(*[F.lit(n) for n in wire_schema(table).names])
+    others = F.size(F.array_except(F.json_object_keys(raw), declared)) > 0
+    return F.when(others, F.map_filter(F.from_json(raw, "map<string,string>"), lambda k, v: ~F.array_contains(declared, k)))
+
+
+def ingest(messages: DataFrame, table: str, keep_extra: bool = True) -> DataFrame:
+    """Decoded table rows plus `event_date`, and undeclared keys in the map `extra`.
 
     Lists stay as their JSON text in the named column; `<name>_levels` / `<name>_list` hold them typed.
     """
@@ -47,14 +59,14 @@ def ingest(messages: DataFrame, table: str, keep_raw: bool = True) -> DataFrame:
             columns.append(F.from_json(field.name, PRICE_LEVELS).alias(f"{field.name}_levels"))
         if field.kind == "texts":
             columns.append(F.from_json(field.name, "array<string>").alias(f"{field.name}_list"))
-    if keep_raw:
-        columns.append(F.col("_raw"))
+    if keep_extra:
+        columns.append(extra_keys(F.col("_raw"), table).alias("extra"))
     return rows.select(*columns, F.to_date(to_utc(rows)).alias("event_date"))
 
 
-def from_topics(published: DataFrame, table: str, keep_raw: bool = True) -> DataFrame:
+def from_topics(published: DataFrame, table: str, keep_extra: bool = True) -> DataFrame:
     """Rows of one table out of routed records of all topics."""
-    return ingest(published.filter(F.col("topic") == TABLE_TOPICS[table]), table, keep_raw)
+    return ingest(published.filter(F.col("topic") == TABLE_TOPICS[table]), table, keep_extra)
 
 
 def event_type_counts(bronze: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import to_number, to_utc
+from marketlake.functions.casts import NUMBER_TEXT, to_number, to_utc
 from marketlake.functions.labels import invalid_reasons
-from marketlake.schemas import CONTRACTS, PRICE_LEVELS, Field
+from marketlake.schemas import CONTRACTS, LEVEL_FIELDS, Field
 
 
 def _typed(df: DataFrame, field: Field) -> Column:
@@ -22,12 +22,34 @@ def _typed(df: DataFrame, field: Field) -> Column:
     if field.kind == "flag":
         return F.col(field.name).try_cast("boolean")
     if field.kind == "levels":
-        return F.from_json(field.name, PRICE_LEVELS, {"mode": "PERMISSIVE"})
+        return _list_of(field.name, "{", _LEVEL_TEXTS)
     if field.kind == "texts":
-        return F.from_json(field.name, "array<string>")
+        return _list_of(field.name, "", "array<string>")
     return F.col(field.name)
 
 
+_LEVEL_TEXTS = f"array<struct<{', '.join(f'{f.name}: string' for f in LEVEL_FIELDS)}>>"
+
+
+def _list_of(name: str, opening: str, kind: str) -> Column:
+    """A JSON list, elements as text; NULL if the text is no list, or has an element that doesn't begin as it should."""
+    elements = F.from_json(name, "array<string>")
+    fits = F.col(name).rlike(r"^\s*\[") & F.forall(elements, lambda e: F.coalesce(e.startswith(opening), F.lit(opening == "")))
+    return F.when(fits, F.from_json(name, kind))
+
+
+def _level_checks(field: Field, levels: Column) -> dict[str, Column]:
+    """What any level of a list breaks."""
+    found = {}
+    for part in LEVEL_FIELDS:
+        number = lambda e: F.when(e[part.name].rlike(NUMBER_TEXT), e[part.name].try_cast("double"))  # noqa: B023, E731
+        whole = lambda e: number(e).isNull() | (number(e) != F.floor(number(e)))  # noqa: B023, E731
+        wrong = whole if part.kind == "integer" else lambda e: number(e).isNull()  # noqa: B023
+        found[f"missing:{field.name}.{part.name}"] = F.exists(levels, lambda e: e[part.name].isNull())  # noqa: B023
+        found[f"type:{field.name}.{part.name}"] = F.exists(levels, lambda e: e[part.name].isNotNull() & wrong(e))  # noqa: B023
+    return found
+
+
 def checks(df: DataFrame, event_type: str) -> dict[str, Column]:
     """Violation name -> predicate, in contract order."""
     found: dict[str, Column] = {}
@@ -42,6 +64,10 @@ def checks(df: DataFrame, event_type: str) -> dict[str, Column]:
             found[f"missing:{name}"] = ~present
         if field.kind != "text":
             found[f"type:{name}"] = present & typed.isNull()
+        if field.kind == "levels":
+            found.update(_level_checks(field, typed))
+        if field.kind == "texts":
+            found[f"missing:{name}[]"] = F.exists(typed, lambda e: e.isNull())
         if field.above is not None:
             found[f"bound:{name}"] = typed <= field.above
         if field.at_least is not None:

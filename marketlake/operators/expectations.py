@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ ERROR, WARN = "ERROR", "WARN"
 class Expectation:
     kind: str
     column: str
+    violated: Column | None = None  # row predicate
     violations: Column | None = None  # aggregate: number of violating rows
     observed: Column | None = None  # aggregate: a figure to report beside it
     unique_key: tuple[str, ...] = ()
@@ -32,7 +34,7 @@ class Suite:
         self.expectations: list[Expectation] = []
 
     def _add(self, kind: str, column: str, violated: Column) -> Suite:
-        self.expectations.append(Expectation(kind, column, F.count_if(violated)))
+        self.expectations.append(Expectation(kind, column, violated, F.count_if(violated)))
         return self
 
     def expect_not_null(self, column: str) -> Suite:
@@ -64,12 +66,16 @@ class Suite:
         """The newest value is at most `max_age_hours` older than `as_of`."""
         age = age_hours(F.max(column), as_of)
         late = F.when(age > max_age_hours, 1).otherwise(0).cast("bigint")
-        self.expectations.append(Expectation("expect_fresh", column, late, age))
+        self.expectations.append(Expectation("expect_fresh", column, None, late, age))
         return self
 
     def evaluate(self, df: DataFrame) -> DataFrame:
-        """One row per expectation. All but uniqueness share a single aggregate over the table."""
+        """One row per expectation. All but uniqueness share a single aggregate over the table; with one uniqueness check,
+        the others are counted within its keys, and the table is read once."""
         shared = [e for e in self.expectations if not e.unique_key]
+        unique = [e for e in self.expectations if e.unique_key]
+        if len(unique) == 1 and all(e.violated is not None for e in shared):
+            return self._labelled(self._evaluate_at_once(df, unique[0], shared))
         figures = [F.count(F.lit(1)).alias("n")]
         for i, e in enumerate(shared):
             figures.append(e.violations.alias(f"v{i}"))
@@ -91,12 +97,33 @@ class Suite:
         for e in self.expectations:
             if e.unique_key:
                 result = result.unionByName(self._evaluate_unique(df, e))
-        return result.filter("position >= 0").select(
+        return self._labelled(result.filter("position >= 0"))
+
+    def _labelled(self, result: DataFrame) -> DataFrame:
+        return result.select(
             F.lit(self.name).alias("suite"), F.lit(self.severity).alias("severity"), "position", "expectation",
             "column", "evaluated", "violations", "observed",
             ((F.col("evaluated") > 0) & (F.col("violations") == 0)).alias("passed"),
         )
 
+    def _evaluate_at_once(self, df: DataFrame, unique: Expectation, shared: list[Expectation]) -> DataFrame:
+        keys = list(unique.unique_key)
+        complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[e.violations.alias(f"_v{i}") for i, e in enumerate(shared)])
+        totals = per_key.agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
+            F.coalesce(F.sum(F.when((F.col("_n") > 1) & complete, F.col("_n"))), F.lit(0)).alias("u"),
+            *[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"v{i}") for i in range(len(shared))],
+        )
+        rows = [
+            F.struct(
+                F.lit(self.expectations.index(e)).alias("position"), F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column"),
+                F.col("n").alias("evaluated"), F.col(count).alias("violations"), F.lit(None).cast("double").alias("observed"),
+            )
+            for e, count in [(unique, "u"), *[(e, f"v{i}") for i, e in enumerate(shared)]]
+        ]
+        return totals.select(F.inline(F.array(*rows)))
+
     def _evaluate_unique(self, df: DataFrame, e: Expectation) -> DataFrame:
         keys = list(e.unique_key)
         complete = F.lit(True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketlake.functions.casts import (
     QUANTITY,
     TOTAL,
+    exact_mean,
     exact_notional,
     exact_parts,
     exact_sum,
@@ -90,8 +91,8 @@ def ohlcv(trades: DataFrame, stats: DataFrame) -> DataFrame:
 def market_quality(quotes: DataFrame, trades: DataFrame) -> DataFrame:
     """Average spread and imbalance per symbol and day, trade activity, and a composite score."""
     quote_stats = quotes.groupBy("symbol", _trade_day()).agg(
-        F.avg("spread_bps").alias("avg_spread_bps"),
-        F.avg(F.abs("depth_imbalance")).alias("avg_depth_imbalance"),
+        exact_mean(F.col("spread_bps")).alias("avg_spread_bps"),
+        exact_mean(F.abs("depth_imbalance")).alias("avg_depth_imbalance"),
         F.count(F.lit(1)).alias("quote_count"),
     )
     trade_stats = trades.groupBy("symbol", _trade_day()).agg(

@@ -44,11 +44,12 @@ def route(
     pairs = [F.lit(part) for entry in table.items() for part in entry]
     topic = F.try_element_at(F.create_map(*pairs), F.col("event_type"))
 
-    text = F.col("value").cast("string")
+    sent_text = F.col("value").cast("string")
+    text = F.make_valid_utf8(sent_text)  # repaired for the reject table; such a line is never published
     kept = [c for c in raw.columns if c not in ("value", "topic", "key", "event_type")]
     envelope = F.from_json(text, _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     # Generated rather than projected: filters on the labels below must not be pushed into a second parse.
-    parsed = raw.select(*kept, text.alias("_line"), F.inline(F.array(envelope)))
+    parsed = raw.select(*kept, text.alias("_line"), F.is_valid_utf8(sent_text).alias("_utf8"), F.inline(F.array(envelope)))
     line, event_type, data = F.col("_line"), F.col("event_type"), F.col("data")
     # `[...]`, `5` and `null` are JSON but no envelope; the second parse runs for rejected lines only.
     unreadable = F.col("_corrupt").isNotNull() | line.isNull() | (F.trim(line) == "")
@@ -57,7 +58,8 @@ def route(
         | ~data.startswith("{") | data.rlike(r"^\{\s*\}$")
     )
     disposition = (
-        F.when(unreadable, F.when(F.try_parse_json(line).isNull(), BAD_JSON).otherwise(MALFORMED))
+        F.when(~F.col("_utf8"), BAD_JSON)
+        .when(unreadable, F.when(F.try_parse_json(line).isNull(), BAD_JSON).otherwise(MALFORMED))
         .when(F.col("type").eqNullSafe("welcome"), CONTROL)
         .when(empty, MALFORMED)
     )

@@ -38,23 +38,19 @@ def _ensure(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
-    """Label TradeExecuted rows."""
-    if "event_type" in bronze.columns:
-        bronze = bronze.filter(F.col("event_type") == "TradeExecuted")
+def _trade_casts(bronze: DataFrame) -> DataFrame:
     side = F.lit("unknown")
     if "is_aggressive_buy" in bronze.columns:
         buy = F.col("is_aggressive_buy").cast("boolean")
         side = F.when(buy, "buy").when(~buy, "sell")
-    rows = _ensure(bronze, "trade_id", "symbol", "timestamp")
-    # The timestamp is part of the key, so only what tells two copies apart has to be ordered.
-    order = [c for c in ("event_id", INGEST_ORDER) if c in rows.columns] or ["timestamp"]
-    df = computed_once(rows, {
+    return computed_once(_ensure(bronze, "trade_id", "symbol", "timestamp"), {
         "price_cast": to_number(bronze, "price"),
         "quantity_cast": to_number(bronze, "quantity"),
         "timestamp_utc": to_utc(bronze),
     }).withColumn("side_normalized", side)
-    df = label_duplicates(df, TRADE_KEY, order, history=rows, settle=settle)
+
+
+def _trade_reasons(df: DataFrame) -> DataFrame:
     price, quantity = F.col("price_cast"), F.col("quantity_cast")
     return _with_labels(df, {
         "null_price": price.isNull(),
@@ -66,6 +62,24 @@ def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
     })
 
 
+def _executed(bronze: DataFrame) -> DataFrame:
+    return bronze.filter(F.col("event_type") == "TradeExecuted") if "event_type" in bronze.columns else bronze
+
+
+def trades_labelled(bronze: DataFrame) -> DataFrame:
+    """TradeExecuted rows with casts and reasons, but no duplicate flag: row by row, so fit for a stream."""
+    return _trade_reasons(_trade_casts(_executed(bronze)))
+
+
+def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
+    """Label TradeExecuted rows."""
+    bronze = _executed(bronze)
+    rows = _ensure(bronze, "trade_id", "symbol", "timestamp")
+    # The timestamp is part of the key, so only what tells two copies apart has to be ordered.
+    order = [c for c in ("event_id", INGEST_ORDER) if c in rows.columns] or ["timestamp"]
+    return _trade_reasons(label_duplicates(_trade_casts(bronze), TRADE_KEY, order, history=rows, settle=settle))
+
+
 def _is_placed(df: DataFrame) -> Column:
     return F.col("event_type").eqNullSafe("OrderPlaced") if "event_type" in df.columns else F.lit(True)
 

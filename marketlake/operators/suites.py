@@ -63,6 +63,10 @@ def gold_agent_pnl() -> Suite:
     return Suite("gold_agent_pnl").expect_between("trade_count", min_value=0).expect_between("total_volume", min_value=0)
 
 
+def agent_fill_rate() -> Suite:
+    return Suite("agent_fill_rate", WARN).expect_between("fill_rate_pct", 0, 100)
+
+
 def all_results(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
     """Results of every suite whose table is given, one row each."""
     suites = {

@@ -13,11 +13,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions.casts import to_utc
 from marketlake.operators import bronze, duplicates, gold, halts, promote, reference, router, staging
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
-from marketlake.sources.lake import BATCH, EVENT_DATE, Lake, on_dates
+from marketlake.sources.lake import BATCH, EVENT_DATE, PART, Lake, on_dates
 
 LAYERS = ("bronze", "staging", "invalid", "reference", "silver", "gold")
 STAGED = ("trades", "orders", "quotes")
@@ -33,50 +34,78 @@ def together(*steps: Callable[[], None]) -> None:
             done.result()
 
 
+def layer_schema(spark: SparkSession, layer: str, table: str) -> T.StructType:
+    """Columns of a stored staging, silver or invalid table: what staging makes of no rows at all."""
+    rows = spark.createDataFrame([], bronze_schema(table)).withColumn("_ingest_id", F.lit(None).cast("bigint"))
+    if layer == "bronze":
+        return bronze_schema(table)
+    made = {"trades": staging.trades, "orders": staging.orders, "quotes": staging.quotes}[table](rows)
+    return made.drop("_ingest_id").schema
+
+
 class LayerRun:
     """One run over a lake. `dates` per table is None for everything, or the dates to recompute."""
 
-    def __init__(self, lake: Lake, batch: int):
+    def __init__(self, lake: Lake, batch: int | None):
         self.lake, self.batch = lake, batch
         self.log: list[tuple] = []
+        self.work: list[str] = []
 
     # -- bookkeeping ---------------------------------------------------------------------------
 
     def store(self, df: DataFrame, layer: str, table: str, partition: str | None = EVENT_DATE, dates: Dates = None) -> None:
         started = datetime.now(timezone.utc)
-        self.lake.write(df, layer, table, partition, dates)
+        if dates is None:
+            self.lake.replace(df, layer, table, partition)
+        else:
+            self.lake.write(df, layer, table, partition, dates)
         self._logged(layer, table, started, partition, dates)
 
     def _logged(self, layer: str, table: str, started: datetime, partition: str | None, dates: Dates) -> None:
         if not self.lake.exists(layer, table):
             return
-        written = self.lake.spark.read.parquet(self.lake.path(layer, table))
-        # partition pruning and file footers answer this count; no data is read
+        # Only the partition column is asked for: pruning and file footers answer the count.
+        keys = {BATCH: f"{BATCH} int", None: "_none int"}
+        written = self.lake.spark.read.schema(keys.get(partition, f"{PART} date")).parquet(self.lake.path(layer, table))
         if dates is not None:
-            written = written.filter(on_dates(dates, partition))
+            written = written.filter(on_dates(dates, PART))
         if partition == BATCH:
             written = written.filter(F.col(BATCH) == self.batch)
         self.log.append((layer, table, written.count(), started, datetime.now(timezone.utc)))
 
-    def write_log(self) -> None:
+    def finish(self) -> None:
+        """Store the log and drop the lookups of this run."""
         spark = self.lake.spark
-        spark.createDataFrame(self.log, RUN_LOG).coalesce(1).write.mode("append").parquet(self.lake.path("ops", "run_log"))
-        self.log = []
+        if self.log:
+            spark.createDataFrame(self.log, RUN_LOG).coalesce(1).write.mode("append").parquet(self.lake.path("ops", "run_log"))
+        for folder in self.work:
+            self.lake.delete(folder)
+        self.log, self.work = [], []
 
     def bronze(self, table: str, dates: Dates = None) -> DataFrame:
         return self.lake.read("bronze", table, bronze_schema(table), dates, position=True)
 
     def table(self, layer: str, table: str, dates: Dates = None) -> DataFrame:
-        return self.lake.read(layer, table, dates=dates)
+        return self.lake.read(layer, table, layer_schema(self.lake.spark, layer, table), dates)
 
     # -- layers --------------------------------------------------------------------------------
 
-    def ingest(self, feed: DataFrame) -> None:
-        """Route the feed once, keep every routed line, and decode each topic into its bronze table."""
+    def ingest(self, feed: DataFrame, replace: bool = False) -> None:
+        """Route the feed once, keep every routed line, and decode each topic into its bronze table.
+
+        The landing table holds the one copy of the raw text. A batch id is used once; `replace` takes its rows out first.
+        """
         batch = self.batch
+        if batch is None:
+            raise ValueError("a feed needs a batch id of its own")
+        if self.lake.has_batch("landing", "messages", batch):
+            if not replace:
+                raise ValueError(f"batch {batch} is stored already; replace=True takes its rows out first")
+            for layer, table in [("landing", "messages"), *[("bronze", t) for t in TABLE_EVENTS]]:
+                self.lake.drop_batch(layer, table, batch)
         routed = router.route(feed).withColumn("topic", F.coalesce("topic", F.lit("none")))
         self.lake.append_batch(routed, "landing", "messages", batch, partition="topic")
-        landed = self.lake.spark.read.parquet(self.lake.path("landing", "messages")).filter(F.col(BATCH) == batch)
+        landed = self.lake.batch_rows("landing", "messages", batch, routed.schema)
 
         def add(table: str) -> None:
             started = datetime.now(timezone.utc)
@@ -86,40 +115,40 @@ class LayerRun:
         together(*[partial(add, table) for table in TABLE_EVENTS])
 
     def touched(self, table: str) -> Dates:
-        """Event dates the batch added rows to; a list no longer than the calendar."""
+        """Partitions (by their first date) the batch added rows to; a list no longer than the calendar."""
         if not self.lake.exists("bronze", table):
             return []
-        rows = self.lake.spark.read.parquet(self.lake.path("bronze", table)).filter(F.col(BATCH) == self.batch)
-        return _dates(rows.select(EVENT_DATE))
+        rows = self.lake.spark.read.schema(f"{PART} date, {BATCH} int").parquet(self.lake.path("bronze", table))
+        return _dates(rows.filter(F.col(BATCH) == self.batch).select(PART))
 
-    def stage(self, dates: dict[str, Dates]) -> None:
-        together(*[partial(self._stage, table, dates[table]) for table in STAGED])
+    def stage(self, dates: dict[str, Dates], tables: Iterable[str] = STAGED) -> None:
+        together(*[partial(self._stage, table, dates[table]) for table in tables])
 
     def _stage(self, table: str, days: Dates) -> None:
         rows = self.bronze(table, days)
         if table == "trades":
-            staged = staging.trades(rows, self.lake.settle("trade_firsts"))
+            staged = staging.trades(rows, self.lake.settle("trade_firsts", self.work))
         elif table == "orders":
             history = None if days is None else sharing_orders(self.bronze("orders"), rows)
-            staged = staging.orders(rows, history, self.lake.settle("order_facts"))
+            staged = staging.orders(rows, history, self.lake.settle("order_facts", self.work))
         else:
             staged = staging.quotes(rows)
         self.store(staged.drop("_ingest_id"), "staging", table, dates=days)
 
-    def reject(self, dates: dict[str, Dates]) -> None:
+    def reject(self, dates: dict[str, Dates], tables: Iterable[str] = STAGED) -> None:
         def add(table: str) -> None:
             rows = self.table("staging", table, dates[table])
             self.store(promote.invalid(rows, dup=table != "quotes"), "invalid", table, dates=dates[table])
 
-        together(*[partial(add, table) for table in STAGED])
+        together(*[partial(add, table) for table in tables])
 
-    def promote(self, dates: dict[str, Dates]) -> None:
+    def promote(self, dates: dict[str, Dates], tables: Iterable[str] = STAGED) -> None:
         def add(table: str) -> None:
             rows = self.table("staging", table, dates[table])
             good = promote.silver_orders(rows) if table == "orders" else promote.silver(rows, dup=table != "quotes")
             self.store(good, "silver", table, dates=dates[table])
 
-        together(*[partial(add, table) for table in STAGED])
+        together(*[partial(add, table) for table in tables])
 
     def refer(self) -> None:
         def symbols() -> None:
@@ -133,25 +162,30 @@ class LayerRun:
         spark = self.lake.spark
         together(symbols, *[partial(self.store, make(spark), "reference", name, None) for name, make in maps.items()])
 
-    def aggregate(self, dates: dict[str, Dates]) -> None:
-        trades, quotes, orders = (self.table("silver", t) for t in ("trades", "quotes", "orders"))
-        stats = self.lake.read("bronze", "market_stats", bronze_schema("market_stats"))
+    def agents_before(self, order_days: Dates) -> DataFrame | None:
+        """The agents on the stored silver orders of dates about to be rewritten, kept in a work folder."""
+        if order_days is None or not self.lake.exists("silver", "orders"):
+            return None
+        return self.lake.settle("agents_before", self.work)(self.table("silver", "orders", order_days).select("agent_id").distinct())
+
+    def aggregate(self, dates: dict[str, Dates], agents_before: DataFrame | None = None) -> None:
+        orders = self.table("silver", "orders")
 
-        def part(df: DataFrame, days: Dates) -> DataFrame:
-            return df if days is None else df.filter(on_dates(days))
+        def stats(days: Dates) -> DataFrame:
+            return self.lake.read("bronze", "market_stats", bronze_schema("market_stats"), days)
 
         def ohlcv() -> None:
             days = _union(dates["trades"], dates["market_stats"])
-            self.store(gold.ohlcv(part(trades, days), part(stats, days)), "gold", "ohlcv", "trade_date", days)
+            self.store(gold.ohlcv(self.table("silver", "trades", days), stats(days)), "gold", "ohlcv", "trade_date", days)
 
         def quality() -> None:
             days = _union(dates["trades"], dates["quotes"])
-            scores = gold.market_quality(part(quotes, days), part(trades, days))
+            scores = gold.market_quality(self.table("silver", "quotes", days), self.table("silver", "trades", days))
             self.store(scores, "gold", "market_quality", "trade_date", days)
 
         def pnl() -> None:
-            days = _union(dates["trades"], self._days_of_agents(trades, orders, dates["orders"]))
-            self.store(gold.agent_pnl(part(trades, days), orders), "gold", "agent_pnl", "trade_date", days)
+            days = _union(dates["trades"], self._days_of_agents(orders, dates["orders"], agents_before))
+            self.store(gold.agent_pnl(self.table("silver", "trades", days), orders), "gold", "agent_pnl", "trade_date", days)
 
         def breaker() -> None:
             # Pairing counts from a symbol's first halt on; halts are rare, so they are paired afresh.
@@ -160,13 +194,15 @@ class LayerRun:
 
         together(ohlcv, quality, pnl, breaker)
 
-    def _days_of_agents(self, trades: DataFrame, orders: DataFrame, order_days: Dates) -> Dates:
-        """Trade dates whose P&L may move because a recomputed order changes an agent's type."""
+    def _days_of_agents(self, orders: DataFrame, order_days: Dates, before: DataFrame | None) -> Dates:
+        """Partitions of trades whose P&L may move because the recomputed orders, old or new, speak of an agent."""
         if order_days is None:
             return None
-        agents = orders.filter(on_dates(order_days)).select("agent_id").distinct()
-        sides = trades.select(EVENT_DATE, F.explode(F.array("buyer_agent_id", "seller_agent_id")).alias("agent_id"))
-        return _dates(sides.distinct().join(agents, "agent_id", "left_semi").select(EVENT_DATE))
+        agents = self.table("silver", "orders", order_days).select("agent_id")
+        agents = (agents if before is None else agents.union(before)).distinct()
+        part = self.lake.part(F.col(EVENT_DATE)).alias(PART)
+        sides = self.table("silver", "trades").select(part, F.explode(F.array("buyer_agent_id", "seller_agent_id")).alias("agent_id"))
+        return _dates(sides.distinct().join(agents, "agent_id", "left_semi").select(PART))
 
 
 def _dates(column: DataFrame) -> list[str | None]:
@@ -183,23 +219,23 @@ def sharing_orders(orders: DataFrame, rows: DataFrame) -> DataFrame:
     return orders.join(ids, F.col("order_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
-def order_dates_to_redo(orders: DataFrame, touched: list[str | None]) -> list[str | None]:
-    """Dates whose order labels may change when rows of the touched dates arrive.
+def order_dates_to_redo(lake: Lake, orders: DataFrame, touched: list[str | None]) -> list[str | None]:
+    """Partitions whose order labels may change when rows of the touched ones arrive.
 
-    Besides those dates: every placement of an order cancelled there, and the row that was an order's
+    Besides those: every placement of an order cancelled there, and the row that was an order's
     first placement until an earlier one arrived.
     """
-    orders = orders.withColumn("timestamp_utc", to_utc(orders))
-    new = on_dates(touched)
-    fresh, old = orders.filter(new), orders.filter(~new | (F.lit(None not in touched) & F.col(EVENT_DATE).isNull()))
+    orders = orders.withColumn("timestamp_utc", to_utc(orders)).withColumn(PART, lake.part(F.col(EVENT_DATE)))
+    new = on_dates(touched, PART)
+    fresh, old = orders.filter(new), orders.filter(~new | (F.lit(None not in touched) & F.col(PART).isNull()))
     cancelled = fresh.filter("event_type = 'OrderCancelled' AND order_id IS NOT NULL").select("order_id").distinct()
-    by_cancel = old.join(cancelled, "order_id", "left_semi").select(EVENT_DATE)
+    by_cancel = old.join(cancelled, "order_id", "left_semi").select(PART)
     placed = duplicates.same_key([F.col("order_id")], [F.col("_id")])
     ids = fresh.filter("event_type = 'OrderPlaced'").select(F.col("order_id").alias("_id")).distinct()
     firsts = (
         old.filter("event_type = 'OrderPlaced'").join(ids, placed, "left_semi")
-        .groupBy("order_id").agg(F.min(F.struct(*staging.order_columns(orders), EVENT_DATE)).alias("f"))
-        .select(F.col(f"f.{EVENT_DATE}").alias(EVENT_DATE))
+        .groupBy("order_id").agg(F.min(F.struct(*staging.order_columns(orders), PART)).alias("f"))
+        .select(F.col(f"f.{PART}").alias(PART))
     )
     return _union(touched, _dates(by_cancel.unionByName(firsts)))
 
@@ -208,13 +244,16 @@ def run_layers(
     lake: Lake,
     layers: Iterable[str] = LAYERS,
     feed: DataFrame | None = None,
-    batch: int = 0,
+    batch: int | None = None,
     dates: str | None = None,
+    replace: bool = False,
 ) -> None:
     """Run the chosen layers in dependency order.
 
-    `feed` holds raw envelope lines (`value`) for bronze. `dates="batch"` limits the later layers to what
-    that batch touched; by default they are computed from all of the layer below.
+    `feed` holds raw envelope lines (`value`) for bronze; it needs a `batch` id that isn't stored yet, or `replace`, which takes
+    the stored batch out first. `dates="batch"` limits the later layers to what that batch touched; by default they are
+    computed from all of the layer below, and replace whole tables. A replaced batch may have held other dates, so it
+    goes with the default.
     """
     chosen = set(layers)
     unknown = chosen - set(LAYERS)
@@ -222,24 +261,27 @@ def run_layers(
         raise ValueError(f"unknown layers {sorted(unknown)}")
     if dates not in (None, "batch"):
         raise ValueError(f"dates must be None or 'batch', not {dates!r}")
+    if dates == "batch" and (batch is None or replace):
+        raise ValueError("dates='batch' goes with a new batch")
     run = LayerRun(lake, batch)
     if "bronze" in chosen and feed is not None:
-        run.ingest(feed)
+        run.ingest(feed, replace)
     scope: dict[str, Dates] = dict.fromkeys(("trades", "orders", "quotes", "market_stats"))
     if dates == "batch":
         scope = {t: run.touched(t) for t in scope}
-        scope["orders"] = order_dates_to_redo(run.bronze("orders"), scope["orders"])
+        scope["orders"] = order_dates_to_redo(lake, run.bronze("orders"), scope["orders"])
     if "staging" in chosen:
         run.stage(scope)
     if "invalid" in chosen:
         run.reject(scope)
     if "reference" in chosen:
         run.refer()
+    agents = run.agents_before(scope["orders"]) if "silver" in chosen else None
     if "silver" in chosen:
         run.promote(scope)
     if "gold" in chosen:
-        run.aggregate(scope)
-    run.write_log()
+        run.aggregate(scope, agents)
+    run.finish()
 
 
 def table_counts(lake: Lake) -> DataFrame:

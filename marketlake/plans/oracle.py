@@ -98,17 +98,6 @@ SELECT 'TradeExecuted' AS event_type, 'E' || n AS event_id, timestamp, symbol, '
        'C' || (user_id + k) AS seller_agent_id, CASE WHEN k % 2 = 0 THEN 'buy' ELSE 'sell' END AS side_normalized, ts
 FROM ev WHERE kind = 'purchase' AND value > 0"""
 
-PARTS["w_event_orders"] = f"""
-SELECT CASE copy WHEN 'X' THEN 'OrderCancelled' ELSE 'OrderPlaced' END AS event_type, copy || n AS event_id, symbol,
-       CASE WHEN k <> 50 THEN 'O' || n END AS order_id, CASE WHEN copy <> 'X' THEN CASE WHEN k % 2 = 0 THEN 'Buy' ELSE 'Sell' END END AS side,
-       CASE WHEN copy <> 'X' THEN ['Market', 'Limit', 'StopLoss', 'StopLimit', 'Iceberg'][k % 5 + 1] END AS order_type,
-       CASE WHEN copy <> 'X' AND k % 5 <> 0 THEN CAST(value AS VARCHAR) END AS price,
-       CASE WHEN copy <> 'X' AND k <> 60 THEN CAST(k + 1 AS VARCHAR) END AS quantity, CASE WHEN copy <> 'X' THEN 'C' || user_id END AS agent_id,
-       CASE WHEN copy <> 'X' THEN ['RetailTrader', 'InstitutionalInvestor', 'MarketMaker', 'HighFrequencyTrader', 'Arbitrageur'][user_id % 5 + 1] END AS agent_type,
-       ts + to_days(CASE copy WHEN 'X' THEN 2 WHEN 'R' THEN 1 ELSE 0 END) AS ts
-FROM (SELECT *, unnest(['P', 'R', 'X']) AS copy FROM ev WHERE kind = 'view')
-WHERE copy = 'P' OR (copy = 'R' AND k % 25 = 0) OR (copy = 'X' AND k % 10 = 0)"""
-
 PARTS["s_trades"] = """
 SELECT *, reasons AS _invalid_reasons, CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS _validation_status
 FROM (SELECT *, concat_ws('|', CASE WHEN price_cast IS NULL THEN 'null_price' END, CASE WHEN quantity_cast IS NULL THEN 'null_quantity' END,
@@ -138,7 +127,6 @@ FROM (SELECT *, concat_ws('|', CASE WHEN order_id IS NULL THEN 'null_order_id' E
 
 
 PARTS["s_orders"] = _stage_orders("w_orders")
-PARTS["s_event_orders"] = _stage_orders("w_event_orders")
 
 PARTS["s_quotes"] = """
 SELECT *, reasons AS _invalid_reasons, CASE WHEN reasons = '' THEN 'valid' ELSE 'invalid' END AS _validation_status
@@ -156,8 +144,6 @@ PARTS["trades_ok"] = "SELECT *, CAST(ts AS DATE) AS trade_date FROM s_trades WHE
 PARTS["orders_ok"] = "SELECT * FROM s_orders WHERE _validation_status = 'valid' AND NOT _is_duplicate AND event_type <> 'OrderCancelled'"
 PARTS["quotes_ok"] = "SELECT *, CAST(ts AS DATE) AS trade_date FROM s_quotes WHERE _validation_status = 'valid'"
 
-PARTS["event_orders_ok"] = "SELECT * FROM s_event_orders WHERE _validation_status = 'valid' AND NOT _is_duplicate AND event_type <> 'OrderCancelled'"
-
 
 def _bars(trades: str) -> str:
     return f"""
@@ -169,7 +155,6 @@ FROM {trades} GROUP BY symbol, trade_date"""
 
 
 PARTS["g_bars"] = _bars("trades_ok")
-PARTS["g_event_bars"] = _bars("(SELECT *, CAST(ts AS DATE) AS trade_date FROM w_event_trades)")
 
 PARTS["g_stats"] = """
 SELECT symbol, CAST(ts AS DATE) AS trade_date, CAST(vwap AS DOUBLE) AS stats_vwap, CAST(volume AS DOUBLE) AS stats_volume
@@ -180,10 +165,15 @@ PARTS["g_ohlcv"] = """
 SELECT b.*, stats_vwap, stats_volume, round(abs(vwap - coalesce(stats_vwap, vwap)) / nullif(vwap, 0) * 100, 4) AS vwap_deviation_pct
 FROM g_bars b LEFT JOIN g_stats USING (symbol, trade_date)"""
 
-PARTS["g_quality"] = """
-SELECT q.symbol, q.trade_date, round(s, 6) AS avg_spread_bps, round(i, 6) AS avg_depth_imbalance, quote_count, trade_count, total_volume,
-       round(100.0 - least(s, 100) - i * 50, 6) AS quality_score
-FROM (SELECT symbol, trade_date, avg(spread_bps) AS s, avg(abs(depth_imbalance)) AS i, count(*) AS quote_count FROM quotes_ok GROUP BY ALL) q
+def _mean(value: str) -> str:
+    """Mean of the values at nine places each."""
+    return f"CAST(sum(CAST(round_even({value} * 1e9, 0) AS DECIMAL(28,0))) AS DOUBLE) / 1e9 / nullif(count({value}), 0)"
+
+
+PARTS["g_quality"] = f"""
+SELECT q.symbol, q.trade_date, s AS avg_spread_bps, i AS avg_depth_imbalance, quote_count, trade_count, total_volume,
+       100.0::DOUBLE - least(s, 100.0::DOUBLE) - i * 50 AS quality_score
+FROM (SELECT symbol, trade_date, {_mean('spread_bps')} AS s, {_mean('abs(depth_imbalance)')} AS i, count(*) AS quote_count FROM quotes_ok GROUP BY symbol, trade_date) q
 LEFT JOIN (SELECT symbol, CAST(ts AS DATE) AS trade_date, count(*) AS trade_count, sum(quantity_cast) AS total_volume FROM w_event_trades GROUP BY ALL) t
   ON q.symbol = t.symbol AND q.trade_date = t.trade_date"""
 
@@ -194,7 +184,6 @@ GROUP BY agent_id, agent_type_normalized QUALIFY row_number() OVER (PARTITION BY
 
 
 PARTS["g_agents"] = _agents("orders_ok")
-PARTS["g_event_agents"] = _agents("event_orders_ok")
 
 
 def _sides(trades: str) -> str:
@@ -207,7 +196,6 @@ SELECT trade_id, symbol, trade_date, price_cast, quantity_cast, 'sell', seller_a
 
 
 PARTS["g_sides"] = _sides("trades_ok")
-PARTS["g_event_sides"] = _sides("(SELECT *, CAST(ts AS DATE) AS trade_date FROM w_event_trades)")
 
 
 def _pnl(agents: str, sides: str = "g_sides") -> str:
@@ -220,7 +208,6 @@ GROUP BY agent_type, trade_date"""
 
 
 PARTS["g_pnl"] = _pnl("SELECT * FROM g_agents")
-PARTS["g_event_pnl"] = _pnl("SELECT * FROM g_event_agents", "g_event_sides")
 
 PARTS["g_pairs"] = """
 SELECT h.symbol, h.seq AS halt_seq, CAST(h.ts AS DATE) AS halt_date, h.ts AS halt_ts, r.ts AS resume_ts,
@@ -387,35 +374,28 @@ FROM ({evaluated}) GROUP BY suite, severity"""
 
 ALL_RESULTS = " UNION ALL ".join(f"SELECT * FROM ({_result(c)})" for c in CHECKS.values())
 
+TABLES = ("trades", "orders", "quotes", "order_book", "market_stats", "trading_halts", "agent_actions")
+TOPICS = ("trades", "orders", "quotes", "orderbook", "stats", "halts", "agents")
+
 BRONZE_STREAM = " UNION ALL ".join(
-    f"SELECT event_type, event_id, symbol, timestamp FROM w_{t}" for t in ("quotes", "trading_halts", "agent_actions")
+    f"SELECT event_type, event_id, symbol, timestamp FROM w_{t}" for t in TABLES
 ) + " UNION ALL SELECT 'Own', 'N' || n, NULL, NULL FROM digits WHERE digit = 5"
 
 ROUTED = """
-SELECT topic, key, event_type, event_type AS payload_event_type, event_id, timestamp AS sent_at FROM (
-  SELECT 'stock.quotes' AS topic, symbol AS key, event_type, event_id, timestamp FROM w_quotes
-  UNION ALL SELECT 'stock.halts', symbol, event_type, event_id, timestamp FROM w_trading_halts
-  UNION ALL SELECT 'stock.agents', symbol, event_type, event_id, timestamp FROM w_agent_actions)
+SELECT topic, key, event_type, event_type AS payload_event_type, event_id, timestamp AS sent_at FROM (""" + " UNION ALL ".join(
+    f"SELECT 'stock.{topic}' AS topic, symbol AS key, event_type, event_id, timestamp FROM w_{t}" for t, topic in zip(TABLES, TOPICS)
+) + """)
 UNION ALL SELECT 'stock.unknown', 'Heartbeat', 'Heartbeat', 'Heartbeat', 'N' || n, NULL FROM digits WHERE digit = 2
 UNION ALL SELECT 'stock.agents', 'AgentAction', 'AgentAction', 'Own', 'N' || n, NULL FROM digits WHERE digit = 5"""
 
-BAD_ORDER = "reasons <> '' OR _is_duplicate"
+BAD = "reasons <> '' OR _is_duplicate"
 LAYER_ROWS = {
-    "bronze": {
-        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND (again = 0 OR k % 50 = 0)", "orders": "w_event_orders",
-        "quotes": "w_quotes", "order_book": "w_order_book", "market_stats": "ev WHERE kind = 'purchase'", "trading_halts": "w_trading_halts",
-    },
-    "staging": {
-        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND (again = 0 OR k % 50 = 0)", "orders": "s_event_orders",
-        "quotes": "s_quotes",
-    },
-    "silver": {"trades": "w_event_trades", "orders": "event_orders_ok", "quotes": "quotes_ok"},
-    "invalid": {
-        "trades": "ev, (SELECT unnest([0, 1]) AS again) WHERE kind = 'purchase' AND ((again = 0 AND value <= 0) OR (again = 1 AND k % 50 = 0))",
-        "orders": f"s_event_orders WHERE {BAD_ORDER}", "quotes": "s_quotes WHERE reasons <> ''",
-    },
+    "bronze": {t: f"w_{t}" for t in TABLES if t != "agent_actions"},
+    "staging": {t: f"s_{t}" for t in ("trades", "orders", "quotes")},
+    "silver": {t: f"{t}_ok" for t in ("trades", "orders", "quotes")},
+    "invalid": {"trades": f"s_trades WHERE {BAD}", "orders": f"s_orders WHERE {BAD}", "quotes": "s_quotes WHERE reasons <> ''"},
     "gold": {
-        "ohlcv": "g_event_bars", "agent_pnl": "g_event_pnl", "market_quality": "(SELECT DISTINCT symbol, trade_date FROM quotes_ok)",
+        "ohlcv": "g_bars", "agent_pnl": "g_pnl", "market_quality": "(SELECT DISTINCT symbol, trade_date FROM quotes_ok)",
         "circuit_breaker": "(SELECT DISTINCT symbol, halt_date FROM g_pairs)",
     },
 }
@@ -425,12 +405,12 @@ LAYER_COUNTS = "SELECT * FROM (" + " UNION ALL ".join(
     for layer, tables in LAYER_ROWS.items() for table, rows in tables.items()
 ) + """
 UNION ALL SELECT 'bronze', 'agent_actions', (SELECT count(*) FROM w_agent_actions) + (SELECT count(*) FROM digits WHERE digit = 5)
-UNION ALL SELECT 'reference', 'symbols', count(*) FROM (SELECT DISTINCT symbol FROM ev WHERE kind IN ('purchase', 'view', 'click'))) WHERE n_rows > 0"""
+UNION ALL SELECT 'reference', 'symbols', count(*) FROM (SELECT symbol FROM s_trades UNION SELECT symbol FROM s_orders UNION SELECT symbol FROM s_quotes)) WHERE n_rows > 0"""
 
 INCREMENTS = """
-SELECT 'orders' AS table_name, event_id AS key, fill_status AS label, CASE WHEN _is_duplicate THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS amount FROM s_event_orders
-UNION ALL SELECT 'ohlcv', symbol || '|' || trade_date, CAST(trade_count AS VARCHAR), vwap FROM g_event_bars
-UNION ALL SELECT 'agent_pnl', agent_type || '|' || trade_date, CAST(symbols_traded AS VARCHAR), realized_pnl FROM g_event_pnl"""
+SELECT 'orders' AS table_name, event_id AS key, fill_status AS label, CASE WHEN _is_duplicate THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS amount FROM s_orders
+UNION ALL SELECT 'ohlcv', symbol || '|' || trade_date, CAST(trade_count AS VARCHAR), vwap FROM g_bars
+UNION ALL SELECT 'agent_pnl', agent_type || '|' || trade_date, CAST(symbols_traded AS VARCHAR), realized_pnl FROM g_pnl"""
 
 PAIRS_OUT = f"""SELECT * EXCLUDE (halt_ts, resume_ts), {_stamp('halt_ts')}, {_stamp('resume_ts')} FROM g_pairs"""
 STATUS_OUT = "SELECT event_id, order_id, fill_status, _is_duplicate FROM s_orders"
@@ -440,11 +420,14 @@ _BODIES: dict[str, str] = {
     "bronze_order_book": """SELECT * EXCLUDE (ts, value), CAST(value - CAST(0.05 AS DECIMAL(18,2)) AS DOUBLE) AS bids_top, 60.0::DOUBLE AS bids_depth,
         CAST(value + CAST(0.05 AS DECIMAL(18,2)) AS DOUBLE) AS asks_top, 60.0::DOUBLE AS asks_depth, CAST(ts AS DATE) AS event_date FROM w_order_book""",
     "bronze_agent_actions": "SELECT * EXCLUDE (ts), decision_factors AS decision_factors_list, CAST(ts AS DATE) AS event_date FROM w_agent_actions",
-    "decode_json_events": """
-        SELECT event_type, quarantined, count(*) AS n_lines FROM (
-          SELECT 'QuoteUpdate' AS event_type, false AS quarantined FROM w_quotes UNION ALL SELECT 'AgentAction', false FROM w_agent_actions
-          UNION ALL SELECT CASE digit WHEN 2 THEN 'Heartbeat' WHEN 3 THEN 'QuoteUpdate' WHEN 5 THEN 'AgentAction' END, digit IN (1, 4) FROM digits WHERE digit <= 5)
+    "decode_json_events": "SELECT event_type, quarantined, count(*) AS n_lines FROM (" + " UNION ALL ".join(
+        f"SELECT event_type, false AS quarantined FROM w_{t}" for t in TABLES
+    ) + """ UNION ALL SELECT CASE digit WHEN 2 THEN 'Heartbeat' WHEN 3 THEN 'QuoteUpdate' WHEN 5 THEN 'AgentAction' END, digit IN (1, 4) FROM digits WHERE digit <= 5)
         GROUP BY ALL""",
+    "decode_utf8": """SELECT right(event_id, 1) = '7' AS quarantined, count(*) AS n_records, count(*) FILTER (WHERE right(event_id, 1) <> '7') AS n_event_ids
+        FROM w_quotes GROUP BY 1""",
+    "bronze_extra_keys": """SELECT 'venue' AS key, 'v' || (CAST(substr(event_id, 2) AS BIGINT) % 7) AS value, count(*) AS n_rows FROM w_quotes GROUP BY 2
+        UNION ALL SELECT 'is_odd', 'true', count(*) FROM w_quotes WHERE CAST(substr(event_id, 2) AS BIGINT) % 5 = 0 HAVING count(*) > 0""",
     "event_type_counts": " UNION ALL ".join(
         f"SELECT event_type, count(*) AS n_events FROM w_{t} GROUP BY event_type"
         for t in ("trades", "orders", "quotes", "order_book", "market_stats", "trading_halts", "agent_actions")
@@ -476,6 +459,10 @@ _BODIES: dict[str, str] = {
         _violated("w_orders", "OrderPlaced", missing__order_id="order_id IS NULL", value__order_type="order_type = 'Iceberg'",
                   missing__quantity="quantity IS NULL", value__agent_type="agent_type = 'Arbitrageur'"),
         _violated("w_orders", "OrderCancelled", missing__order_id="order_id IS NULL"),
+        _violated("w_order_book", "OrderBookSnapshot", **{
+            "type__bids.price": "right(event_id, 1) = '1'", "missing__bids.quantity": "right(event_id, 1) = '2'",
+            "type__asks.order_count": "right(event_id, 1) = '3'", "type__asks": "right(event_id, 1) = '4'"}),
+        _violated("w_agent_actions", "AgentAction", **{"missing__decision_factors[]": "right(event_id, 1) = '5'", "type__decision_factors": "right(event_id, 1) = '6'"}),
         _violated("w_market_stats", "MarketStats", **{f"bound__{c}": f"CAST({c} AS DOUBLE) <= 0" for c in ("open", "high", "low", "close", "vwap")}),
     ]),
     "order_fill_status": STATUS_OUT,
@@ -515,6 +502,9 @@ _BODIES: dict[str, str] = {
     "expect_ordered": """SELECT o_orderpriority, count(*) AS evaluated, count(*) FILTER (WHERE o_orderdate < previous) AS violations
         FROM (SELECT *, lag(o_orderdate) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS previous FROM orders) GROUP BY o_orderpriority""",
     **{f"check_{name}": _result(check) for name, check in CHECKS.items()},
+    "check_agent_fill_rate": _result(_expect(
+        "agent_fill_rate", "WARN", "(SELECT count(*) FILTER (WHERE fill_status <> 'cancelled') * 100.0 / count(*) AS rate FROM orders_ok GROUP BY agent_type_normalized)",
+        ("expect_between", "fill_rate_pct", "rate < 0 OR rate > 100"))),
     "suite_results": ALL_RESULTS,
     "check_pass_rate": f"""SELECT checks, passed_checks, pass_rate_pct, CASE WHEN pass_rate_pct < 80 THEN 'red' WHEN pass_rate_pct < 95 THEN 'yellow' ELSE 'green' END AS band
         FROM (SELECT count(*) AS checks, count(*) FILTER (WHERE passed) AS passed_checks,
@@ -533,7 +523,7 @@ _BODIES: dict[str, str] = {
         FROM g_pnl GROUP BY agent_type ORDER BY total_pnl DESC""",
     "adhoc_trades_by_symbol": f"""SELECT {_stamp('ts', 'timestamp_utc')}, event_id, price_cast, quantity_cast, side_normalized
         FROM trades_ok WHERE symbol = 'Brand#7' ORDER BY ts, event_id LIMIT 100""",
-    "adhoc_mean_by_symbol": "SELECT symbol, round(avg(vwap), 4) AS vwap, round(avg(volume), 4) AS volume FROM g_bars GROUP BY symbol",
+    "adhoc_mean_by_symbol": f"SELECT symbol, {_mean('vwap')} AS vwap, {_mean('volume')} AS volume FROM g_bars GROUP BY symbol",
     "adhoc_sql_params": """SELECT symbol, count(*) AS n_trades, max(price_cast) AS top_price FROM trades_ok
         WHERE price_cast >= 20000 AND side_normalized = 'buy' GROUP BY symbol""",
     "agent_fill_rate": """SELECT agent_type_normalized AS agent_type, count(*) AS orders, count(*) FILTER (WHERE fill_status <> 'cancelled') AS kept_orders,
@@ -559,13 +549,18 @@ _BODIES: dict[str, str] = {
         CASE WHEN timestamp >= '2024-01-15' THEN ask END AS ask, CAST(ts AS DATE) AS event_date FROM s_quotes""",
     "lake_write_dynamic_overwrite": """SELECT event_id, timestamp, symbol, spread_bps, CASE WHEN timestamp >= '2024-01-15' THEN 2 ELSE 1 END AS version,
         CAST(ts AS DATE) AS event_date FROM quotes_ok""",
+    "lake_rerun_replaces": """SELECT event_id, timestamp, symbol, spread_bps, CAST(ts AS DATE) AS event_date FROM quotes_ok
+        WHERE timestamp >= '2024-01-10' AND symbol <> 'SYM3'""",
     "lake_run_layers": LAYER_COUNTS,
     "lake_run_layers_incremental": INCREMENTS,
     "stream_ingest_bronze": BRONZE_STREAM,
     "stream_dedup": """SELECT DISTINCT trade_id, symbol, timestamp, price, quantity FROM w_trades
         WHERE TRY_CAST(price AS DOUBLE) > 0 AND TRY_CAST(quantity AS DOUBLE) > 0""",
     "stream_ohlcv": "SELECT symbol, trade_date, open, high, low, close, volume, vwap, trade_count FROM g_bars",
-    "stream_order_status": STATUS_OUT.replace("s_orders", "s_event_orders"),
+    "stream_silver_trades": _rows("trades", "reasons = '' AND NOT _is_duplicate"),
+    "stream_invalid_trades": _rows("trades", "reasons <> '' OR _is_duplicate"),
+    "stream_silver_quotes": _rows("quotes", "reasons = ''"),
+    "stream_order_status": STATUS_OUT,
     "stream_halt_pairing": PAIRS_OUT,
 }
 

@@ -30,6 +30,7 @@ from marketlake.operators import (
     suites,
 )
 from marketlake.plans import layers, reports
+from marketlake.schemas import TABLE_EVENTS, bronze_schema
 from marketlake.session import configure, shared_folder
 from marketlake.sources import driver_tables as source
 from marketlake.sources import feed as feeds
@@ -37,6 +38,7 @@ from marketlake.sources.lake import Lake
 from marketlake.streaming import halts as halt_stream
 from marketlake.streaming import ingest as ingest_stream
 from marketlake.streaming import orders as order_stream
+from marketlake.streaming import staged as staged_stream
 from marketlake.streaming import trades as trade_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +46,10 @@ QUERIES: dict[str, Query] = {}
 
 # The given events end on 2024-01-30; reports on age look from this instant.
 AS_OF = "2024-01-31 12:00:00"
+# The given feed spans seven years with some rows a day.
+HISTORY = "month"
+# How late a trade may come in the streams; the feed's files are in event order.
+DELAY = "2 days"
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -65,22 +71,19 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def scratch_lake(spark: SparkSession, name: str) -> Lake:
-    return Lake(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+def scratch_lake(spark: SparkSession, name: str, unit: str = "day") -> Lake:
+    return Lake(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", unit)
 
 
 # --- shared frames ------------------------------------------------------------------------------
 
 
 def settle(spark: SparkSession, name: str):
-    """Stores a lookup's small side first, so that the large side is joined without being shuffled.
+    """Stores a lookup's small side first, so that the planner knows its size before it joins the large side.
 
-    A cluster without a shared folder does without it; the join then settles its sides at run time.
+    It needs the shared folder; a session without one is told so.
     """
-    try:
-        return scratch_lake(spark, "lookup").settle(name)
-    except ValueError:
-        return None
+    return scratch_lake(spark, "lookup").settle(name)
 
 
 def staged_trades(spark, d):
@@ -112,10 +115,9 @@ def bars(spark, d):
 
 
 def quality(spark, d):
-    """Quotes against the trades of the same symbols; averages rounded to what any summing order gives."""
+    """Quotes against the trades of the same symbols."""
     trades = promote.silver(staging.trades(source.event_trades(spark, d)))
-    df = gold.market_quality(good_quotes(spark, d), trades)
-    return df.withColumns({c: F.round(c, 6) for c in ("avg_spread_bps", "avg_depth_imbalance", "quality_score")})
+    return gold.market_quality(good_quotes(spark, d), trades)
 
 
 def pnl(spark, d):
@@ -127,7 +129,7 @@ def pnl(spark, d):
 
 def _bronze(name: str) -> Query:
     def run(spark, d):
-        df = bronze.ingest(source.topic_messages(spark, d, name), name, keep_raw=False)
+        df = bronze.ingest(source.topic_messages(spark, d, name), name, keep_extra=False)
         for side in ("bids", "asks"):
             if side in df.columns:  # the typed levels, told by their best price and total depth
                 depth = F.aggregate(f"{side}_levels", F.lit(0.0), lambda a, x: a + x["quantity"])
@@ -147,13 +149,38 @@ for _name in source.TABLES:
 @query
 def decode_json_events(spark, d):
     """Feed lines decoded as quotes: good and undecodable ones by event type."""
-    lines = source.raw_feed(spark, d, ("quotes", "agent_actions"))
-    decoded = bronze.decode(lines, "quotes")
+    decoded = bronze.decode(source.raw_feed(spark, d), "quotes")
     return decoded.groupBy("event_type", F.col("_corrupt").isNotNull().alias("quarantined")).agg(
         F.count(F.lit(1)).alias("n_lines")
     )
 
 
+@query
+def decode_utf8(spark, d):
+    """Quote payloads as bytes, every tenth with a byte that is no UTF-8: what is taken and what goes to quarantine."""
+    rows = source.topic_messages(spark, d, "quotes").select("value", F.get_json_object("value", "$.event_id").alias("id"))
+    broken = F.concat(F.encode(F.lit('{"note":"'), "utf-8"), F.unhex(F.lit("FF")), F.encode(F.concat(F.lit('",'), F.substring("value", 2, 1 << 30)), "utf-8"))
+    sent = rows.select(F.when(F.col("id").endswith("7"), broken).otherwise(F.encode("value", "utf-8")).alias("value"))
+    decoded = bronze.decode(sent, "quotes")
+    return decoded.groupBy(F.col("_corrupt").isNotNull().alias("quarantined")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.count("event_id").alias("n_event_ids")
+    )
+
+
+@query
+def bronze_extra_keys(spark, d):
+    """Keys that no contract declares, out of stored bronze rows: here each quote carries its venue, every fifth a flag too."""
+    lake = scratch_lake(spark, "extra")
+    rows = source.topic_messages(spark, d, "quotes")
+    number = F.get_json_object("value", "$.event_id").substr(F.lit(2), F.lit(20)).cast("bigint")
+    venue = F.concat(F.lit('{"venue":"v'), (number % 7).cast("string"), F.lit('",'))
+    flag = F.when(number % 5 == 0, F.lit('"is_odd":true,')).otherwise("")
+    sent = rows.select(F.concat(venue, flag, F.substring("value", 2, 1 << 30)).alias("value"))
+    lake.append_batch(bronze.ingest(sent, "quotes"), "bronze", "quotes", 0)
+    extra = lake.read("bronze", "quotes", bronze_schema("quotes")).select("event_id", F.explode("extra").alias("key", "value"))
+    return extra.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def event_type_counts(spark, d):
     parts = [bronze.event_type_counts(source.TABLES[t](spark, d)) for t in source.TABLES]
@@ -164,7 +191,7 @@ def event_type_counts(spark, d):
 
 
 def _routed(spark, d, **options):
-    return router.route(source.raw_feed(spark, d, ("quotes", "trading_halts", "agent_actions")), **options)
+    return router.route(source.raw_feed(spark, d), **options)
 
 
 @query
@@ -289,6 +316,24 @@ def invalid_reason_counts(spark, d):
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _odd_books(spark, d):
+    """Order books as text; some lose a level's price, its number, or the whole list's form, so that the rules have something to find."""
+    df = source.order_book(spark, d)
+    last = F.right("event_id", F.lit(1))
+    bids, asks = F.to_json("bids"), F.to_json("asks")
+    return df.withColumns({
+        "bids": F.when(last == "1", F.regexp_replace(bids, r'"price":[-0-9.]+', '"price":"x"')).when(last == "2", F.regexp_replace(bids, r'"quantity":\d+,', "")).otherwise(bids),
+        "asks": F.when(last == "3", F.regexp_replace(asks, r'"order_count":(\d)', r'"order_count":$1.5')).when(last == "4", F.lit('{"price":1}')).otherwise(asks),
+    })
+
+
+def _odd_actions(spark, d):
+    """Agent actions as text; the factors of some hold a null or are no list."""
+    df = source.agent_actions(spark, d)
+    last, text = F.right("event_id", F.lit(1)), F.to_json("decision_factors")
+    return df.withColumn("decision_factors", F.when(last == "5", F.lit('["a",null]')).when(last == "6", F.lit("none")).otherwise(text))
+
+
 @query
 def contract_violations(spark, d):
     parts = [
@@ -297,8 +342,10 @@ def contract_violations(spark, d):
             (source.trades(spark, d), ("TradeExecuted",)),
             (source.orders(spark, d), ("OrderPlaced", "OrderCancelled")),
             (source.quotes(spark, d), ("QuoteUpdate",)),
+            (_odd_books(spark, d), ("OrderBookSnapshot",)),
             (source.market_stats(spark, d), ("MarketStats",)),
             (source.trading_halts(spark, d), ("TradingHalt", "TradingResume")),
+            (_odd_actions(spark, d), ("AgentAction",)),
         )
         for event in events
     ]
@@ -484,14 +531,30 @@ def check_gold_agent_pnl(spark, d):
     return suites.gold_agent_pnl().result(pnl(spark, d))
 
 
+@query
+def check_agent_fill_rate(spark, d):
+    return suites.agent_fill_rate().result(analysis.agent_fill_rate(good_orders(spark, d)))
+
+
 def _suite_results(spark, d):
+    """All suites over silver and gold tables that are stored once; gold is made of the stored silver."""
+    lake = scratch_lake(spark, "suites")
+
+    def keep(df, layer, name):
+        lake.replace(df, layer, name, partition=None)
+        return lake.read(layer, name, df.schema)
+
+    trades, orders, quotes = (
+        keep(make(spark, d), "silver", name) for make, name in ((good_trades, "trades"), (good_orders, "orders"), (good_quotes, "quotes"))
+    )
+    own = promote.silver(staging.trades(source.event_trades(spark, d)))
     tables = {
-        "silver_trades": good_trades(spark, d),
-        "silver_quotes": good_quotes(spark, d),
-        "silver_orders": good_orders(spark, d),
-        "gold_ohlcv": bars(spark, d),
-        "gold_market_quality": quality(spark, d),
-        "gold_agent_pnl": pnl(spark, d),
+        "silver_trades": trades,
+        "silver_quotes": quotes,
+        "silver_orders": orders,
+        "gold_ohlcv": keep(gold.ohlcv(trades, source.market_stats(spark, d)), "gold", "ohlcv"),
+        "gold_market_quality": keep(gold.market_quality(quotes, own), "gold", "market_quality"),
+        "gold_agent_pnl": keep(gold.agent_pnl(trades, orders), "gold", "agent_pnl"),
     }
     return suites.all_results(tables, as_of())
 
@@ -508,9 +571,12 @@ def check_pass_rate(spark, d):
 
 @query
 def freshness(spark, d):
-    return monitor.freshness(
-        {"gold_ohlcv": (bars(spark, d), "trade_date"), "gold_market_quality": (quality(spark, d), "trade_date")}, as_of()
-    )
+    """A bar's or score's newest date is that of the rows it is made of, so that nothing is aggregated to find it."""
+    days = {
+        "gold_ohlcv": good_trades(spark, d), "gold_market_quality": good_quotes(spark, d),
+    }
+    tables = {name: (df.select(F.to_date("timestamp_utc").alias("trade_date")), "trade_date") for name, df in days.items()}
+    return monitor.freshness(tables, as_of())
 
 
 @query
@@ -548,8 +614,7 @@ def adhoc_trades_by_symbol(spark, d):
 
 @query
 def adhoc_mean_by_symbol(spark, d):
-    df = reports.mean_by_symbol(bars(spark, d))
-    return df.withColumns({c: F.round(c, 4) for c in ("vwap", "volume")})
+    return reports.mean_by_symbol(bars(spark, d))
 
 
 @query
@@ -616,7 +681,7 @@ def lake_read_merge_schema(spark, d):
     early = F.col("timestamp") < "2024-01-15"
     lake.write(df.filter(early).drop("ask"), "staging", "quotes")
     lake.write(df.filter(~early).drop("bid"), "staging", "quotes")
-    return lake.read("staging", "quotes")
+    return lake.read("staging", "quotes", merge=True)
 
 
 @query
@@ -629,19 +694,29 @@ def lake_write_dynamic_overwrite(spark, d):
     return lake.read("silver", "quotes")
 
 
+@query
+def lake_rerun_replaces(spark, d):
+    """All quotes, then the whole table again without some: what isn't in the second run is gone, whole dates included."""
+    lake = scratch_lake(spark, "rerun")
+    df = good_quotes(spark, d).select("event_id", "timestamp", "symbol", "spread_bps")
+    lake.replace(df, "silver", "quotes")
+    lake.replace(df.filter((F.col("timestamp") >= "2024-01-10") & (F.col("symbol") != "SYM3")), "silver", "quotes")
+    return lake.read("silver", "quotes")
+
+
 @query
 def lake_run_layers(spark, d):
-    """A month's feed through every layer; rows per stored table."""
-    lake = scratch_lake(spark, "layers")
-    layers.run_layers(lake, feed=source.raw_feed(spark, d, month=True))
+    """The whole feed through every layer; rows per stored table."""
+    lake = scratch_lake(spark, "layers", HISTORY)
+    layers.run_layers(lake, feed=source.raw_feed(spark, d), batch=0)
     return layers.table_counts(lake)
 
 
 @query
 def lake_run_layers_incremental(spark, d):
     """The feed in two batches, the second run over touched dates only; order labels, bars and P&L at the end."""
-    lake = scratch_lake(spark, "increments")
-    feed = source.raw_feed(spark, d, with_noise=False, month=True)
+    lake = scratch_lake(spark, "increments", HISTORY)
+    feed = source.raw_feed(spark, d, with_noise=False)
     second = F.pmod(F.crc32("value"), F.lit(40)) == 7
     layers.run_layers(lake, feed=feed.filter(~second), batch=0)
     layers.run_layers(lake, feed=feed.filter(second), batch=1, dates="batch")
@@ -664,40 +739,36 @@ def lake_run_layers_incremental(spark, d):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _feed_files(spark: SparkSession, lines: DataFrame, lake: Lake, batches: int = 3) -> DataFrame:
-    """The feed as files that arrive over a few micro-batches."""
+def _feed_files(spark: SparkSession, lines: DataFrame, lake: Lake) -> DataFrame:
+    """The feed as files in event order that arrive over a few micro-batches; their number follows the shuffle partitions."""
     folder = lake.path("feed", "lines")
-    files = 2 * batches
-    lines.repartition(files, F.xxhash64("value")).write.parquet(folder)
-    return feeds.file_stream(spark, folder, max_files=2)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = F.coalesce(F.get_json_object("value", "$.data.timestamp"), F.lit(""))
+    lines.withColumn("sent", sent).repartitionByRange(files, "sent", F.xxhash64("value")).sortWithinPartitions("sent").drop("sent").write.parquet(folder)
+    lake.date_files(folder)
+    return feeds.file_stream(spark, folder, max_files=-(-files // 3))
 
 
 @query
 def stream_ingest_bronze(spark, d):
-    lake = scratch_lake(spark, "ingest")
-    tables = ("quotes", "trading_halts", "agent_actions")
-    feed = _feed_files(spark, source.raw_feed(spark, d, tables), lake)
-    ingest_stream.feed_to_bronze(feed, lake, lake.path("_checkpoints", "ingest"), tables)
-    parts = [lake.read("bronze", t).select("event_type", "event_id", "symbol", "timestamp") for t in tables]
+    lake = scratch_lake(spark, "ingest", HISTORY)
+    feed = _feed_files(spark, source.raw_feed(spark, d), lake)
+    ingest_stream.feed_to_bronze(feed, lake, lake.path("_checkpoints", "ingest"))
+    parts = [lake.read("bronze", t, bronze_schema(t)).select("event_type", "event_id", "symbol", "timestamp") for t in TABLE_EVENTS]
     return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _trade_stream(spark, d, lake):
     """Valid trades out of a stream of payloads."""
     messages = router.published(router.route(_feed_files(spark, source.raw_feed(spark, d, ("trades",), False), lake)))
-    rows = bronze.from_topics(messages, "trades", keep_raw=False)
-    return rows.withColumns({
-        "price_cast": casts.to_number(rows, "price"),
-        "quantity_cast": casts.to_number(rows, "quantity"),
-        "timestamp_utc": casts.to_utc(rows),
-    }).filter("price_cast > 0 AND quantity_cast > 0 AND symbol IS NOT NULL AND timestamp_utc IS NOT NULL")
+    rows = staging.trades_labelled(bronze.from_topics(messages, "trades", keep_extra=False))
+    return rows.filter("_validation_status = 'valid'")
 
 
 @query
 def stream_dedup(spark, d):
-    lake = scratch_lake(spark, "dedup")
-    # The files are not in event order, so the watermark spans the whole feed.
-    unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, "10000 days")
+    lake = scratch_lake(spark, "dedup", HISTORY)
+    unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, DELAY)
     trade_stream.publish_unique(unique, lake, lake.path("_checkpoints", "dedup"))
     return trade_stream.unique_trades(lake).select("trade_id", "symbol", "timestamp", "price", "quantity")
 
@@ -705,18 +776,43 @@ def stream_dedup(spark, d):
 @query
 def stream_ohlcv(spark, d):
     """Two streams: feed -> unique trades -> bars."""
-    lake = scratch_lake(spark, "bars")
-    unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, "10000 days")
+    lake = scratch_lake(spark, "bars", HISTORY)
+    unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, DELAY)
     trade_stream.publish_unique(unique, lake, lake.path("_checkpoints", "dedup"))
-    daily = trade_stream.daily_bars(trade_stream.stream_unique(lake, max_files=8), "10000 days")
+    daily = trade_stream.daily_bars(trade_stream.stream_unique(lake), DELAY)
     trade_stream.publish_bars(daily, lake, lake.path("_checkpoints", "bars"))
     return trade_stream.current_bars(lake)
 
 
+def _staged_stream(spark, d, tables):
+    lake = scratch_lake(spark, "staged", HISTORY)
+    feed = _feed_files(spark, source.raw_feed(spark, d, tables, False), lake)
+    staged_stream.keep_staged(feed, lake, lake.path("_checkpoints", "staged"), tables)
+    return lake
+
+
+@query
+def stream_silver_trades(spark, d):
+    lake = _staged_stream(spark, d, ("trades",))
+    return lake.read("silver", "trades", layers.layer_schema(spark, "silver", "trades")).drop("extra", "event_date")
+
+
+@query
+def stream_invalid_trades(spark, d):
+    lake = _staged_stream(spark, d, ("trades",))
+    return lake.read("invalid", "trades", layers.layer_schema(spark, "invalid", "trades")).drop("extra", "event_date")
+
+
+@query
+def stream_silver_quotes(spark, d):
+    lake = _staged_stream(spark, d, ("quotes",))
+    return lake.read("silver", "quotes", layers.layer_schema(spark, "silver", "quotes")).drop("extra", "event_date")
+
+
 @query
 def stream_order_status(spark, d):
-    lake = scratch_lake(spark, "status")
-    feed = _feed_files(spark, source.raw_feed(spark, d, ("orders",), False, month=True), lake)
+    lake = scratch_lake(spark, "status", HISTORY)
+    feed = _feed_files(spark, source.raw_feed(spark, d, ("orders",), False), lake)
     order_stream.keep_order_status(feed, lake, lake.path("_checkpoints", "status"))
     return lake.read("staging", "orders").select("event_id", "order_id", "fill_status", "_is_duplicate")
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions.casts import TOTAL, exact_sum
+from marketlake.functions.casts import TOTAL, exact_mean, exact_sum
 from marketlake.sources.lake import Lake
 
 
@@ -23,8 +23,8 @@ def query(spark: SparkSession, sql: str, params: Mapping | list | None = None, *
 
 
 def execute(spark: SparkSession, sql: str, params: Mapping | list | None = None) -> None:
-    """Run a statement for its effect."""
-    spark.sql(sql, args=params).collect()
+    """Run a statement for its effect; Spark carries commands out as they are given."""
+    spark.sql(sql, args=params)
 
 
 def ohlcv_listing(bars: DataFrame) -> DataFrame:
@@ -55,4 +55,4 @@ def trades_by_symbol(trades: DataFrame, symbol: str, n: int = 100) -> DataFrame:
 
 
 def mean_by_symbol(bars: DataFrame) -> DataFrame:
-    return bars.groupBy("symbol").agg(F.avg("vwap").alias("vwap"), F.avg("volume").alias("volume"))
+    return bars.groupBy("symbol").agg(exact_mean(F.col("vwap")).alias("vwap"), exact_mean(F.col("volume")).alias("volume"))

@@ -99,7 +99,7 @@ TABLE_TOPICS: dict[str, str] = {
 }
 UNKNOWN_TOPIC = "stock.unknown"
 
-# records taken from a topic in one run
+# records a source may take from a topic in one run, where a cap is asked for
 POLL_CAPS: dict[str, int] = {
     "trades": 10_000,
     "orders": 10_000,
@@ -138,6 +138,8 @@ EVENT_TOPICS: dict[str, str] = {
 }
 
 PRICE_LEVELS = "array<struct<price: double, quantity: double, order_count: bigint>>"
+# A level's fields as they are checked, all of them required.
+LEVEL_FIELDS = (Field("price", "number"), Field("quantity", "number"), Field("order_count", "integer"))
 
 
 def table_fields(table: str) -> list[Field]:
@@ -168,5 +170,5 @@ def bronze_schema(table: str) -> T.StructType:
             ]))))
         if f.kind == "texts":
             fields.append(T.StructField(f"{f.name}_list", T.ArrayType(T.StringType())))
-    fields += [T.StructField("_raw", T.StringType()), T.StructField("event_date", T.DateType())]
+    fields += [T.StructField("extra", T.MapType(T.StringType(), T.StringType())), T.StructField("event_date", T.DateType())]
     return T.StructType(fields)

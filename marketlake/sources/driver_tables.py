@@ -21,9 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the table is fewer scan tasks than cores; a large table is read as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt out by key: each given table is one Parquet row group, which a single scan task reads."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def _iso(ts: Column, micros: bool = False) -> Column:
@@ -241,12 +240,9 @@ def noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(line.alias("value")).filter("value IS NOT NULL")
 
 
-def raw_feed(
-    spark: SparkSession, sf_dir: str, tables=tuple(TABLES), with_noise: bool = True, month: bool = False
-) -> DataFrame:
-    """The mixed feed of the given event tables; `month` draws all of them from the events table."""
-    makers = EVENT_TABLES if month else TABLES
-    parts = [envelopes(makers[name](spark, sf_dir)) for name in tables]
+def raw_feed(spark: SparkSession, sf_dir: str, tables=tuple(TABLES), with_noise: bool = True) -> DataFrame:
+    """The mixed feed of the given event tables."""
+    parts = [envelopes(TABLES[name](spark, sf_dir)) for name in tables]
     if with_noise:
         parts.append(noise(spark, sf_dir))
     return reduce(DataFrame.unionByName, parts)
@@ -308,53 +304,3 @@ def event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("C"), (F.col("user_id") + k).cast("string")).alias("seller_agent_id"),
         (k % 2 == 0).alias("is_aggressive_buy"),
     )
-
-
-def event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """view events as placements; some come again a day later, some are cancelled two days later."""
-    k, user = F.col("k"), F.col("user_id")
-    kinds = F.array_compact(F.array(F.lit("P"), F.when(k % 25 == 0, "R"), F.when(k % 10 == 0, "X")))
-    rows = _events(spark, sf_dir, "view").withColumn("copy", F.explode(kinds))
-    copy = F.col("copy")
-    cancel = copy == "X"
-    days = F.when(cancel, 2).when(copy == "R", 1).otherwise(0)
-    rows = rows.withColumn("ts", F.col("ts").cast("timestamp") + F.make_dt_interval(days))
-    order_type = F.element_at(F.array(*[F.lit(t) for t in ("Market", "Limit", "StopLoss", "StopLimit", "Iceberg")]), k % 5 + 1)
-    agent_type = F.element_at(
-        F.array(*[F.lit(t) for t in ("RetailTrader", "InstitutionalInvestor", "MarketMaker", "HighFrequencyTrader", "Arbitrageur")]),
-        (user % 5 + 1).cast("int"),
-    )
-    header = _event_header(F.when(cancel, "OrderCancelled").otherwise("OrderPlaced"), "")
-
-    def placed(value: Column) -> Column:
-        return F.when(~cancel, value)
-
-    return rows.select(
-        header[0],
-        F.concat(copy, F.col("event_id").cast("string")).alias("event_id"),
-        *header[2:],
-        F.when(k != 50, F.concat(F.lit("O"), F.col("event_id").cast("string"))).alias("order_id"),
-        placed(F.when(k % 2 == 0, "Buy").otherwise("Sell")).alias("side"),
-        placed(order_type).alias("order_type"),
-        placed(F.when(k % 5 != 0, _money(F.col("value")))).alias("price"),
-        placed(F.when(k != 60, (k + 1).cast("string"))).alias("quantity"),
-        placed(F.concat(F.lit("C"), user.cast("string"))).alias("agent_id"),
-        placed(agent_type).alias("agent_type"),
-        F.when(cancel, F.concat(F.lit("reason_"), (k % 3).cast("string"))).alias("reason"),
-    )
-
-
-def event_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """purchase events as exchange snapshots."""
-    price = _money(F.col("value"))
-    return _events(spark, sf_dir, "purchase").select(
-        *_event_header("MarketStats", "V"),
-        *[price.alias(name) for name in ("open", "high", "low", "close")],
-        (F.col("k") + 1).cast("string").alias("volume"),
-        F.lit("1").alias("trade_count"),
-        price.alias("vwap"),
-    )
-
-
-# The feed of one exchange month: every table drawn from the events table.
-EVENT_TABLES = {**TABLES, "trades": event_trades, "orders": event_orders, "market_stats": event_stats}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,22 +16,44 @@ from pyspark.sql import types as T
 from marketlake.functions.casts import to_utc
 
 EVENT_DATE = "event_date"
+# The column that date-partitioned tables are stored by: the date, or the first of its month.
+PART = "_part"
 BATCH = "_batch"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def on_dates(dates: Iterable[str | None], column: str = EVENT_DATE) -> Column:
+def on_dates(dates: Iterable[str | None], column: str | Column = EVENT_DATE) -> Column:
     """Rows of the given dates; None stands for rows without a usable timestamp."""
-    dates = list(dates)
-    days = ", ".join(f"DATE'{date.fromisoformat(d)}'" for d in dates if d is not None)
-    hit = F.expr(f"{column} IN ({days})") if days else F.lit(False)
-    return hit | F.col(column).isNull() if None in dates else hit
+    dates, column = list(dates), F.col(column) if isinstance(column, str) else column
+    days = [F.lit(date.fromisoformat(d)) for d in dates if d is not None]
+    hit = column.isin(*days) if days else F.lit(False)
+    return hit | column.isNull() if None in dates else hit
 
 
 @dataclass(frozen=True)
 class Lake:
+    """Tables under `base`. `unit` is the span of a partition: "day", or "month" for long histories with few rows a day,
+    which would else be very many small files. Dates given to or got from a lake's partitions are the first of their span."""
+
     spark: SparkSession
     base: str
+    unit: str = "day"
+
+    def __post_init__(self) -> None:
+        if self.unit not in ("day", "month"):
+            raise ValueError(f"unit must be 'day' or 'month', not {self.unit!r}")
+
+    def part(self, day: Column) -> Column:
+        """The partition a date belongs to."""
+        return F.trunc(day, "month") if self.unit == "month" else day
+
+    def _keyed(self, df: DataFrame, partition: str) -> tuple[DataFrame, str]:
+        """The frame with its partition column, and that column's name; dates stay in the files as they are."""
+        if partition == EVENT_DATE and EVENT_DATE not in df.columns:
+            df = df.withColumn(EVENT_DATE, F.to_date(to_utc(df)))
+        if isinstance(df.schema[partition].dataType, T.DateType):
+            return df.withColumn(PART, self.part(F.col(partition))), PART
+        return df, partition
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.base.rstrip('/')}/{layer}/{table}"
@@ -45,71 +69,133 @@ class Lake:
         schema: T.StructType | None = None,
         dates: Iterable[str | None] | None = None,
         position: bool = False,
+        merge: bool = False,
     ) -> DataFrame:
         """A whole table, files united by column name. A table without files is empty with `schema`.
 
-        `dates` prunes to those partitions. `position` adds `_ingest_id`, the row's place in the stored
-        files: unique per row and the same on every read.
+        With `schema` no file is opened before the query runs: columns that a file lacks are NULL. Without it, `merge`
+        looks at every file for its columns, instead of at one. `dates` prunes to those partitions. `position` adds
+        `_ingest_id`, the row's place in the stored files: unique per row and the same on every read.
         """
         path = self.path(layer, table)
         if not self.exists(layer, table):
             if schema is None:
                 raise AnalysisException(f"no table at {path}")
-            df = self.spark.createDataFrame([], schema)
+            df = self.spark.createDataFrame([], schema).drop(BATCH, PART)
             return df.withColumn("_ingest_id", F.lit(None).cast("bigint")) if position else df
-        df = self.spark.read.option("mergeSchema", True).parquet(path)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        df = reader.option("mergeSchema", merge).parquet(path)
         if position:
             file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
             df = df.select("*", F.struct(file.alias("file"), row.alias("row")).alias("_ingest_id"))
-        if BATCH in df.columns:
-            df = df.drop(BATCH)
-        return df if dates is None else df.filter(on_dates(dates))
+        return (df if dates is None else df.filter(on_dates(dates, PART))).drop(BATCH, PART)
 
     def write(
-        self, df: DataFrame, layer: str, table: str, partition: str | None = EVENT_DATE, dates: Iterable[str] | None = None
+        self, df: DataFrame, layer: str, table: str, partition: str = EVENT_DATE, dates: Iterable[str | None] | None = None
     ) -> str:
         """Replace the partitions `df` has rows for, and no others. Running it again changes nothing.
 
         The rebalance hint gathers each date's rows into few files, and AQE splits a date too big for one
         task. With `dates`, those that came out empty are removed, so no stale row outlives a rerun.
         """
+        wanted = None if dates is None else {str(d or NULL_PARTITION) for d in dates}
+        return self._write(df, layer, table, partition, lambda value: wanted is not None and value in wanted)
+
+    def replace(self, df: DataFrame, layer: str, table: str, partition: str | None = EVENT_DATE) -> str:
+        """Replace the whole table. Readers see a partition's old rows or its new ones; partitions without new rows go last."""
+        if partition is not None:
+            return self._write(df, layer, table, partition, lambda value: True)
         path = self.path(layer, table)
-        if partition is None:
-            df.write.mode("overwrite").parquet(path)
-            return path
-        if partition == EVENT_DATE and EVENT_DATE not in df.columns:
-            df = df.withColumn(EVENT_DATE, F.to_date(to_utc(df)))
-        wanted = [] if dates is None else [f"{path}/{partition}={d or NULL_PARTITION}" for d in dates]
-        before = {folder: self._files(folder) for folder in wanted}
+        fresh, old = (f"{path}-{word}-{uuid.uuid4().hex[:8]}" for word in ("new", "old"))
+        df.write.parquet(fresh)
+        fs, folder = self._fs(path)
+        if fs.exists(folder):
+            fs.rename(folder, self._fs(old)[1])
+        fs.mkdirs(folder.getParent())
+        fs.rename(self._fs(fresh)[1], folder)
+        self.delete(old)
+        return path
+
+    def _write(self, df: DataFrame, layer: str, table: str, partition: str, goes: Callable[[str], bool]) -> str:
+        """Overwrite partitions, then remove those of the old ones that `goes` names and that got no new file."""
+        path = self.path(layer, table)
+        df, key = self._keyed(df, partition)
+        before = self._partitions(path, key)
         (
-            df.hint("rebalance", partition).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+            df.hint("rebalance", key).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
         )
-        for folder, files in before.items():
-            if files and self._files(folder) == files:  # untouched: the rerun has no rows for this date
-                self._delete(folder)
+        if before:
+            after = self._partitions(path, key)
+            for value, files in before.items():
+                if goes(value) and after.get(value) == files:
+                    self.delete(f"{path}/{key}={value}")
         return path
 
+    def _partitions(self, path: str, partition: str) -> dict[str, frozenset[str]]:
+        """Files by partition value, from one listing that Spark spreads over the executors where it is long."""
+        if not self._files(path):
+            return {}
+        found: dict[str, set[str]] = {}
+        for file in self.spark.read.schema("_none int").parquet(path).inputFiles():
+            folder, _, name = file.rpartition("/")
+            found.setdefault(unquote(folder.rpartition(f"{partition}=")[2].partition("/")[0]), set()).add(name)
+        return {value: frozenset(names) for value, names in found.items()}
+
     def append_batch(self, df: DataFrame, layer: str, table: str, batch: int, partition: str | None = EVENT_DATE) -> str:
         """Add one batch under its own `_batch` partition; writing the same batch twice keeps one copy."""
         path = self.path(layer, table)
-        keys = ([partition] if partition else []) + [BATCH]
+        keys = [BATCH]
+        if partition is not None:
+            df, key = self._keyed(df, partition)
+            keys = [key, BATCH]
         (
             df.withColumn(BATCH, F.lit(batch)).hint("rebalance", *keys).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
         )
         return path
 
-    def settle(self, name: str):
-        """A function that stores a frame under the lake's work folder and reads it back with its true size."""
+    def batch_rows(self, layer: str, table: str, batch: int, schema: T.StructType) -> DataFrame:
+        """One batch's rows; its partitions alone are read."""
+        schema = T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])
+        if not self.exists(layer, table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(layer, table)).filter(F.col(BATCH) == batch)
+
+    def has_batch(self, layer: str, table: str, batch: int) -> bool:
+        """Whether the table holds rows of a batch; decided by partitions."""
+        if not self.exists(layer, table):
+            return False
+        return not self.spark.read.schema(f"{BATCH} int").parquet(self.path(layer, table)).filter(F.col(BATCH) == batch).isEmpty()
+
+    def drop_batch(self, layer: str, table: str, batch: int) -> None:
+        """Take a batch's partitions out."""
+        path = self.path(layer, table)
+        if self.exists(layer, table):
+            files = self.spark.read.schema(f"{BATCH} int").parquet(path).filter(F.col(BATCH) == batch).select("_metadata.file_path").distinct()
+            for folder in {r.file_path.rpartition("/")[0] for r in files.collect()}:  # one for each of the batch's partitions
+                self.delete(unquote(folder))
+
+    def settle(self, name: str, used: list[str] | None = None):
+        """A function that stores a frame under a work folder of its own and reads it back with its true size; `used` gets the folder."""
+        path = f"{self.path('_work', name)}-{uuid.uuid4().hex[:12]}"
+        if used is not None:
+            used.append(path)
 
         def write_and_read(df: DataFrame) -> DataFrame:
-            path = self.path("_work", name)
-            df.write.mode("overwrite").parquet(path)
+            df.write.parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
 
         return write_and_read
 
+    def date_files(self, folder: str) -> None:
+        """Give a folder's files modification times in the order of their names, which is the order a file stream takes them in."""
+        fs, path = self._fs(folder)
+        files = sorted((s.getPath() for s in fs.listStatus(path)), key=lambda p: p.getName())
+        start = fs.getFileStatus(path).getModificationTime() - 1000 * len(files)
+        for n, file in enumerate(files):
+            fs.setTimes(file, start + 1000 * n, -1)
+
     def _fs(self, folder: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
@@ -118,7 +204,7 @@ class Lake:
         fs, path = self._fs(folder)
         return frozenset(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else frozenset()
 
-    def _delete(self, folder: str) -> None:
+    def delete(self, folder: str) -> None:
         fs, path = self._fs(folder)
         fs.delete(path, True)
 
@@ -134,9 +220,11 @@ def s3a_options(endpoint: str, access_key: str, secret_key: str) -> dict[str, st
     }
 
 
-def base_uri(backend: str = "local", local_dir: str = "./data", bucket: str = "stock-lake") -> str:
-    """Root of the lake for the configured backend."""
+def base_uri(backend: str = "local", local_dir: str = "./data", bucket: str | None = None) -> str:
+    """Root of the lake for the configured backend; S3 needs the bucket's name."""
     if backend == "s3":
+        if not bucket:
+            raise ValueError("name the bucket")
         return f"s3a://{bucket}"
     if backend == "local":
         return local_dir

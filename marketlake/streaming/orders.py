@@ -21,12 +21,12 @@ def keep_order_status(feed: DataFrame, lake: Lake, checkpoint: str) -> None:
         lines = router.published(router.route(batch))
         lake.append_batch(bronze.from_topics(lines, "orders"), "bronze", "orders", batch_id)
         run = LayerRun(lake, batch_id)
-        dates = order_dates_to_redo(run.bronze("orders"), run.touched("orders"))
+        dates = order_dates_to_redo(lake, run.bronze("orders"), run.touched("orders"))
         if not dates:
             return
         rows = run.bronze("orders", dates)
         staged = staging.orders(rows, sharing_orders(run.bronze("orders"), rows)).drop("_ingest_id")
         lake.write(staged, "staging", "orders", dates=dates)
-        lake.write(promote.silver_orders(lake.read("staging", "orders", dates=dates)), "silver", "orders", dates=dates)
+        lake.write(promote.silver_orders(run.table("staging", "orders", dates)), "silver", "orders", dates=dates)
 
     run_available(feed, write_batch, checkpoint)

@@ -7,7 +7,7 @@ from marketlake.operators import bronze, contracts, router
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
 
 LINES = [
-    '{"event_type":"TradeExecuted","data":{"event_id":"1","symbol":"AAPL","price":1.50,"n":{"a":[1,2]}}}',
+    '{"event_type":"TradeExecuted","data":{"event_id":"1","symbol":"ALFA","price":1.50,"n":{"a":[1,2]}}}',
     '{"type":"welcome","message":"hi"}',
     "not json",
     '{"event_type":"Heartbeat","data":{"event_id":"2"}}',
@@ -34,11 +34,11 @@ def test_every_line_gets_one_disposition(spark):
 
 def test_topic_key_and_payload(spark):
     sent = {r.key: r for r in router.published(router.route(lines(spark))).collect()}
-    assert sent["AAPL"].topic == "stock.trades"
-    assert json.loads(sent["AAPL"].value) == {
-        "event_type": "TradeExecuted", "event_id": "1", "symbol": "AAPL", "price": 1.5, "n": {"a": [1, 2]}
+    assert sent["ALFA"].topic == "stock.trades"
+    assert json.loads(sent["ALFA"].value) == {
+        "event_type": "TradeExecuted", "event_id": "1", "symbol": "ALFA", "price": 1.5, "n": {"a": [1, 2]}
     }
-    assert list(json.loads(sent["AAPL"].value))[0] == "event_type"
+    assert list(json.loads(sent["ALFA"].value))[0] == "event_type"
     assert sent["Heartbeat"].topic == "stock.unknown"
     assert json.loads(sent["AgentAction"].value)["event_type"] == "Own"
 
@@ -56,12 +56,12 @@ def test_counters_as_an_observation(spark):
 
 
 def test_bronze_keeps_values_as_sent(spark):
-    payload = '{"event_type":"TradeExecuted","event_id":"1","timestamp":"2024-01-15T09:30:00+00:00","symbol":"AAPL","price":"x1","quantity":7,"is_aggressive_buy":true,"extra":5}'
+    payload = '{"event_type":"TradeExecuted","event_id":"1","timestamp":"2024-01-15T09:30:00+00:00","symbol":"ALFA","price":"x1","quantity":7,"is_aggressive_buy":true,"extra":5}'
     row = bronze.ingest(lines(spark, [payload, "broken {", ""]), "trades").collect()
     assert len(row) == 1
     row = row[0]
     assert (row.price, row.quantity, row.is_aggressive_buy, str(row.event_date)) == ("x1", "7", True, "2024-01-15")
-    assert json.loads(row._raw)["extra"] == 5
+    assert row.extra == {"extra": "5"}
     assert bronze.quarantine(bronze.decode(lines(spark, [payload, "broken {", ""]), "trades")).count() == 2
 
 
@@ -71,6 +71,36 @@ def test_binary_payloads_and_bad_utf8(spark):
     assert bronze.quarantine(bronze.decode(df, "trades")).count() == 1
 
 
+def test_invalid_utf8_is_never_taken_over(spark):
+    """Good JSON but for one byte: quarantined, not repaired; the router rejects such a line as well."""
+    good, bad = b'{"event_type":"TradeExecuted","event_id":"1"}', b'{"event_type":"TradeExecuted","event_id":"1\xff2"}'
+    df = spark.createDataFrame([(bytearray(good),), (bytearray(bad),)], "value binary")
+    assert [r.event_id for r in bronze.ingest(df, "trades").collect()] == ["1"]
+    assert [r.value for r in bronze.quarantine(bronze.decode(df, "trades")).collect()] == [bad.decode("utf-8", "replace")]
+    line = b'{"event_type":"TradeExecuted","data":{"event_id":"1\xff2"}}'
+    routed = router.route(spark.createDataFrame([(bytearray(line),)], "value binary")).first()
+    assert routed.disposition == "bad_json" and routed.topic is None
+
+
+def test_undeclared_keys_are_kept(spark):
+    rows = ['{"event_type":"QuoteUpdate","event_id":"1","venue":"X","deep":{"a":[1,2]}}', '{"event_type":"QuoteUpdate","event_id":"2"}']
+    got = {r.event_id: r.extra for r in bronze.ingest(lines(spark, rows), "quotes").collect()}
+    assert got == {"1": {"venue": "X", "deep": '{"a":[1,2]}'}, "2": None}
+
+
+def test_nested_contract_fields(spark):
+    def broken(bids):
+        df = lines(spark, [f'{{"event_type":"OrderBookSnapshot","event_id":"1","timestamp":"2024-01-15T00:00:00Z","symbol":"A","bids":{bids},"asks":[]}}'])
+        return contracts.label_contract(bronze.ingest(df, "order_book"), "OrderBookSnapshot").first().violations
+
+    level = '{"price":1.5,"quantity":2,"order_count":3}'
+    assert broken(f"[{level}]") == broken("[]") == ""
+    assert broken('[{"price":"x","quantity":2,"order_count":3}]') == "type:bids.price"
+    assert broken(f'[{level},{{"quantity":2,"order_count":3}}]') == "missing:bids.price"
+    assert broken('[{"price":1,"quantity":2,"order_count":2.5}]') == "type:bids.order_count"
+    assert broken('"none"') == "type:bids" and broken(f"[{level},7]") == "type:bids"
+
+
 def test_lists_stay_as_text_and_typed(spark):
     payload = '{"event_type":"OrderBookSnapshot","event_id":"1","bids":[{"price":1.5,"quantity":10,"order_count":2}],"asks":[]}'
     row = bronze.ingest(lines(spark, [payload]), "order_book").first()

@@ -10,7 +10,7 @@ BASE = dt.datetime(2024, 1, 15, 9, 30)
 
 def silver(spark, n=20):
     return spark.createDataFrame(
-        [(f"T{i:05d}", "AAPL", f"t{i}", 150.0 + i, 100.0, BASE + dt.timedelta(seconds=30 * i), "buy" if i % 2 else "sell") for i in range(n)], SILVER)
+        [(f"n{i}", "ALFA", f"t{i}", 4.5 + 3 * i, 7.0, BASE + dt.timedelta(minutes=i), "sell" if i % 3 else "buy") for i in range(n)], SILVER)
 
 
 def test_clean_table_passes(spark):
@@ -22,9 +22,9 @@ def test_duplicates_nulls_and_bounds_fail(spark):
     df = silver(spark)
     row = suites.silver_trades().result(df.unionByName(df.limit(3))).first()
     assert not row.passed and row.failures == "expect_unique(trade_id,symbol,timestamp)"
-    null = df.withColumn("price_cast", F.when(F.col("trade_id") != "T00000", F.col("price_cast")))
+    null = df.withColumn("price_cast", F.when(F.col("trade_id") != "n0", F.col("price_cast")))
     assert suites.silver_trades().result(null).first().failures == "expect_not_null(price_cast)"
-    high = df.withColumn("price_cast", F.when(F.col("trade_id") == "T00000", 2_000_000.0).otherwise(F.col("price_cast")))
+    high = df.withColumn("price_cast", F.when(F.col("trade_id") == "n0", 2_000_000.0).otherwise(F.col("price_cast")))
     assert suites.silver_trades().result(high).first().failures == "expect_between(price_cast)"
 
 
@@ -42,11 +42,24 @@ def test_nulls_pass_ranges_and_sets(spark):
 
 def test_fill_rate_range(spark):
     def rate(values):
-        df = spark.createDataFrame([(v,) for v in values], "fill_rate double")
-        return expectations.run_suite(df, "fill", lambda s: s.expect_between("fill_rate", 0, 100), expectations.WARN).first()
+        return suites.agent_fill_rate().result(spark.createDataFrame([(v,) for v in values], "fill_rate_pct double")).first()
 
-    assert rate([85.0, 72.5, 100.0, 0.0]).passed
-    assert not rate([85.0, 110.0]).passed and rate([85.0]).severity == "WARN"
+    assert rate([12.0, 0.0, 100.0]).passed
+    assert not rate([12.0, 100.5]).passed and not rate([-1.0]).passed and rate([50.0]).severity == "WARN"
+
+
+def test_a_suite_with_a_key_reads_the_table_once(spark, tmp_path):
+    silver(spark).write.parquet(str(tmp_path / "t"))
+    df = suites.silver_trades().evaluate(spark.read.parquet(str(tmp_path / "t")))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    declared = [e.label for e in suites.silver_trades().expectations]
+    assert [f"{r.expectation}({r.column})" for r in sorted(df.collect(), key=lambda r: r.position)] == declared
+
+
+def test_a_callback_declares_a_suite(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,)], "v double")
+    row = expectations.run_suite(df, "mine", lambda s: s.expect_between("v", 0, 2), expectations.WARN).first()
+    assert not row.passed and (row.suite, row.severity, row.failures) == ("mine", "WARN", "expect_between(v)")
 
 
 def test_empty_table_fails_with_no_data(spark):
@@ -61,9 +74,9 @@ BARS = "symbol string, trade_date date, open double, high double, low double, cl
 
 def test_bar_consistency(spark):
     day = dt.date(2024, 1, 15)
-    good = spark.createDataFrame([("AAPL", day, 148.0, 155.0, 147.5, 152.0, 0.2), ("MSFT", day, 370.0, 378.0, 368.5, 375.5, 0.05)], BARS)
+    good = spark.createDataFrame([("ALFA", day, 2.0, 3.5, 1.25, 3.0, 0.4), ("BETA", day, 40.0, 41.0, 39.0, 39.5, 0.0)], BARS)
     assert suites.gold_ohlcv().result(good).first().passed
-    bad = good.withColumn("high", F.when(F.col("symbol") == "AAPL", F.col("low") - 1).otherwise(F.col("high")))
+    bad = good.withColumn("high", F.when(F.col("symbol") == "ALFA", F.col("low") - 1).otherwise(F.col("high")))
     assert "expect_expr(high_gte_low)" in suites.gold_ohlcv().result(bad).first().failures
 
 

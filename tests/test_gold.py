@@ -20,11 +20,15 @@ def no_stats(spark):
     return spark.createDataFrame([], STATS)
 
 
-def test_bar_of_twenty_trades(spark):
-    rows = [(f"T{i:05d}", "AAPL", 150.0 + i, 100.0, BASE + dt.timedelta(seconds=30 * i), "a", "b") for i in range(20)]
+def test_bar_of_a_few_trades(spark):
+    """Hand-computed: notional 2*10 + 3.5*4 + 1.25*8 + 3*2 = 50 over 24 pieces."""
+    rows = [
+        ("x", "ALFA", 2.0, 10.0, BASE, "a", "b"), ("w", "ALFA", 3.5, 4.0, BASE + dt.timedelta(hours=1), "a", "b"),
+        ("v", "ALFA", 1.25, 8.0, BASE + dt.timedelta(hours=2), "a", "b"), ("u", "ALFA", 3.0, 2.0, BASE + dt.timedelta(hours=3), "a", "b"),
+    ]
     random.Random(1).shuffle(rows)
     bar = gold.ohlcv(silver(spark, rows), no_stats(spark)).first()
-    assert (bar.open, bar.high, bar.low, bar.close, bar.volume, bar.vwap, bar.trade_count) == (150, 169, 150, 169, 2000, 159.5, 20)
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume, bar.vwap, bar.trade_count) == (2.0, 3.5, 1.25, 3.0, 24.0, 50 / 24, 4)
     assert bar.stats_vwap is None and bar.vwap_deviation_pct == 0.0
 
 
@@ -47,7 +51,7 @@ def test_latest_snapshot_wins(spark):
 
 def test_bar_invariants_on_random_trades(spark):
     rng = random.Random(7)
-    rows = [(f"T{i}", rng.choice("AB"), rng.uniform(148, 155), rng.uniform(50, 500), BASE + dt.timedelta(minutes=37 * i), "a", "b") for i in range(300)]
+    rows = [(f"T{i}", rng.choice("AB"), rng.uniform(3, 4), rng.uniform(1, 90), BASE + dt.timedelta(minutes=37 * i), "a", "b") for i in range(300)]
     bars = gold.trade_bars(silver(spark, rows)).collect()
     assert len({(b.symbol, b.trade_date) for b in bars}) == len(bars)
     for b in bars:
@@ -158,6 +162,16 @@ def test_carry_last_equals_a_plain_scan(spark):
             assert got[r[0]] == last
 
 
+def test_market_quality_is_the_same_for_any_order_of_rows(spark):
+    rng = random.Random(11)
+    rows = [("A", BASE, rng.uniform(0, 50), rng.uniform(-1, 1)) for _ in range(4000)]
+    schema = "symbol string, timestamp_utc timestamp, spread_bps double, depth_imbalance double"
+    trades = silver(spark, [("T", "A", 1.0, 3.0, BASE, "a", "b")])
+    first = gold.market_quality(spark.createDataFrame(rows, schema).repartition(7), trades).first()
+    rng.shuffle(rows)
+    assert gold.market_quality(spark.createDataFrame(rows, schema).repartition(3), trades).first() == first
+
+
 def test_halt_impact_equals_brute_force(spark):
     rng = random.Random(5)
     trades = [(f"t{i}", rng.choice("AB"), BASE + dt.timedelta(minutes=rng.randrange(600)), float(rng.randrange(1, 50))) for i in range(500)]

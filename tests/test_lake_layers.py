@@ -1,9 +1,11 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import halts, staging
+from marketlake.operators import bronze, halts, monitor, router, staging
 from marketlake.plans import layers, reports
-from marketlake.schemas import bronze_schema
+from marketlake.schemas import POLL_CAPS, bronze_schema
 from marketlake.session import shared_folder
 from marketlake.sources import driver_tables as source
 from marketlake.sources import feed as feeds
@@ -11,6 +13,8 @@ from marketlake.sources import lake as lakes
 from marketlake.streaming import halts as halt_stream
 from marketlake.streaming import ingest as ingest_stream
 from marketlake.streaming import orders as order_stream
+from marketlake.streaming import staged as staged_stream
+from marketlake.streaming import trades as trade_stream
 from tests.conftest import SF_DIR
 
 
@@ -35,7 +39,18 @@ def test_dates_that_came_out_empty_are_removed(spark, lake):
 def test_columns_are_united_by_name(spark, lake):
     lake.write(day(spark, [("a", "2024-01-01T00:00:00+00:00", 1)]), "l", "t")
     lake.write(day(spark, [("b", "2024-01-02T00:00:00+00:00", 1)]).withColumn("extra", F.lit("x")), "l", "t")
-    assert {r.event_id: r.extra for r in lake.read("l", "t").collect()} == {"a": None, "b": "x"}
+    assert {r.event_id: r.extra for r in lake.read("l", "t", merge=True).collect()} == {"a": None, "b": "x"}
+    declared = lake.read("l", "t", merge=True).schema
+    assert {r.event_id: r.extra for r in lake.read("l", "t", declared).collect()} == {"a": None, "b": "x"}
+
+
+def test_replace_leaves_nothing_of_the_old_table(spark, lake):
+    lake.replace(day(spark, [("a", "2024-01-01T00:00:00+00:00", 1), ("b", "2024-01-02T00:00:00+00:00", 1), ("c", "bad", 1)]), "l", "t")
+    lake.replace(day(spark, [("a", "2024-01-01T00:00:00+00:00", 2)]), "l", "t")
+    assert {r.event_id: r.v for r in lake.read("l", "t").collect()} == {"a": 2}
+    for n in (1, 2):
+        lake.replace(day(spark, [("a", "2024-01-01T00:00:00+00:00", n)]), "l", "flat", partition=None)
+    assert [r.v for r in lake.read("l", "flat").collect()] == [2]
 
 
 def test_missing_table_is_empty_with_its_schema(lake):
@@ -61,13 +76,15 @@ def test_paths(spark):
     assert lakes.base_uri("s3", bucket="b") == "s3a://b" and lakes.base_uri(local_dir="/d") == "/d"
     assert lakes.Lake(spark, "s3a://b/").path("gold", "ohlcv") == "s3a://b/gold/ohlcv"
     assert lakes.s3a_options("http://minio:9000", "k", "s")["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
-    with pytest.raises(ValueError):
-        lakes.base_uri("ftp")
+    for backend in ("ftp", "s3"):
+        with pytest.raises(ValueError):
+            lakes.base_uri(backend)
 
 
 def test_kafka_options():
     options = feeds.kafka_source_options("broker:9092", ["trades", "trading_halts"])
-    assert options["subscribe"] == "stock.trades,stock.halts" and options["maxOffsetsPerTrigger"] == "11000"
+    assert options["subscribe"] == "stock.trades,stock.halts" and "maxOffsetsPerTrigger" not in options
+    assert feeds.kafka_source_options("b", ["trades", "trading_halts"], caps=POLL_CAPS)["maxOffsetsPerTrigger"] == "11000"
     assert feeds.SINK_OPTIONS["kafka.acks"] == "1"
 
 
@@ -98,30 +115,101 @@ def test_only_local_sessions_may_use_a_folder_of_their_own():
 
 
 def feed(spark):
-    return source.raw_feed(spark, SF_DIR, month=True)
+    return source.raw_feed(spark, SF_DIR)
 
 
 def snapshot(lake, layer, table):
     df = lake.read(layer, table)
-    return sorted(map(str, df.select(*sorted(c for c in df.columns if c != "_raw")).collect()))
+    return sorted(map(str, df.select(*[F.to_json(c) if t.startswith("map") else c for c, t in sorted(df.dtypes)]).collect()))
+
+
+TABLES = [("staging", "trades"), ("staging", "orders"), ("silver", "orders"), ("invalid", "orders"), ("silver", "quotes"), ("silver", "trades"),
+          ("gold", "ohlcv"), ("gold", "agent_pnl"), ("gold", "circuit_breaker"), ("gold", "market_quality"), ("reference", "symbols")]
 
 
 def test_rerun_changes_nothing_and_increments_equal_one_run(spark, tmp_path):
-    whole, parts = lakes.Lake(spark, str(tmp_path / "whole")), lakes.Lake(spark, str(tmp_path / "parts"))
-    layers.run_layers(whole, feed=feed(spark))
+    whole, parts = (lakes.Lake(spark, str(tmp_path / name), "month") for name in ("whole", "parts"))
+    layers.run_layers(whole, feed=feed(spark), batch=0)
     half = F.pmod(F.crc32("value"), F.lit(2))
     for n in range(2):
         layers.run_layers(parts, feed=feed(spark).filter(half == n), batch=n, dates="batch")
-    tables = [("staging", "trades"), ("staging", "orders"), ("silver", "orders"), ("invalid", "orders"), ("silver", "quotes"),
-              ("gold", "ohlcv"), ("gold", "agent_pnl"), ("gold", "circuit_breaker"), ("reference", "symbols")]
-    first = {t: snapshot(whole, *t) for t in tables}
-    for t in tables:
+    first = {t: snapshot(whole, *t) for t in TABLES}
+    for t in TABLES:
         assert snapshot(parts, *t) == first[t], t
-    layers.run_layers(whole, feed=feed(spark))
-    for t in tables:
+    layers.run_layers(whole, feed=feed(spark), batch=0, replace=True)
+    for t in TABLES:
         assert snapshot(whole, *t) == first[t], t
     log = layers.run_log(whole)
     assert log.filter("layer = 'gold'").count() == 8 and log.filter("ended_at < started_at").count() == 0
+    assert not whole._files(whole.path("_work", "").rstrip("/"))  # lookups are dropped
+    assert "_raw" not in whole.read("bronze", "trades").columns
+
+
+def lines_of(spark, *lines):
+    return spark.createDataFrame([(x,) for x in lines], "value string")
+
+
+def trade_line(event_id, trade_id, ts, buyer="ann", seller="bob", price=10, symbol="A"):
+    return (f'{{"event_type":"TradeExecuted","data":{{"event_id":"{event_id}","timestamp":"{ts}","symbol":"{symbol}","trade_id":"{trade_id}",'
+            f'"price":{price},"quantity":1,"buyer_agent_id":"{buyer}","seller_agent_id":"{seller}","is_aggressive_buy":true}}}}')
+
+
+def placed_line(event_id, order_id, ts, agent, kind):
+    return (f'{{"event_type":"OrderPlaced","data":{{"event_id":"{event_id}","timestamp":"{ts}","symbol":"A","order_id":"{order_id}","quantity":1,'
+            f'"agent_id":"{agent}","agent_type":"{kind}","order_type":"Market","side":"Buy"}}}}')
+
+
+def test_a_batch_id_is_used_once(spark, lake):
+    one, two = lines_of(spark, trade_line("1", "t1", "2024-01-01T00:00:00Z")), lines_of(spark, trade_line("2", "t2", "2024-01-01T00:00:00Z"))
+    with pytest.raises(ValueError):
+        layers.run_layers(lake, ["bronze"], feed=one)
+    layers.run_layers(lake, ["bronze"], feed=one, batch=0)
+    with pytest.raises(ValueError):
+        layers.run_layers(lake, ["bronze"], feed=two, batch=0)
+    layers.run_layers(lake, ["bronze"], feed=two, batch=1)
+    assert {r.event_id for r in lake.read("bronze", "trades").collect()} == {"1", "2"}
+    other = lines_of(spark, trade_line("3", "t3", "2024-01-09T00:00:00Z"))
+    layers.run_layers(lake, ["bronze"], feed=other, batch=1, replace=True)
+    assert {r.event_id for r in lake.read("bronze", "trades").collect()} == {"1", "3"}
+
+
+def test_an_order_that_leaves_silver_moves_its_agents_pnl(spark, tmp_path):
+    """A late earlier placement by another agent makes bob's order a duplicate: his trades are nobody's known any more."""
+    batches = [
+        lines_of(spark, trade_line("1", "t1", "2024-01-10T00:00:00Z"), placed_line("p2", "o1", "2024-01-05T00:00:00Z", "bob", "MarketMaker")),
+        lines_of(spark, placed_line("p1", "o1", "2024-01-03T00:00:00Z", "ann", "RetailTrader")),
+    ]
+    parts, whole = lakes.Lake(spark, str(tmp_path / "parts")), lakes.Lake(spark, str(tmp_path / "whole"))
+    for n, lines in enumerate(batches):
+        layers.run_layers(parts, feed=lines, batch=n, dates="batch")
+    layers.run_layers(whole, feed=batches[0].union(batches[1]), batch=0)
+    got = {r.agent_type: r.realized_pnl for r in parts.read("gold", "agent_pnl").collect()}
+    assert got == {r.agent_type: r.realized_pnl for r in whole.read("gold", "agent_pnl").collect()} == {"retail": -10.0, "unknown": 10.0}
+
+
+def test_a_full_rerun_after_a_late_duplicate_leaves_no_stale_row(spark, lake):
+    layers.run_layers(lake, feed=lines_of(spark, placed_line("p2", "o1", "2024-01-05T00:00:00Z", "ann", "RetailTrader")), batch=0)
+    layers.run_layers(lake, feed=lines_of(spark, placed_line("p1", "o1", "2024-01-03T00:00:00Z", "ann", "RetailTrader")), batch=1)
+    assert {r.event_id for r in lake.read("silver", "orders").collect()} == {"p1"}
+    assert {r.event_id for r in lake.read("invalid", "orders").collect()} == {"p2"}
+
+
+def test_months_hold_their_days(spark, tmp_path):
+    lake = lakes.Lake(spark, str(tmp_path / "m"), "month")
+    rows = day(spark, [("a", "2024-01-01T00:00:00+00:00", 1), ("b", "2024-01-31T00:00:00+00:00", 1), ("c", "2024-02-01T00:00:00+00:00", 1), ("d", "bad", 1)])
+    lake.write(rows, "l", "t")
+    assert {r.event_id for r in lake.read("l", "t", dates=["2024-01-01"]).collect()} == {"a", "b"}
+    assert {r.event_id for r in lake.read("l", "t", dates=[None]).collect()} == {"d"}
+    assert [str(r.event_date) for r in lake.read("l", "t").orderBy("event_id").collect()] == ["2024-01-01", "2024-01-31", "2024-02-01", "None"]
+    with pytest.raises(ValueError):
+        lakes.Lake(spark, "x", "hour")
+
+
+def test_a_feed_may_lack_tables(spark, lake):
+    layers.run_layers(lake, feed=lines_of(spark, trade_line("1", "t1", "2024-01-01T00:00:00Z")), batch=0)
+    assert lake.read("silver", "trades").count() == 1 and lake.read("gold", "ohlcv").count() == 1
+    counts = {(r.layer, r.table_name): r.n_rows for r in layers.table_counts(lake).collect()}
+    assert ("silver", "orders") not in counts and counts["reference", "symbols"] == 1
 
 
 def test_only_known_layers_run(lake):
@@ -132,9 +220,9 @@ def test_only_known_layers_run(lake):
 def test_sql_with_parameters(spark, lake, trades):
     lake.write(trades, "silver", "trades")
     reports.register_views(lake, {"silver_trades": ("silver", "trades")})
-    assert reports.query(spark, "SELECT count(*) AS n FROM silver_trades WHERE symbol = :s", {"s": "AAPL"}).first().n == 1
-    assert reports.query(spark, "SELECT count(*) AS n FROM silver_trades WHERE price > ?", [152.0]).first().n == 3
-    reports.execute(spark, "CREATE OR REPLACE TEMP VIEW v AS SELECT * FROM silver_trades WHERE symbol = 'JPM'")
+    assert reports.query(spark, "SELECT count(*) AS n FROM silver_trades WHERE symbol = :s", {"s": "ALFA"}).first().n == 1
+    assert reports.query(spark, "SELECT count(*) AS n FROM silver_trades WHERE price > ?", [20.0]).first().n == 3
+    reports.execute(spark, "CREATE OR REPLACE TEMP VIEW v AS SELECT * FROM silver_trades WHERE symbol = 'EPSI'")
     assert spark.table("v").count() == 1
 
 
@@ -170,6 +258,49 @@ def test_topic_stream_keeps_what_it_cannot_decode(spark, lake):
     assert [r.value for r in lake.read("quarantine", "trades").collect()] == ["broken {"]
 
 
+def test_topics_of_one_stream_go_to_their_tables(spark, lake):
+    rows = [("stock.trades", '{"event_type":"TradeExecuted","event_id":"1"}'), ("stock.quotes", '{"event_type":"QuoteUpdate","event_id":"2"}'),
+            ("stock.quotes", "broken"), ("stock.other", "{}")]
+    spark.createDataFrame(rows, "topic string, value string").write.parquet(lake.path("feed", "k"))
+    stream = feeds.file_stream(spark, lake.path("feed", "k"), "topic string, value string")
+    ingest_stream.topics_to_bronze(stream, lake, lake.path("_c", "k"), ("trades", "quotes"))
+    assert [r.event_id for r in lake.read("bronze", "trades").collect()] == ["1"]
+    assert [r.event_id for r in lake.read("bronze", "quotes").collect()] == ["2"]
+    assert [r.value for r in lake.read("quarantine", "quotes").collect()] == ["broken"]
+
+
+def test_progress_reports_become_offsets(spark, lake):
+    class Progress:
+        def __init__(self, at, committed, high):
+            self.json = json.dumps({"timestamp": at, "sources": [
+                {"description": "KafkaV2[Subscribe[stock.trades]]", "endOffset": {"stock.trades": {"0": committed}}, "latestOffset": {"stock.trades": {"0": high}}},
+                {"description": "FileStreamSource", "endOffset": {"logOffset": 3}, "latestOffset": None}]})
+            self.progress = self
+
+    listener = ingest_stream.LagListener(lake)
+    for report in (Progress("2024-01-01T00:00:00Z", 5, 9000), Progress("2024-01-01T00:01:00Z", 700, 9000)):
+        listener.onQueryProgress(report)
+    assert [tuple(r) for r in monitor.lag_breaches(ingest_stream.current_offsets(lake)).collect()] == [("stock.trades", 8300)]
+
+
+def test_staged_stream_finds_repeats_across_batches(spark, lake):
+    batches = [
+        [trade_line("1", "t1", "2024-01-01T00:00:00Z"), trade_line("2", "t2", "2024-01-01T00:00:00Z", price=0)],
+        [trade_line("1r", "t1", "2024-01-01T00:00:00Z"), trade_line("3", "t3", "2024-01-02T00:00:00Z")],
+    ]
+    staged_stream.keep_staged(stream_of(spark, lake.path("feed", "s"), batches), lake, lake.path("_c", "s"), ("trades",))
+    assert {r.event_id for r in lake.read("silver", "trades").collect()} == {"1", "3"}
+    assert {r.event_id: r._invalid_reasons for r in lake.read("invalid", "trades").collect()} == {"1r": "", "2": "non_positive_price"}
+
+
+def test_bars_of_a_stream_replace_their_dates(spark, lake):
+    batches = [[trade_line("1", "t1", "2024-01-01T10:00:00Z")], [trade_line("2", "t2", "2024-01-01T11:00:00Z", price=12), trade_line("3", "t3", "2024-01-02T00:00:00Z")]]
+    feed_ = stream_of(spark, lake.path("feed", "b"), batches)
+    rows = staging.trades_labelled(bronze.from_topics(router.published(router.route(feed_)), "trades"))
+    trade_stream.publish_bars(trade_stream.daily_bars(rows, "2 days"), lake, lake.path("_c", "b"))
+    assert {(str(r.trade_date), r.close, r.trade_count) for r in trade_stream.current_bars(lake).collect()} == {("2024-01-01", 12.0, 2), ("2024-01-02", 10.0, 1)}
+
+
 def test_halt_pairs_stream_equals_batch(spark, lake):
     lines = source.raw_feed(spark, SF_DIR, ("trading_halts",), False)
     lines.repartition(4).write.parquet(lake.path("feed", "h"))

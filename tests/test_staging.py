@@ -36,7 +36,7 @@ def test_null_and_zero_prices_and_text_prices(trades):
     zero = trades.withColumn("price", F.when(F.col("event_id") == "E1", 0.0).otherwise(F.col("price")))
     assert promote.silver(staging.trades(zero)).count() == 4
     text = staging.trades(trades.withColumn("price", F.col("price").cast("string")))
-    assert column(text, "price_cast")["E1"] == 151.5 and dict(text.dtypes)["price"] == "string"
+    assert column(text, "price_cast")["E1"] == 7.5 and dict(text.dtypes)["price"] == "string"
 
 
 def test_missing_columns_flag_rows_instead_of_failing(trades):
@@ -82,7 +82,7 @@ def test_order_status_and_codes(orders):
 
 def test_order_duplicates_concern_placements_only(orders):
     extra = orders.filter("event_id IN ('P2', 'X0')").withColumn("event_id", F.concat("event_id", F.lit("b")))
-    extra = extra.withColumn("timestamp", F.lit("2024-01-16T00:00:00+00:00"))
+    extra = extra.withColumn("timestamp", F.lit("2024-03-06T00:00:00+00:00"))
     flags = column(staging.orders(orders.unionByName(extra)), "_is_duplicate")
     assert [k for k, v in flags.items() if v] == ["P2b"]
 
@@ -117,7 +117,7 @@ def test_missing_required_price(orders):
 )
 def test_quotes(spark, bid, ask, sizes, reasons, imbalance):
     df = spark.createDataFrame(
-        [("QuoteUpdate", "AAPL", "2024-01-15T09:30:00+00:00", bid, ask, *sizes)],
+        [("QuoteUpdate", "ALFA", "2024-03-04T10:00:00+00:00", bid, ask, *sizes)],
         "event_type string, symbol string, timestamp string, best_bid double, best_ask double, best_bid_size int, best_ask_size int",
     )
     row = staging.quotes(df).first()
@@ -136,9 +136,9 @@ def test_promotion_accounting_counts_each_row_once(orders):
 def test_symbol_catalogue(spark, trades, orders):
     quotes = trades.limit(0).select("symbol", F.lit(None).cast("timestamp").alias("timestamp_utc"))
     rows = {r.symbol: r for r in reference.symbols(staging.trades(trades), staging.orders(orders), quotes).collect()}
-    assert set(rows) == {"AAPL", "MSFT", "NVDA", "TSLA", "JPM"}
-    assert rows["AAPL"].seen_in_trades and rows["AAPL"].seen_in_orders and not rows["AAPL"].seen_in_quotes
-    assert not rows["JPM"].seen_in_orders
+    assert set(rows) == {"ALFA", "BETA", "GAMA", "DELT", "EPSI"}
+    assert rows["ALFA"].seen_in_trades and rows["ALFA"].seen_in_orders and not rows["ALFA"].seen_in_quotes
+    assert not rows["EPSI"].seen_in_orders
 
 
 def test_code_tables(spark):
