@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -26,6 +28,8 @@ from marketlake.llm.common import scratch, stored, text_of
 
 CAPACITY = 2048
 END = 0
+#: Ids that a task holds before it passes their pieces on.
+HELD = 1 << 20
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 PIECES = "doc_id long, piece int, start long, length int, ids binary, task long, nth long"
 
@@ -40,13 +44,20 @@ class Encoder:
     def __init__(self, tokenizer: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
-        self.full = Tokenizer.from_file(tokenizer)
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        with open(tokenizer, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.tokenizer = tokenizer
+
+    @cached_property
+    def full(self):
+        """The tokenizer itself, loaded only where a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.tokenizer)
 
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
@@ -77,8 +88,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, task, seen = _encoder(tokenizer, ranks), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
+        columns = ["doc_id", "piece", "start", "length", "ids", "task", "nth"]
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = np.append(encode(text), np.array([END], dtype="<u4"))
                 start, piece = 0, 0
@@ -87,8 +99,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
                     rows.append((None if pd.isna(doc_id) else int(doc_id), piece, start, end - start, ids[start:end].tobytes(), task, int(seen[end - start])))
                     seen[end - start] += 1
                     start, end, piece = end, end + capacity, piece + 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "task", "nth"])
-            yield out.astype({"doc_id": "Int64"})
+                held += len(ids)
+                if held >= HELD:
+                    yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                    rows, held = [], 0
+            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
     path = scratch(docs.sparkSession, "pieces")
     cut_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInPandas(cut, PIECES)
