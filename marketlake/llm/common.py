@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the Python workers, once a Spark application: executors need not have it installed."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    files = sorted(package.rglob("*.py"))
+    content = hashlib.md5(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+    archive = Path(tempfile.mkdtemp(prefix="marketlake-code-")) / f"marketlake-{content}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in files:
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import ship
+
 WINDOW = 256
 EMBEDDING = 8
 FILTERS = 16
@@ -191,6 +193,7 @@ def identify(model: Model | None, text: str | None) -> tuple[str, float]:
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns and `prediction`: a struct of lang_pred and score. The model is some 20 MB of tables, whatever the corpus."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(None if model is None else {k: getattr(model, k) for k in Model.__dataclass_fields__})
     made: dict[str, Model | None] = {}
 

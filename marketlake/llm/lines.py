@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored, text_of
+from marketlake.llm.common import ship, stored, text_of
 
 #: Lines of a run that is found for certain, and the least that is deleted.
 RUN = 3
@@ -74,6 +74,7 @@ def _keyed(docs: DataFrame) -> list[Column]:
 
 def repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     """(doc_id, h, firsts): the first lines (counted without blank ones) of a document's windows that occurred earlier."""
+    ship(docs.sparkSession)
     chosen = fingerprints(docs.select(*_keyed(docs)), run)
     again = stored(chosen.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint"), "repeated-fingerprints")
     windows = stored(chosen.join(again, "fingerprint", "left_semi").select("doc_id", "h", F.inline("windows")), "windows")
@@ -94,6 +95,7 @@ def without(text: str, firsts: list[int] | None, run: int) -> tuple[str, int, in
 
 def dedup(docs: DataFrame, run: int = RUN) -> DataFrame:
     """All columns and `dedup`: a struct of text (what stays), lines and deleted."""
+    ship(docs.sparkSession)
     found = repeats(docs, run).select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), "firsts")
 
     @F.pandas_udf("text string, lines long, deleted long")

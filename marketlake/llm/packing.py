@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import scratch, stored, text_of
+from marketlake.llm.common import scratch, ship, stored, text_of
 
 CAPACITY = 2048
 END = 0
@@ -85,6 +85,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     """Every document's ids and the end token, cut into pieces of at most `capacity`, stored: doc_id, piece, start, length,
     ids (little-endian unsigned 32-bit), and task, nth: the piece's place among those of its length in the task that made it."""
     tokenizer, ranks = tokenizer or vocabulary(TOKENIZER), ranks or vocabulary(RANKS)
+    ship(docs.sparkSession)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, task, seen = _encoder(tokenizer, ranks), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored, text_of
+from marketlake.llm.common import ship, stored, text_of
 from marketlake.llm.components import components
 
 BITS = 64
@@ -51,6 +51,7 @@ def fingerprint(text: str | None, words: int) -> int:
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, fp) of every document, stored."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:

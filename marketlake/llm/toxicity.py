@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.common import ship
+
 #: Bound of the sample that is learned from: documents of each label.
 PER_LABEL = 2500
 #: Grades above 0.
@@ -162,6 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", graded: bool =
 
 def grade(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns and `toxicity`: a struct of severity (expected grade), p_toxic (grade 1 or above) and grade (the median)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(None if model is None else (model.weights, model.thresholds))
     made: dict[str, Model] = {}
 

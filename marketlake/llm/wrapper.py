@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import stored
+from marketlake.llm.common import ship, stored
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
@@ -294,6 +294,7 @@ def host_of(url: Column) -> Column:
 
 def _parsed(pages: DataFrame) -> DataFrame:
     """(host, stream, blocks) of every page, stored."""
+    ship(pages.sparkSession)
 
     @F.pandas_udf("stream string, blocks array<struct<chain:string,text:long,chars:long,linked:long>>")
     def read(htmls: pd.Series) -> pd.DataFrame:
