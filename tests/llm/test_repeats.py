@@ -120,6 +120,15 @@ def test_planted_passages(spark):
         assert " ".join(docs[r.doc_id].split()[r.start : r.end]) == exact.upper()
 
 
+def test_stretches_of_one_unit(spark):
+    """Short stretches that come first don't hide that two later documents share a long one."""
+    random = np.random.default_rng(6)
+    docs = [(n, f"{sentence(random, 70)} {unit} {sentence(random, 70)}") for n, unit in enumerate(
+        [" ".join(["la"] * 30), " ".join(["la"] * 60), " ".join(["la"] * 90), " ".join(["tick tock"] * 12), " ".join(["tock tick"] * 30), " ".join(["tick tock"] * 40)])]
+    got = passages.passages(spark.createDataFrame(docs, SCHEMA).coalesce(1)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(2, 1), (5, 4)}
+
+
 def test_query_finds_every_long_exact_repeat(run, given):
     got = run("op8_substring_dedup")
     flagged = set(got["doc_id"]) | set(got["other_id"])
