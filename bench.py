@@ -20,10 +20,11 @@ from marketlake.session import local_session  # noqa: E402
 HEADLINE = (
     "bronze_trades", "route_topic_counts", "stg_trades", "stg_orders", "stg_quotes", "silver_trades", "gold_ohlcv",
     "gold_market_quality", "gold_agent_pnl", "gold_circuit_breaker", "ref_symbols", "check_silver_trades",
-    "promotion_summary", "halt_pre_post", "trades_with_mid", "stream_ingest_bronze",
+    "promotion_summary", "halt_pre_post", "trades_with_mid", "suite_results", "stream_ingest_bronze", "stream_halt_pairing",
+    "stream_silver_quotes",
 )
-# Streams and lake runs write files; one warm run is enough for them.
-ONCE = ("stream_ingest_bronze",)
+# Streams, lake runs and checks over stored tables write files; one warm run is enough for them.
+ONCE = ("suite_results", "stream_ingest_bronze", "stream_halt_pairing", "stream_silver_quotes")
 
 
 def main() -> None:

@@ -115,7 +115,9 @@ def test_only_local_sessions_may_use_a_folder_of_their_own():
 
 
 def feed(spark):
-    return source.raw_feed(spark, SF_DIR)
+    """Every event of each year's May and of 2024, so that four runs of all layers write fewer files; the registered runs take everything."""
+    month = F.get_json_object("value", "$.data.timestamp").substr(1, 7)
+    return source.raw_feed(spark, SF_DIR).filter(F.coalesce(month.endswith("-05") | (month >= "2024"), F.lit(True)))
 
 
 def snapshot(lake, layer, table):
