@@ -30,7 +30,7 @@ ONCE = ("suite_results", "stream_ingest_bronze", "stream_halt_pairing", "stream_
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, app="marketlake-bench")
     seconds: dict[str, float] = {}
