@@ -150,3 +150,25 @@ def test_passage_odd_rows(odd, no_docs):
     got = passages.passages(odd).collect()
     assert all(r["doc_id"] != 7 or r["other_id"] != 7 for r in got)
     assert passages.passages(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("words, changed", [(60, 0.05), (60, 0.1), (60, 0.15), (80, 0.1), (80, 0.15), (120, 0.15)])
+def test_fuzzy_passages_are_found(words, changed):
+    """Passages with words changed at random, among words that occur once; only those count that are alike enough."""
+    random = np.random.default_rng(words)
+    found = counted = 0
+    while counted < 100:
+        x = random.permutation(1 << 16)[: words + 160].astype("<u2")
+        y = random.integers(0, 1 << 16, words + 160).astype("<u2")
+        kept = random.random(words) >= changed
+        if kept.mean() < passages.LEAST_EQUAL:
+            continue
+        counted += 1
+        y[40 : 40 + words] = np.where(kept, x[80 : 80 + words], y[40 : 40 + words])
+        (at, own), (other_at, theirs) = passages.seeds(x.astype(np.uint64)), passages.seeds(y.astype(np.uint64))
+        first = {s: p for p, s in reversed(list(zip(other_at.tolist(), theirs.tolist())))}
+        matches = [(p, first[s]) for p, s in zip(at.tolist(), own.tolist()) if s in first]
+        spans = passages.stretches([a for a, _ in matches], [b for _, b in matches])
+        made = [p for a, b in spans for p in passages.align(x, y, a, b)]
+        found += any(p[0] < 80 + words and p[1] > 80 for p in made)
+    assert found >= 95
