@@ -7,9 +7,11 @@ mismatch becomes optional. The result is a sequence of tags, text slots, repeate
 with very many different pages, is never one task's work.
 
 Each text slot of a wrapper lies in a chain of elements. Chains in menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments are never main text. Of the others, a host's main text is what lies in its article element, or
-else its main element or content block, or else the element that holds most of the text that differs from
-page to page. These chains are found once a host and then applied to every page as a whole.
+forms and reader comments are never main text, by whole words of class and role. Of the others, a page's main text is
+what lies in its article elements, or else (also if the articles are teasers beside a longer text) its main element or
+content block, or else the element that holds most of the text that differs from page to page of the host. The main
+chains are found once a host and then applied to every page. They are taken from the parsed pages: the inferred
+wrapper is returned with them, but does not decide on any text.
 
 Defined cases: a null or empty html has an empty text; a null or odd url is a host of its own, named by the empty string; repeated pages
 count once each; unclosed elements, cut-off pages and `</p>` within scripts are read as browsers do; pages of any
@@ -23,6 +25,7 @@ import html as html_lib
 import json
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -33,27 +36,34 @@ from marketlake.llm.common import ship, stored
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(script|style|noscript|template|textarea|svg|iframe|math)\b(?:[^'\">]|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|$)"
+    r"|<(script|style|noscript|template|textarea|svg|iframe|annotation-xml|annotation)\b(?:[^'\">]|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[/!?][^>]*(?:>|$)|<[a-zA-Z][^>]*(?:>|$)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+                    "math semantics mrow mi mn mo ms mtext mfrac msup msub msubsup msqrt mroot mover munder munderover mstyle mpadded".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 #: Elements that are never main text, whatever their attributes.
-_OUTSIDE = frozenset("head nav footer aside form button select dialog menu title figcaption".split())
-#: Beginnings of words in class, id or role that mark what isn't main text.
-_MARKS = tuple(
-    "nav menu breadcrumb pagination pager footer foot copyright sidebar aside widget advert sponsor promo banner cookie consent gdpr "
-    "notice notification alert popup modal overlay newsletter subscri signup login share sharing social related recommend comment repl respond "
-    "discussion disqus search form contentinfo masthead toolbar skip legal disclaimer".split()
+_OUTSIDE = frozenset("head nav footer aside form button select dialog menu title".split())
+#: Words of class, id or role that mark what isn't main text.
+_MARKS = frozenset(
+    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer foot copyright sidebar sidebars aside widget widgets advert adverts "
+    "advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion banner banners cookie cookies consent gdpr "
+    "notice notices notification notifications alert alerts popup popups modal overlay newsletter newsletters subscribe subscription signup login "
+    "share shares sharing sharebar social related recommend recommended recommendations comment comments commentlist commentform repl replies respond "
+    "discussion discussions disqus search searchbox searchform form forms contentinfo masthead toolbar skip skiplink legal disclaimer".split()
 )
 _WHOLE_MARKS = frozenset("ad ads adv adbox adslot side top bottom meta tags hidden header banner".split())
 _EXEMPT = frozenset("html body article main".split())
 _MAIN_MARKS = frozenset("main content article articlebody post entry story maincontent postcontent entrycontent articlecontent".split())
+#: Words that an id may have beside marks. Any other id is a slug of its text and says nothing.
+_ID_WORDS = _MARKS | _WHOLE_MARKS | _MAIN_MARKS | frozenset(
+    "0 site page left right wrapper container block box area section global primary secondary inner outer bar list links buttons posts text".split()
+)
 #: Streams that one task aligns at a time, on average.
 TOGETHER = 48
 #: Longest group that is looked for as a repeat.
@@ -61,21 +71,23 @@ LONGEST_REPEAT = 24
 
 
 def _element(name: str, attributes: str) -> str:
-    """Name and the words of class, id, role and itemprop, with numbers alike."""
-    words = []
+    """Name and the words of class, role and itemprop, with numbers alike; those of an id if it is made of known words alone."""
+    words: set[str] = set()
     if "=" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
-            words += re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())
-    return ".".join([name, *sorted({re.sub(r"\d+", "0", w) for w in words if w})])
+            found = {re.sub(r"\d+", "0", w) for w in re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()) if w}
+            if m[1].lower() != "id" or found <= _ID_WORDS:
+                words |= found
+    return ".".join([name, *sorted(words)])
 
 
 def _outside(element: str, inside_article: bool) -> bool:
     name, *words = element.split(".")
     if name in _EXEMPT:
         return False
-    if name in _OUTSIDE or name == "header" and not inside_article:
+    if name in _OUTSIDE or name in ("header", "figcaption") and not inside_article:
         return True
-    return any(w in _WHOLE_MARKS and not (w in ("header", "meta", "top") and inside_article) or w.startswith(_MARKS) for w in words)
+    return any(w in _WHOLE_MARKS and not (w in ("header", "meta", "top") and inside_article) or w in _MARKS for w in words)
 
 
 def parse(html: str) -> list[tuple[str, str, bool]]:
@@ -232,6 +244,7 @@ def slots(items: list) -> set[str]:
     return {chain for chain, text, _ in chains(events) if chain is not None and text.strip()}
 
 
+@lru_cache(1 << 16)
 def _grade(chain: str) -> int | None:
     """None outside the main text; else 3 in an article, 2 in a main element or content block, 1 elsewhere."""
     grade = 1
@@ -249,9 +262,8 @@ def _grade(chain: str) -> int | None:
 def main_chains(found: set[str], texts: dict[str, tuple[int, int, int, int]]) -> list[str]:
     """Of a host's chains those that hold main text. texts: chain → number of blocks, of different texts, of characters, of those in links."""
     graded = {c: g for c in found if (g := _grade(c)) is not None}
-    best = max(graded.values(), default=1)
-    if best > 1:
-        return sorted(c for c, g in graded.items() if g == best)
+    if max(graded.values(), default=1) > 1:
+        return sorted(c for c, g in graded.items() if g > 1)
     # No element says so: what differs from page to page and isn't links.
     none = (0, 0, 0, 0)
     varied = {c: texts.get(c, none)[2] for c in graded if 2 * texts.get(c, none)[1] > texts.get(c, none)[0] and 2 * texts.get(c, none)[3] <= texts.get(c, none)[2]}
@@ -271,10 +283,23 @@ def main_chains(found: set[str], texts: dict[str, tuple[int, int, int, int]]) ->
 # --- extraction ---------------------------------------------------------------------------------
 
 
+def _content(found: list[tuple[str | None, str, bool]], main: set[str]) -> set[str]:
+    """Of the main chains those of a page's content: its articles, unless its main element has more than twice their text besides them."""
+    sizes: Counter[int] = Counter()
+    for chain, text, linked in found:
+        if chain in main and not linked:
+            sizes[_grade(chain)] += len(text.strip())
+    if not sizes[2] or not sizes[3]:
+        best = 2 if sizes[2] else 3 if sizes[3] else 0
+    else:
+        best = 3 if 2 * sizes[3] >= sizes[2] else 2
+    return {c for c in main if _grade(c) == best} if best else main
+
+
 def main_text(html: str, main: list[str] | None) -> str:
     """The text of the main chains; on a page that has none of them, of all chains that aren't outside the main text."""
     found = chains(parse(html))
-    wanted = set() if main is None else set(main)
+    wanted = _content(found, set() if main is None else set(main))
     if not any(chain in wanted for chain, text, _ in found if chain is not None and text.strip()):
         wanted = {c for c in {c for c, t, _ in found if c is not None and t.strip()} if _grade(c) is not None}
     pieces: list[str] = []

@@ -81,3 +81,21 @@ def test_many_streams_are_aligned_in_rounds(spark, monkeypatch):
     made = wrapper.wrappers(pages).collect()
     assert len(made) == 1 and set(made[0]["main_chains"]) >= {f"html/body/article/{t}" for t in ("h1", "p", "div")}
     assert {r["text"] for r in wrapper.extract(pages).collect()} == {"a 1 2 4 8"}
+
+
+def test_words_of_an_article_that_only_look_like_marks_stay(spark):
+    body = (
+        "<div class='post format-standard'><h2 id='related-work'>Related work {n}</h2><section id='social-history'><p>History {n}</p></section>"
+        "<div class=footnotes>Note {n}</div><p class=formula>where <math><mi>x</mi><mo>=</mo><mn>{n}</mn></math></p>"
+        "<figure><figcaption>Figure {n}</figcaption></figure><div class='share-links'>Share</div></div><div id='site-footer'>Imprint</div>"
+    )
+    rows = [(n, f"http://e.example/{n}", page(body.replace("{n}", str(n)))) for n in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(frame(spark, rows)).collect()}
+    assert got == {n: f"Related work {n} History {n} Note {n} where x={n} Figure {n}" for n in range(4)}
+
+
+def test_teasers_are_not_the_story(spark):
+    body = "<main><h1>Head {n}</h1><p>" + "a long story {n} " * 20 + "</p></main><article class=card><p>teaser {n}</p></article>"
+    rows = [(n, f"http://f.example/{n}", page(body.replace("{n}", str(n)))) for n in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(frame(spark, rows)).collect()}
+    assert got == {n: " ".join([f"Head {n}", *[f"a long story {n}"] * 20]) for n in range(4)}
