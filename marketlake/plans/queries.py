@@ -571,11 +571,8 @@ def check_pass_rate(spark, d):
 
 @query
 def freshness(spark, d):
-    """A bar's or score's newest date is that of the rows it is made of, so that nothing is aggregated to find it."""
-    days = {
-        "gold_ohlcv": good_trades(spark, d), "gold_market_quality": good_quotes(spark, d),
-    }
-    tables = {name: (df.select(F.to_date("timestamp_utc").alias("trade_date")), "trade_date") for name, df in days.items()}
+    """The newest dates of the gold tables themselves, so that an empty or stale one shows."""
+    tables = {"gold_ohlcv": (bars(spark, d), "trade_date"), "gold_market_quality": (quality(spark, d), "trade_date")}
     return monitor.freshness(tables, as_of())
 
 

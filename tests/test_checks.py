@@ -2,7 +2,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from marketlake.operators import expectations, monitor, suites
+from marketlake.operators import expectations, gold, monitor, suites
+from marketlake.plans import queries
+from tests.conftest import SF_DIR
 
 SILVER = "trade_id string, symbol string, timestamp string, price_cast double, quantity_cast double, timestamp_utc timestamp, side_normalized string"
 BASE = dt.datetime(2024, 1, 15, 9, 30)
@@ -112,3 +114,10 @@ def test_pass_rate_bands(spark):
 def test_progress_lag():
     progress = {"sources": [{"description": "KafkaV2[a]", "metrics": {"maxOffsetsBehindLatest": "7"}}, {"description": "File", "metrics": None}]}
     assert monitor.progress_lag(progress) == {"KafkaV2[a]": 7}
+
+
+def test_freshness_shows_an_empty_gold_table(spark, monkeypatch):
+    made = gold.ohlcv
+    monkeypatch.setattr(gold, "ohlcv", lambda *a, **k: made(*a, **k).limit(0))
+    report = {r["table_name"]: r["status"] for r in queries.freshness(spark, SF_DIR).collect()}
+    assert report["gold_ohlcv"] == "no data" and report["gold_market_quality"] != "no data"
