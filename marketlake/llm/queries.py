@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import exact, langid, lines, mixing, packing, passages, simhash, toxicity, weighted, wrapper
-from marketlake.llm.common import table
+from marketlake.llm import codes, exact, langid, lines, mixing, negatives, packing, passages, simhash, tokenfile, toxicity, weighted, wrapper
+from marketlake.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,23 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.encoded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history, coded = codes.fit(table(spark, sf_dir, "embeddings"))
+    found = codes.with_label_errors(stored(coded, "codes"))
+    sha256 = F.lit(codes.digest(history) if history else None).cast("string")
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", sha256.alias("codebooks_sha256"))
