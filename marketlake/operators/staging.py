@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,11 +82,11 @@ def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
     return _trade_reasons(label_duplicates(_trade_casts(bronze), TRADE_KEY, order, history=rows, settle=settle))
 
 
-def _is_placed(df: DataFrame) -> Column:
+def is_placed(df: DataFrame) -> Column:
     return F.col("event_type").eqNullSafe("OrderPlaced") if "event_type" in df.columns else F.lit(True)
 
 
-def _is_cancel(df: DataFrame) -> Column:
+def is_cancel(df: DataFrame) -> Column:
     return F.col("event_type").eqNullSafe("OrderCancelled") if "event_type" in df.columns else F.lit(False)
 
 
@@ -95,24 +97,24 @@ def order_facts(orders: DataFrame) -> DataFrame:
     never cancelled carry no news and are left out.
     """
     df = _ensure(orders, "order_id", "timestamp").withColumn("timestamp_utc", to_utc(orders))
-    placed = _is_placed(df)
+    placed = is_placed(df)
     return (
         df.groupBy(F.col("order_id").alias("_order_id"))
         .agg(
             F.min(F.when(placed, F.struct(*order_columns(df)))).alias("_first"),
             F.count_if(placed).alias("_n_placed"),
-            F.max(_is_cancel(df) & F.col("order_id").isNotNull()).alias("_cancelled"),
+            F.max(is_cancel(df) & F.col("order_id").isNotNull()).alias("_cancelled"),
         )
         .filter("_n_placed > 1 OR _cancelled")
         .drop("_n_placed")
     )
 
 
-def orders(bronze: DataFrame, history: DataFrame | None = None, settle: Settle | None = None) -> DataFrame:
+def orders(bronze: DataFrame, settle: Settle | None = None, facts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Label OrderPlaced / OrderCancelled rows.
 
     Duplicates and cancellations of an order may lie on other days: when `bronze` is a part of the
-    table, `history` supplies every row that shares an order id with it.
+    table, `facts` adds `_first` and `_cancelled` to its rows, out of an index of the whole table.
     """
     df = computed_once(_ensure(bronze, "order_id", "symbol", "timestamp"), {
         "price_cast": to_number(bronze, "price"),
@@ -123,16 +125,18 @@ def orders(bronze: DataFrame, history: DataFrame | None = None, settle: Settle |
         "order_type_normalized": code_lookup(col_or(bronze, "order_type").cast("string"), ORDER_TYPES),
         "agent_type_normalized": code_lookup(col_or(bronze, "agent_type").cast("string"), AGENT_TYPES),
     })
-    facts = order_facts(bronze if history is None else history)
-    if settle is not None:
-        facts = settle(facts)
-    placed, cancel = _is_placed(df), _is_cancel(df)
-    df = df.join(facts, F.col("order_id").eqNullSafe(F.col("_order_id")), "left").withColumns({
+    if facts is None:
+        known = order_facts(bronze) if settle is None else settle(order_facts(bronze))
+        df = df.join(known, F.col("order_id").eqNullSafe(F.col("_order_id")), "left").drop("_order_id")
+    else:
+        df = facts(df)
+    placed, cancel = is_placed(df), is_cancel(df)
+    df = df.withColumns({
         "fill_status": F.when(cancel, "cancellation_event")
         .when(F.coalesce("_cancelled", F.lit(False)), "cancelled")
         .otherwise("open"),
         "_is_duplicate": placed & F.col("_first").isNotNull() & (F.struct(*order_columns(df)) > F.col("_first")),
-    }).drop("_order_id", "_first", "_cancelled")
+    }).drop("_first", "_cancelled")
     return _with_labels(df, {
         "null_order_id": F.col("order_id").isNull(),
         "null_symbol": F.col("symbol").isNull(),

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.casts import to_utc
-from marketlake.operators import bronze, duplicates, gold, halts, promote, reference, router, staging
+from marketlake.operators import bronze, gold, halts, promote, reference, router, staging
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
 from marketlake.sources.lake import BATCH, EVENT_DATE, PART, Lake, on_dates
+from marketlake.sources.order_index import OrderIndex, Version
 
 LAYERS = ("bronze", "staging", "invalid", "reference", "silver", "gold")
 STAGED = ("trades", "orders", "quotes")
@@ -50,6 +51,7 @@ class LayerRun:
         self.lake, self.batch = lake, batch
         self.log: list[tuple] = []
         self.work: list[str] = []
+        self.order_index: Version | None = None
 
     # -- bookkeeping ---------------------------------------------------------------------------
 
@@ -121,6 +123,12 @@ class LayerRun:
         rows = self.lake.spark.read.schema(f"{PART} date, {BATCH} int").parquet(self.lake.path("bronze", table))
         return _dates(rows.filter(F.col(BATCH) == self.batch).select(PART))
 
+    def touched_orders(self) -> Dates:
+        """As `touched`, with the partitions of earlier orders whose labels the batch changes; from then on labels come from the index."""
+        days = self.touched("orders")
+        moved, self.order_index = OrderIndex(self.lake).take(self.batch)
+        return _union(days, moved)
+
     def stage(self, dates: dict[str, Dates], tables: Iterable[str] = STAGED) -> None:
         together(*[partial(self._stage, table, dates[table]) for table in tables])
 
@@ -129,8 +137,8 @@ class LayerRun:
         if table == "trades":
             staged = staging.trades(rows, self.lake.settle("trade_firsts", self.work))
         elif table == "orders":
-            history = None if days is None else sharing_orders(self.bronze("orders"), rows)
-            staged = staging.orders(rows, history, self.lake.settle("order_facts", self.work))
+            facts = None if self.order_index is None else self.order_index.facts
+            staged = staging.orders(rows, self.lake.settle("order_facts", self.work), facts)
         else:
             staged = staging.quotes(rows)
         self.store(staged.drop("_ingest_id"), "staging", table, dates=days)
@@ -213,33 +221,6 @@ def _union(a: Dates, b: Dates) -> Dates:
     return None if a is None or b is None else list(dict.fromkeys([*a, *b]))
 
 
-def sharing_orders(orders: DataFrame, rows: DataFrame) -> DataFrame:
-    """All rows of the table that share an order id with `rows`; NULL ids equal each other."""
-    ids = rows.select(F.col("order_id").alias("_id")).distinct()
-    return orders.join(ids, F.col("order_id").eqNullSafe(F.col("_id")), "left_semi")
-
-
-def order_dates_to_redo(lake: Lake, orders: DataFrame, touched: list[str | None]) -> list[str | None]:
-    """Partitions whose order labels may change when rows of the touched ones arrive.
-
-    Besides those: every placement of an order cancelled there, and the row that was an order's
-    first placement until an earlier one arrived.
-    """
-    orders = orders.withColumn("timestamp_utc", to_utc(orders)).withColumn(PART, lake.part(F.col(EVENT_DATE)))
-    new = on_dates(touched, PART)
-    fresh, old = orders.filter(new), orders.filter(~new | (F.lit(None not in touched) & F.col(PART).isNull()))
-    cancelled = fresh.filter("event_type = 'OrderCancelled' AND order_id IS NOT NULL").select("order_id").distinct()
-    by_cancel = old.join(cancelled, "order_id", "left_semi").select(PART)
-    placed = duplicates.same_key([F.col("order_id")], [F.col("_id")])
-    ids = fresh.filter("event_type = 'OrderPlaced'").select(F.col("order_id").alias("_id")).distinct()
-    firsts = (
-        old.filter("event_type = 'OrderPlaced'").join(ids, placed, "left_semi")
-        .groupBy("order_id").agg(F.min(F.struct(*staging.order_columns(orders), PART)).alias("f"))
-        .select(F.col(f"f.{PART}").alias(PART))
-    )
-    return _union(touched, _dates(by_cancel.unionByName(firsts)))
-
-
 def run_layers(
     lake: Lake,
     layers: Iterable[str] = LAYERS,
@@ -268,8 +249,7 @@ def run_layers(
         run.ingest(feed, replace)
     scope: dict[str, Dates] = dict.fromkeys(("trades", "orders", "quotes", "market_stats"))
     if dates == "batch":
-        scope = {t: run.touched(t) for t in scope}
-        scope["orders"] = order_dates_to_redo(lake, run.bronze("orders"), scope["orders"])
+        scope = {t: run.touched_orders() if t == "orders" else run.touched(t) for t in scope}
     if "staging" in chosen:
         run.stage(scope)
     if "invalid" in chosen:

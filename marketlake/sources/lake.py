@@ -60,7 +60,7 @@ class Lake:
 
     def exists(self, layer: str, table: str) -> bool:
         """Whether the table holds any file; a write of no rows leaves an empty folder behind."""
-        return any(not name.startswith(("_S", "_temporary", ".")) for name in self._files(self.path(layer, table)))
+        return any(not name.startswith(("_S", "_temporary", ".")) for name in self.names(self.path(layer, table)))
 
     def read(
         self,
@@ -70,12 +70,14 @@ class Lake:
         dates: Iterable[str | None] | None = None,
         position: bool = False,
         merge: bool = False,
+        where: Column | None = None,
     ) -> DataFrame:
         """A whole table, files united by column name. A table without files is empty with `schema`.
 
         With `schema` no file is opened before the query runs: columns that a file lacks are NULL. Without it, `merge`
-        looks at every file for its columns, instead of at one. `dates` prunes to those partitions. `position` adds
-        `_ingest_id`, the row's place in the stored files: unique per row and the same on every read.
+        looks at every file for its columns, instead of at one. `dates` prunes to those partitions, `where` to those its condition on
+        `_batch` and `_part` holds for. `position` adds `_ingest_id`, the row's place in the stored files: unique per row and the same on
+        every read.
         """
         path = self.path(layer, table)
         if not self.exists(layer, table):
@@ -88,6 +90,7 @@ class Lake:
         if position:
             file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
             df = df.select("*", F.struct(file.alias("file"), row.alias("row")).alias("_ingest_id"))
+        df = df if where is None else df.filter(where)
         return (df if dates is None else df.filter(on_dates(dates, PART))).drop(BATCH, PART)
 
     def write(
@@ -134,7 +137,7 @@ class Lake:
 
     def _partitions(self, path: str, partition: str) -> dict[str, frozenset[str]]:
         """Files by partition value, from one listing that Spark spreads over the executors where it is long."""
-        if not self._files(path):
+        if not self.names(path):
             return {}
         found: dict[str, set[str]] = {}
         for file in self.spark.read.schema("_none int").parquet(path).inputFiles():
@@ -200,10 +203,31 @@ class Lake:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _files(self, folder: str) -> frozenset[str]:
+    def names(self, folder: str) -> frozenset[str]:
+        """What lies in a folder."""
         fs, path = self._fs(folder)
         return frozenset(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else frozenset()
 
+    def write_note(self, file: str, text: str) -> None:
+        """Replaces a small text file; readers see the old text, the new one, or for a moment none."""
+        fs, path = self._fs(file)
+        fresh = self._fs(f"{file}-{uuid.uuid4().hex[:8]}")[1]
+        out = fs.create(fresh)
+        out.write(bytearray(text.encode()))
+        out.close()
+        fs.delete(path, False)
+        fs.rename(fresh, path)
+
+    def read_note(self, file: str) -> str | None:
+        fs, path = self._fs(file)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def delete(self, folder: str) -> None:
         fs, path = self._fs(folder)
         fs.delete(path, True)

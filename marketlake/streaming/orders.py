@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from marketlake.operators import bronze, promote, router, staging
-from marketlake.plans.layers import LayerRun, order_dates_to_redo, sharing_orders
+from marketlake.operators import bronze, promote, router
+from marketlake.plans.layers import LayerRun
 from marketlake.sources.lake import Lake
 from marketlake.streaming.ingest import run_available
 
@@ -14,19 +14,18 @@ def keep_order_status(feed: DataFrame, lake: Lake, checkpoint: str) -> None:
     """Feed lines -> bronze, staging and silver orders.
 
     Each batch relabels only the dates it affects: its own, those of orders it cancels, and those where
-    an earlier placement arrived late. Partitions are replaced whole, so a replay changes nothing.
+    an earlier placement arrived late, as the order index tells. Partitions are replaced whole, so a replay changes nothing.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         lines = router.published(router.route(batch))
         lake.append_batch(bronze.from_topics(lines, "orders"), "bronze", "orders", batch_id)
         run = LayerRun(lake, batch_id)
-        dates = order_dates_to_redo(lake, run.bronze("orders"), run.touched("orders"))
+        dates = run.touched_orders()
         if not dates:
             return
-        rows = run.bronze("orders", dates)
-        staged = staging.orders(rows, sharing_orders(run.bronze("orders"), rows)).drop("_ingest_id")
-        lake.write(staged, "staging", "orders", dates=dates)
+        run.stage({"orders": dates}, ("orders",))
         lake.write(promote.silver_orders(run.table("staging", "orders", dates)), "silver", "orders", dates=dates)
+        run.finish()
 
     run_available(feed, write_batch, checkpoint)

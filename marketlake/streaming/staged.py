@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.operators import bronze, router
-from marketlake.plans.layers import STAGED, LayerRun, order_dates_to_redo
+from marketlake.plans.layers import STAGED, LayerRun
 from marketlake.sources.lake import Lake
 from marketlake.streaming.ingest import run_available
 
@@ -27,9 +27,7 @@ def keep_staged(feed: DataFrame, lake: Lake, checkpoint: str, tables: Sequence[s
         dates = {}
         for table in tables:
             lake.append_batch(bronze.from_topics(lines, table), "bronze", table, batch_id)
-            dates[table] = run.touched(table)
-        if "orders" in dates:
-            dates["orders"] = order_dates_to_redo(lake, run.bronze("orders"), dates["orders"])
+            dates[table] = run.touched_orders() if table == "orders" else run.touched(table)
         touched = [table for table in tables if dates[table]]
         if touched:
             run.stage(dates, touched)

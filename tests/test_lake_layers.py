@@ -143,7 +143,7 @@ def test_rerun_changes_nothing_and_increments_equal_one_run(spark, tmp_path):
         assert snapshot(whole, *t) == first[t], t
     log = layers.run_log(whole)
     assert log.filter("layer = 'gold'").count() == 8 and log.filter("ended_at < started_at").count() == 0
-    assert not whole._files(whole.path("_work", "").rstrip("/"))  # lookups are dropped
+    assert not whole.names(whole.path("_work", "").rstrip("/"))  # lookups are dropped
     assert "_raw" not in whole.read("bronze", "trades").columns
 
 
