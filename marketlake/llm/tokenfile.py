@@ -137,39 +137,64 @@ def decode(image: bytes, start: int = 0, end: int | None = None) -> np.ndarray:
 # --- token ids ----------------------------------------------------------------------------------
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others from 256 on in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b if b in plain else 256 + others.index(b)) for b in range(256)}
+
+
 class Encoder(dict):
     """Token ids of `tokenizers`, as bytes of little-endian unsigned 32-bit integers.
 
     The vocabulary's patterns drop white space and no token spans it, so that a text's ids are those of its words in turn;
-    words are kept once coded. A test compares texts coded whole. Texts with the name of a special token are coded whole.
+    words are kept once coded. A word of Western letters with ASCII punctuation around it falls into those parts, which go to the
+    model as they are; other words go through the whole tokenizer, as do texts with the name of a special token. Tests
+    compare all with texts coded whole.
     """
 
     #: Words kept, and the longest that is kept.
     KEPT, LONGEST = 1 << 20, 64
+    #: No apostrophe in front: with a letter it may be an ending of the vocabulary's patterns.
+    SIMPLE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = re.compile(WORD)
+        self.words, self.separators = re.compile(WORD), re.compile("[\x1c-\x1f]")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def part(self, part: str) -> bytes:
+        """Letters in lower case, or punctuation."""
+        coded = "".join(map(self.letters.__getitem__, part.encode()))
+        return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.model.tokenize(coded)]) else b""
+
     def __missing__(self, word: str) -> bytes:
-        coded = self.whole(word)
-        if len(word) <= self.LONGEST:
-            if len(self) >= self.KEPT:
-                self.clear()
-            self[word] = coded
+        if len(word) > self.LONGEST:
+            return self.whole(word)
+        if (simple := self.SIMPLE.fullmatch(word)) is None:
+            coded = self.whole(word)
+        else:
+            before, letters, after = simple.groups()
+            lower = letters.lower()
+            coded = self.part(lower) if word == lower else b"".join(self[p] if p != word else self.part(p) for p in (before, lower, after) if p)
+        if len(self) >= self.KEPT:
+            self.clear()
+        self[word] = coded
         return coded
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, self.words.findall(text)))
+        # Python's own splitting takes four more characters for white space than the tokenizer does.
+        found = self.words.findall(text) if self.separators.search(text) else text.split()
+        return b"".join(map(self.__getitem__, found))
 
 
 _ENCODERS: dict[str, Encoder] = {}
