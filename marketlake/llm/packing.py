@@ -38,7 +38,7 @@ class Encoder:
     """Token ids of the vocabulary file of `tokenizers`.
 
     The same vocabulary as byte-pair ranks gives the same ids several times faster (a test compares the two); texts that hold the
-    name of a special token go through `tokenizers` itself.
+    name of a special token, or that the faster way refuses, go through `tokenizers` itself.
     """
 
     def __init__(self, tokenizer: str, ranks: str):
@@ -62,7 +62,10 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        except ValueError:  # its pattern gives up on very long runs of white space
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
