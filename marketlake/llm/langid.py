@@ -166,8 +166,8 @@ def labelled_sample(docs: DataFrame, seed: int = SEED) -> DataFrame:
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") > 0)
     ).select("lang", "text", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)).alias("turn"), "doc_id")
-    labels = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    thinned = usable.join(F.broadcast(labels), "lang").where(F.col("turn") / F.lit(float(1 << 30)) * F.col("n") < 4 * PER_LANGUAGE)  # one row a language
+    labels = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    thinned = usable.join(labels, "lang").where(F.col("turn") / F.lit(float(1 << 30)) * F.col("n") < 4 * PER_LANGUAGE)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id", "text"))
     return thinned.withColumn("nth", first).where(F.col("nth") <= PER_LANGUAGE).select("lang", "text", "turn")
 
