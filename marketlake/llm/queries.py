@@ -51,7 +51,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weighted.fingerprints(table(spark, sf_dir, "documents"))
+    found = weighted.fingerprints(table(spark, sf_dir, "documents"))
+    return found.withColumns({name: weighted.as_text(F.col(name)) for name in ("fingerprint", "edited_fingerprint")})
 
 
 @query

@@ -52,16 +52,17 @@ def _gamma(hashed: Column) -> Column:
     return -F.ln(_unit(_low(hashed)) * _unit(_high(hashed)))
 
 
-def samples(counts: DataFrame, keys: list[str], term: str, weights: list[str]) -> DataFrame:
+def samples(counts: DataFrame, keys: list[str], term: str, weights: list[str], carried: list[str] | None = None) -> DataFrame:
     """(keys, term, weights) → (keys, bin, sample_0, sample_1, ...): of each bin the sample with the least key, for each weight.
 
-    A term's numbers are the same for all weights. A weight of 0 takes no part.
+    A term's numbers are the same for all weights. A weight of 0 takes no part. Of `carried` columns each bin keeps the least value.
     """
+    carried = carried or []
     most = F.greatest(F.lit(1), F.ceil(F.greatest(*weights) / PIECE))
-    cut = counts.select(*keys, *weights, F.col(term).alias("term"), F.explode(F.sequence(F.lit(0).cast("long"), most - 1)).alias("piece"))
+    cut = counts.select(*keys, *carried, *weights, F.col(term).alias("term"), F.explode(F.sequence(F.lit(0).cast("long"), most - 1)).alias("piece"))
     part = lambda w: F.greatest(F.lit(0.0), F.least(F.lit(float(PIECE)), F.col(w) - F.col("piece") * PIECE))
-    cut = cut.select(*keys, *[part(w).alias(w) for w in weights], F.xxhash64("term", "piece").alias("term"))
-    dealt = cut.select(*keys, *weights, "term", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])).alias("deal"))
+    cut = cut.select(*keys, *carried, *[part(w).alias(w) for w in weights], F.xxhash64("term", "piece").alias("term"))
+    dealt = cut.select(*keys, *carried, *weights, "term", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])).alias("deal"))
     hashed = lambda n: F.xxhash64(F.lit(n), F.col("deal"), F.col("term"))
     drawn = dealt.withColumns({"r": _gamma(hashed(1)), "log_c": F.ln(_gamma(hashed(2))), "third": hashed(3)})
     drawn = drawn.withColumn("b", _unit(_low(F.col("third"))))
@@ -74,14 +75,32 @@ def samples(counts: DataFrame, keys: list[str], term: str, weights: list[str]) -
 
     own = BINS // DEALS
     bin_ = (F.col("deal") * own + (_high(F.col("third")) % own)).cast("int").alias("bin")
-    found = drawn.select(*keys, bin_, *[sample(w).alias(f"sample_{i}") for i, w in enumerate(weights)])
-    return found.groupBy(*keys, "bin").agg(*[F.min(f"sample_{i}").alias(f"sample_{i}") for i in range(len(weights))])
+    found = drawn.select(*keys, *carried, bin_, *[sample(w).alias(f"sample_{i}") for i, w in enumerate(weights)])
+    return found.groupBy(*keys, "bin").agg(*[F.min(c).alias(c) for c in [f"sample_{i}" for i in range(len(weights))] + carried])
+
+
+#: A SHA-256 hash as four numbers, which a hash aggregate can keep.
+QUARTERS = ["hash_0", "hash_1", "hash_2", "hash_3"]
+
+
+def quarters(text: Column) -> list[Column]:
+    hashed = F.sha2(text, 256)
+    return [F.conv(F.substring(hashed, 16 * i + 1, 16), 16, -10).cast("long").alias(name) for i, name in enumerate(QUARTERS)]
+
+
+def whole_hash() -> Column:
+    return F.lower(F.concat(*[F.lpad(F.hex(name), 16, "0") for name in QUARTERS]))
 
 
 def words(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, term): a row for each word of the text."""
-    found = rows.select(*keys, F.explode(F.split(F.col(text), f"{WHITE}+")).alias("word")).where("word <> ''")
-    return found.select(*keys, F.xxhash64("word").alias("term"))
+    """(keys, term, hash): a row for each word of the text; and one with an empty word where there is a hash."""
+    found = rows.select(*keys, *QUARTERS, F.explode(F.split(F.col(text), f"{WHITE}+")).alias("word")).where("word <> '' OR hash_0 IS NOT NULL")
+    return found.select(*keys, *QUARTERS, F.xxhash64("word").alias("term"))
+
+
+def as_text(fingerprint: Column) -> Column:
+    """Six hexadecimal digits for each entry."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x), 6, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -128,29 +147,33 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         .join(heads, (F.col("id") == F.col("to_id")) & (F.col("h") == F.col("to_h")))
         .select("id", "h", "doc_id", "n_chars", "rows", (F.col("rows") * F.col("next_rows")).alias("copies"), "text", edited.alias("edited"))
     )
-    texts = placed.select("id", "h", "copies", F.inline(F.array(F.struct(F.lit(0).alias("side"), F.col("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))))
+    none = [F.lit(None).cast("long").alias(name) for name in QUARTERS]
+    sides = [
+        F.struct(F.lit(0).alias("side"), F.col("text"), *none),
+        F.struct(F.lit(1).alias("side"), F.col("edited").alias("text"), *none),
+        # The edited text's hash goes along as a row of its own, which counts for neither side.
+        F.struct(F.lit(2).alias("side"), F.lit("").alias("text"), *quarters(F.col("edited"))),
+    ]
+    texts = placed.select("id", "h", "copies", F.inline(F.array(*sides)))
     # Rows that repeat a document bring its words so many times; the weight is that of one.
     counts = words(texts, ["id", "h", "copies", "side"], "text").groupBy("id", "h", "copies", "term")
-    counts = counts.agg(*[F.count_if(F.col("side") == n).alias(f"n{n}") for n in (0, 1)])
-    counts = counts.select("id", "h", "term", *[(F.col(f"n{n}") / F.col("copies")).alias(f"w{n}") for n in (0, 1)])
-    kept = samples(counts, ["id", "h"], "term", ["w0", "w1"])
+    counts = counts.agg(*[F.count_if(F.col("side") == n).alias(f"n{n}") for n in (0, 1)], *[F.min(name).alias(name) for name in QUARTERS])
+    counts = counts.select("id", "h", "term", *QUARTERS, *[(F.col(f"n{n}") / F.col("copies")).alias(f"w{n}") for n in (0, 1)])
+    kept = samples(counts, ["id", "h"], "term", ["w0", "w1"], QUARTERS)
     entry = lambda n: F.shiftleft(F.col("bin"), KEPT).bitwiseOR(F.col(f"sample_{n}").bitwiseAND(F.lit((1 << KEPT) - 1)).cast("int"))
-    prints = kept.groupBy("id", "h").agg(*[F.sort_array(F.collect_list(entry(n))).alias(name) for n, name in enumerate(("fingerprint", "edited_fingerprint"))])
+    prints = kept.groupBy("id", "h").agg(*[F.sort_array(F.collect_list(entry(n))).alias(name) for n, name in enumerate(("fingerprint", "edited_fingerprint"))], *[F.min(name).alias(name) for name in QUARTERS])
     # Bucketed as it lies, so that the two joins that follow don't shuffle it.
     prints = bucketed(prints, "prints", "id", "h")
 
-    none = F.array().cast("array<int>")
     after = order.select(F.col("id").alias("to_id"), F.col("h").alias("to_h"), F.col("next_id").alias("id"), F.col("next_h").alias("h"))
     next_prints = after.join(prints.select("id", "h", F.col("fingerprint").alias("next_fingerprint")), ["id", "h"]).drop("id", "h")
-    hashes = placed.groupBy("id", "h", "doc_id", "n_chars", "rows").agg(F.min(F.sha2("edited", 256)).alias("edited_sha256"))
     full = (
-        hashes.join(prints, ["id", "h"], "left")
-        .join(next_prints, (F.col("id") == F.col("to_id")) & (F.col("h") == F.col("to_h")), "left")
-        .withColumns({c: F.coalesce(c, none) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
+        order.select("id", "h", "doc_id", "n_chars", "rows").join(prints, ["id", "h"])
+        .join(next_prints, (F.col("id") == F.col("to_id")) & (F.col("h") == F.col("to_h")))
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     )
     return full.select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", whole_hash().alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
