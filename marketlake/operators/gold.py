@@ -50,6 +50,44 @@ def trade_bars(trades: DataFrame) -> DataFrame:
     )
 
 
+#: What a partial bar is made of, besides symbol and day.
+_TRADE = ("timestamp_utc", "trade_id", "price_cast", "quantity_cast")
+_SUMS = ("_volume", "_volume_rest", "_notional", "_notional_rest", "trade_count")
+
+
+def bar_partials(trades: DataFrame) -> DataFrame:
+    """One mergeable row per symbol and day: first and last trade, extremes, exact sums, count."""
+    price, quantity = F.col("price_cast"), F.col("quantity_cast")
+    volume, notional = exact_parts(quantity, QUANTITY), notional_parts(price, quantity)
+    return trades.groupBy("symbol", _trade_day()).agg(
+        F.min(F.struct(*_TRADE)).alias("_first"),
+        F.max(F.struct(*_TRADE)).alias("_last"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        *[F.sum(part).alias(name) for part, name in zip((*volume, *notional), _SUMS)],
+        F.count(F.lit(1)).alias("trade_count"),
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One partial per symbol and day out of any number."""
+    kinds = {f.name: f.dataType for f in partials.schema.fields}
+    return partials.groupBy(*DAY_KEY).agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("high").alias("high"), F.min("low").alias("low"),
+        *[F.sum(name).cast(kinds[name]).alias(name) for name in _SUMS],
+    )
+
+
+def merge_bars(partials: DataFrame) -> DataFrame:
+    """Partials → bars, as `trade_bars` gives them for all trades at once."""
+    volume = F.col("_volume").cast("double") + F.coalesce("_volume_rest", F.lit(0.0))
+    notional = F.col("_notional").cast("double") + F.coalesce("_notional_rest", F.lit(0.0))
+    return merge_partials(partials).select(
+        *DAY_KEY, F.col("_first.price_cast").alias("open"), "high", "low", F.col("_last.price_cast").alias("close"),
+        volume.alias("volume"), (notional / F.nullif(volume, F.lit(0.0))).alias("vwap"), "trade_count",
+    )
+
+
 def vwap(trades: DataFrame) -> DataFrame:
     """VWAP per symbol and day on its own; reads three columns."""
     volume = exact_sum(F.col("quantity_cast"), QUANTITY)
@@ -79,13 +117,14 @@ def ohlcv(trades: DataFrame, stats: DataFrame) -> DataFrame:
 
     Both sides are already aggregated to one row per symbol and day when they meet.
     """
+    return with_stats(trade_bars(trades), stats)
+
+
+def with_stats(bars: DataFrame, stats: DataFrame) -> DataFrame:
+    """Adds the exchange's snapshot and the deviation to bars."""
     computed, reported = F.col("vwap"), F.coalesce("stats_vwap", "vwap")
     deviation = F.abs(computed - reported) / F.nullif(computed, F.lit(0.0)) * 100
-    return (
-        trade_bars(trades)
-        .join(latest_stats(stats), DAY_KEY, "left")
-        .withColumn("vwap_deviation_pct", round_half_away(deviation, 4))
-    )
+    return bars.join(latest_stats(stats), DAY_KEY, "left").withColumn("vwap_deviation_pct", round_half_away(deviation, 4))
 
 
 def market_quality(quotes: DataFrame, trades: DataFrame) -> DataFrame:
@@ -109,18 +148,20 @@ def agent_registry(orders: DataFrame, agent_col: str = "agent_type_normalized",
     An agent that traded under several types gets its most frequent one (smallest name on a tie), so no
     trade is counted twice; `one_type=False` keeps every pair.
     """
-    pairs = (
-        orders.filter(F.col("agent_id").isNotNull() & (F.col(agent_col) != "unknown"))
-        .groupBy("agent_id", F.col(agent_col).alias("agent_type"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    if not one_type:
-        return pairs.drop("_n")
-    return (
-        pairs.groupBy("agent_id")
-        .agg(F.min(F.struct((-F.col("_n")).alias("rank"), "agent_type")).alias("top"))
-        .select("agent_id", F.col("top.agent_type").alias("agent_type"))
-    )
+    pairs = agent_types(orders, agent_col)
+    return top_types(pairs) if one_type else pairs.drop("_n")
+
+
+def agent_types(orders: DataFrame, agent_col: str = "agent_type_normalized", *keys: Column) -> DataFrame:
+    """Orders per agent and known type (and further keys), as `_n`."""
+    known = orders.filter(F.col("agent_id").isNotNull() & (F.col(agent_col) != "unknown"))
+    return known.groupBy("agent_id", F.col(agent_col).alias("agent_type"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def top_types(pairs: DataFrame) -> DataFrame:
+    """Each agent's most frequent type, the smallest name on a tie."""
+    best = F.min(F.struct((-F.col("_n")).alias("rank"), "agent_type")).alias("top")
+    return pairs.groupBy("agent_id").agg(best).select("agent_id", F.col("top.agent_type").alias("agent_type"))
 
 
 def trade_sides(trades: DataFrame) -> DataFrame:
@@ -136,16 +177,16 @@ def trade_sides(trades: DataFrame) -> DataFrame:
     )
 
 
-def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
-    """P&L, volume and trade count per agent type, symbol and day.
+#: Sums that an agent's or a type's trades of a symbol and day come to; money stays decimal until the last sum.
+FLOWS = ("_cash", "_cash_rest", "_volume", "_volume_rest", "trade_count")
 
-    Sides are summed per agent, symbol and day before they meet the registry, so an agent behind a third
-    of all trades joins with a few rows. Money stays decimal until the last sum.
-    """
+
+def agent_flows(trades: DataFrame) -> DataFrame:
+    """Cash, volume and trade count per agent, symbol and day, as sums that can be added up further."""
     signed = F.when(F.col("side") == "sell", F.col("volume")).otherwise(-F.col("volume"))
     cash, cash_rest = notional_parts(F.col("price_cast"), signed)
     volume, volume_rest = exact_parts(F.col("volume"), QUANTITY)
-    per_agent = (
+    return (
         trade_sides(trades)
         .groupBy("agent_id", *DAY_KEY)
         .agg(
@@ -156,22 +197,25 @@ def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trade_count"),
         )
     )
-    return (
-        per_agent.join(registry, "agent_id", "left")
-        .groupBy(F.coalesce("agent_type", F.lit("unknown")).alias("agent_type"), *DAY_KEY)
-        .agg(
-            total(F.col("_cash"), F.col("_cash_rest")).alias("realized_pnl"),
-            total(F.col("_volume"), F.col("_volume_rest")).alias("total_volume"),
-            F.sum("trade_count").alias("trade_count"),
-        )
+
+
+def type_flows(flows: DataFrame, registry: DataFrame) -> DataFrame:
+    """The agents' flows with the type of each; agents that the registry doesn't know are of type unknown."""
+    agent_type = F.coalesce("agent_type", F.lit("unknown")).alias("agent_type")
+    return flows.join(registry, "agent_id", "left").select(agent_type, *DAY_KEY, *FLOWS)
+
+
+def pnl_by_symbol(flows: DataFrame) -> DataFrame:
+    """P&L, volume and trade count per agent type, symbol and day, from flows of any number of agents or batches."""
+    return flows.groupBy("agent_type", *DAY_KEY).agg(
+        total(F.col("_cash"), F.col("_cash_rest")).alias("realized_pnl"),
+        total(F.col("_volume"), F.col("_volume_rest")).alias("total_volume"),
+        F.sum("trade_count").alias("trade_count"),
     )
 
 
-def agent_pnl(
-    trades: DataFrame, orders: DataFrame, agent_col: str = "agent_type_normalized", one_type: bool = True
-) -> DataFrame:
-    """Daily net P&L, volume and trade count per agent type, with the average over symbols."""
-    by_symbol = agent_pnl_by_symbol(trades, agent_registry(orders, agent_col, one_type))
+def daily_pnl(by_symbol: DataFrame) -> DataFrame:
+    """Net P&L, volume and trade count per agent type and day, with the average over symbols."""
     pnl = exact_sum(F.col("realized_pnl"), TOTAL)
     return by_symbol.groupBy("agent_type", "trade_date").agg(
         pnl.alias("realized_pnl"),
@@ -180,3 +224,19 @@ def agent_pnl(
         round_half_away(pnl / F.count("realized_pnl"), 4).alias("avg_pnl_per_symbol"),
         F.count("symbol").alias("symbols_traded"),
     )
+
+
+def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
+    """P&L, volume and trade count per agent type, symbol and day.
+
+    Sides are summed per agent, symbol and day before they meet the registry, so an agent behind a third
+    of all trades joins with a few rows.
+    """
+    return pnl_by_symbol(type_flows(agent_flows(trades), registry))
+
+
+def agent_pnl(
+    trades: DataFrame, orders: DataFrame, agent_col: str = "agent_type_normalized", one_type: bool = True
+) -> DataFrame:
+    """Daily net P&L, volume and trade count per agent type, with the average over symbols."""
+    return daily_pnl(agent_pnl_by_symbol(trades, agent_registry(orders, agent_col, one_type)))

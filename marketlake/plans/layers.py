@@ -11,18 +11,21 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.casts import to_utc
 from marketlake.operators import bronze, gold, halts, promote, reference, router, staging
+from marketlake.plans.pnl import PnlView
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
-from marketlake.sources.lake import BATCH, EVENT_DATE, PART, Lake, on_dates
+from marketlake.sources.lake import BATCH, EVENT_DATE, PART, Lake
 from marketlake.sources.order_index import OrderIndex, Version
 
 LAYERS = ("bronze", "staging", "invalid", "reference", "silver", "gold")
 STAGED = ("trades", "orders", "quotes")
+GOLD = ("ohlcv", "market_quality", "agent_pnl", "circuit_breaker")
 RUN_LOG = "layer string, table_name string, n_rows bigint, started_at timestamp, ended_at timestamp"
 
 Dates = list[str | None] | None
@@ -56,24 +59,18 @@ class LayerRun:
     # -- bookkeeping ---------------------------------------------------------------------------
 
     def store(self, df: DataFrame, layer: str, table: str, partition: str | None = EVENT_DATE, dates: Dates = None) -> None:
-        started = datetime.now(timezone.utc)
         if dates is None:
-            self.lake.replace(df, layer, table, partition)
+            self._logged(df, layer, table, lambda seen: self.lake.replace(seen, layer, table, partition))
         else:
-            self.lake.write(df, layer, table, partition, dates)
-        self._logged(layer, table, started, partition, dates)
-
-    def _logged(self, layer: str, table: str, started: datetime, partition: str | None, dates: Dates) -> None:
-        if not self.lake.exists(layer, table):
-            return
-        # Only the partition column is asked for: pruning and file footers answer the count.
-        keys = {BATCH: f"{BATCH} int", None: "_none int"}
-        written = self.lake.spark.read.schema(keys.get(partition, f"{PART} date")).parquet(self.lake.path(layer, table))
-        if dates is not None:
-            written = written.filter(on_dates(dates, PART))
-        if partition == BATCH:
-            written = written.filter(F.col(BATCH) == self.batch)
-        self.log.append((layer, table, written.count(), started, datetime.now(timezone.utc)))
+            self._logged(df, layer, table, lambda seen: self.lake.write(seen, layer, table, partition, dates))
+
+    def _logged(self, df: DataFrame, layer: str, table: str, write: Callable[[DataFrame], object]) -> None:
+        """Writes a frame; its rows are counted on their way by the write itself."""
+        started, seen = datetime.now(timezone.utc), Observation()
+        write(df.observe(seen, F.count(F.lit(1)).alias("n_rows")))
+        n_rows = _rows_seen(seen)
+        if n_rows or self.lake.exists(layer, table):
+            self.log.append((layer, table, n_rows, started, datetime.now(timezone.utc)))
 
     def finish(self) -> None:
         """Store the log and drop the lookups of this run."""
@@ -92,7 +89,7 @@ class LayerRun:
 
     # -- layers --------------------------------------------------------------------------------
 
-    def ingest(self, feed: DataFrame, replace: bool = False) -> None:
+    def ingest(self, feed: DataFrame, replace: bool = False, tables: Iterable[str] = tuple(TABLE_EVENTS)) -> None:
         """Route the feed once, keep every routed line, and decode each topic into its bronze table.
 
         The landing table holds the one copy of the raw text. A batch id is used once; `replace` takes its rows out first.
@@ -110,11 +107,10 @@ class LayerRun:
         landed = self.lake.batch_rows("landing", "messages", batch, routed.schema)
 
         def add(table: str) -> None:
-            started = datetime.now(timezone.utc)
-            self.lake.append_batch(bronze.from_topics(landed, table), "bronze", table, batch)
-            self._logged("bronze", table, started, BATCH, None)
+            rows = bronze.from_topics(landed, table)
+            self._logged(rows, "bronze", table, lambda seen: self.lake.append_batch(seen, "bronze", table, batch))
 
-        together(*[partial(add, table) for table in TABLE_EVENTS])
+        together(*[partial(add, table) for table in tables])
 
     def touched(self, table: str) -> Dates:
         """Partitions (by their first date) the batch added rows to; a list no longer than the calendar."""
@@ -170,15 +166,7 @@ class LayerRun:
         spark = self.lake.spark
         together(symbols, *[partial(self.store, make(spark), "reference", name, None) for name, make in maps.items()])
 
-    def agents_before(self, order_days: Dates) -> DataFrame | None:
-        """The agents on the stored silver orders of dates about to be rewritten, kept in a work folder."""
-        if order_days is None or not self.lake.exists("silver", "orders"):
-            return None
-        return self.lake.settle("agents_before", self.work)(self.table("silver", "orders", order_days).select("agent_id").distinct())
-
-    def aggregate(self, dates: dict[str, Dates], agents_before: DataFrame | None = None) -> None:
-        orders = self.table("silver", "orders")
-
+    def aggregate(self, dates: dict[str, Dates], view: PnlView, tables: Iterable[str] = GOLD) -> None:
         def stats(days: Dates) -> DataFrame:
             return self.lake.read("bronze", "market_stats", bronze_schema("market_stats"), days)
 
@@ -192,25 +180,26 @@ class LayerRun:
             self.store(scores, "gold", "market_quality", "trade_date", days)
 
         def pnl() -> None:
-            days = _union(dates["trades"], self._days_of_agents(orders, dates["orders"], agents_before))
-            self.store(gold.agent_pnl(self.table("silver", "trades", days), orders), "gold", "agent_pnl", "trade_date", days)
+            trade_days, order_days = (dates["trades"], dates["orders"]) if view.fresh else (None, None)
+            trades, orders = self.table("silver", "trades", trade_days), self.table("silver", "orders", order_days)
+            days = view.update(trades, orders, trade_days, order_days, self.work)
+            if days is None or days:
+                self.store(view.daily(days), "gold", "agent_pnl", "trade_date", days)
 
         def breaker() -> None:
             # Pairing counts from a symbol's first halt on; halts are rare, so they are paired afresh.
             events = self.lake.read("bronze", "trading_halts", bronze_schema("trading_halts"))
             self.store(halts.circuit_breaker(events), "gold", "circuit_breaker", "halt_date")
 
-        together(ohlcv, quality, pnl, breaker)
+        steps = {"ohlcv": ohlcv, "market_quality": quality, "agent_pnl": pnl, "circuit_breaker": breaker}
+        together(*[steps[table] for table in tables])
+
 
-    def _days_of_agents(self, orders: DataFrame, order_days: Dates, before: DataFrame | None) -> Dates:
-        """Partitions of trades whose P&L may move because the recomputed orders, old or new, speak of an agent."""
-        if order_days is None:
-            return None
-        agents = self.table("silver", "orders", order_days).select("agent_id")
-        agents = (agents if before is None else agents.union(before)).distinct()
-        part = self.lake.part(F.col(EVENT_DATE)).alias(PART)
-        sides = self.table("silver", "trades").select(part, F.explode(F.array("buyer_agent_id", "seller_agent_id")).alias("agent_id"))
-        return _dates(sides.distinct().join(agents, "agent_id", "left_semi").select(PART))
+def _rows_seen(seen: Observation) -> int:
+    try:
+        return seen.get["n_rows"]
+    except Py4JJavaError:  # where the optimizer finds a frame empty, nothing is left of it that could report a number
+        return 0
 
 
 def _dates(column: DataFrame) -> list[str | None]:
@@ -228,8 +217,10 @@ def run_layers(
     batch: int | None = None,
     dates: str | None = None,
     replace: bool = False,
+    tables: Iterable[str] = tuple(TABLE_EVENTS),
+    gold_tables: Iterable[str] = GOLD,
 ) -> None:
-    """Run the chosen layers in dependency order.
+    """Run the chosen layers in dependency order, for the chosen event tables and gold tables.
 
     `feed` holds raw envelope lines (`value`) for bronze; it needs a `batch` id that isn't stored yet, or `replace`, which takes
     the stored batch out first. `dates="batch"` limits the later layers to what that batch touched; by default they are
@@ -246,21 +237,22 @@ def run_layers(
         raise ValueError("dates='batch' goes with a new batch")
     run = LayerRun(lake, batch)
     if "bronze" in chosen and feed is not None:
-        run.ingest(feed, replace)
+        run.ingest(feed, replace, tables)
     scope: dict[str, Dates] = dict.fromkeys(("trades", "orders", "quotes", "market_stats"))
     if dates == "batch":
         scope = {t: run.touched_orders() if t == "orders" else run.touched(t) for t in scope}
+    staged = [t for t in STAGED if t in tables]
     if "staging" in chosen:
-        run.stage(scope)
+        run.stage(scope, staged)
     if "invalid" in chosen:
-        run.reject(scope)
+        run.reject(scope, staged)
     if "reference" in chosen:
         run.refer()
-    agents = run.agents_before(scope["orders"]) if "silver" in chosen else None
+    view = PnlView(lake)
     if "silver" in chosen:
-        run.promote(scope)
+        run.promote(scope, staged)
     if "gold" in chosen:
-        run.aggregate(scope, agents)
+        run.aggregate(scope, view, gold_tables)
     run.finish()
 
 

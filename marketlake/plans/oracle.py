@@ -185,6 +185,12 @@ GROUP BY agent_id, agent_type_normalized QUALIFY row_number() OVER (PARTITION BY
 
 PARTS["g_agents"] = _agents("orders_ok")
 
+# Orders of which the later ones of some agents come as another type's.
+PARTS["w_turned"] = """
+SELECT * REPLACE (CASE WHEN timestamp >= '1996' AND regexp_matches(agent_id, '[0369]$') THEN 'MarketMaker' ELSE agent_type END AS agent_type) FROM w_orders"""
+PARTS["s_turned"] = _stage_orders("w_turned")
+PARTS["turned_ok"] = "SELECT * FROM s_turned WHERE _validation_status = 'valid' AND NOT _is_duplicate AND event_type <> 'OrderCancelled'"
+
 
 def _sides(trades: str) -> str:
     return f"""
@@ -553,6 +559,8 @@ _BODIES: dict[str, str] = {
         WHERE timestamp >= '2024-01-10' AND symbol <> 'SYM3'""",
     "lake_run_layers": LAYER_COUNTS,
     "lake_run_layers_incremental": INCREMENTS,
+    "ohlcv_from_partials": "SELECT * FROM g_ohlcv ORDER BY trade_date, symbol",
+    "agent_pnl_incremental": _pnl(_agents("turned_ok")),
     "stream_ingest_bronze": BRONZE_STREAM,
     "stream_dedup": """SELECT DISTINCT trade_id, symbol, timestamp, price, quantity FROM w_trades
         WHERE TRY_CAST(price AS DOUBLE) > 0 AND TRY_CAST(quantity AS DOUBLE) > 0""",

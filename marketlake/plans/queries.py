@@ -30,6 +30,7 @@ from marketlake.operators import (
     suites,
 )
 from marketlake.plans import layers, reports
+from marketlake.plans.bars import BarState
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
 from marketlake.session import configure, shared_folder
 from marketlake.sources import driver_tables as source
@@ -540,21 +541,20 @@ def _suite_results(spark, d):
     """All suites over silver and gold tables that are stored once; gold is made of the stored silver."""
     lake = scratch_lake(spark, "suites")
 
-    def keep(df, layer, name):
-        lake.replace(df, layer, name, partition=None)
-        return lake.read(layer, name, df.schema)
+    def keep(layer, **frames):
+        """Stores frames that don't depend on each other side by side."""
+        layers.together(*[functools.partial(lake.replace, df, layer, name, None) for name, df in frames.items()])
+        return [lake.read(layer, name, df.schema) for name, df in frames.items()]
 
-    trades, orders, quotes = (
-        keep(make(spark, d), "silver", name) for make, name in ((good_trades, "trades"), (good_orders, "orders"), (good_quotes, "quotes"))
-    )
+    trades, orders, quotes = keep("silver", trades=good_trades(spark, d), orders=good_orders(spark, d), quotes=good_quotes(spark, d))
     own = promote.silver(staging.trades(source.event_trades(spark, d)))
+    ohlcv, market_quality, agent_pnl = keep(
+        "gold", ohlcv=gold.ohlcv(trades, source.market_stats(spark, d)), market_quality=gold.market_quality(quotes, own),
+        agent_pnl=gold.agent_pnl(trades, orders),
+    )
     tables = {
-        "silver_trades": trades,
-        "silver_quotes": quotes,
-        "silver_orders": orders,
-        "gold_ohlcv": keep(gold.ohlcv(trades, source.market_stats(spark, d)), "gold", "ohlcv"),
-        "gold_market_quality": keep(gold.market_quality(quotes, own), "gold", "market_quality"),
-        "gold_agent_pnl": keep(gold.agent_pnl(trades, orders), "gold", "agent_pnl"),
+        "silver_trades": trades, "silver_quotes": quotes, "silver_orders": orders,
+        "gold_ohlcv": ohlcv, "gold_market_quality": market_quality, "gold_agent_pnl": agent_pnl,
     }
     return suites.all_results(tables, as_of())
 
@@ -733,6 +733,41 @@ def lake_run_layers_incremental(spark, d):
     return orders.unionByName(ohlcv).unionByName(pnl_rows)
 
 
+def _turned_orders(spark, d):
+    """Orders from 1996 on by every third customer come as another type's, so that agents change their type in the course of the feed."""
+    orders = source.orders(spark, d)
+    turned = (F.col("timestamp") >= "1996") & F.col("agent_id").rlike("[0369]$")
+    return orders.withColumn("agent_type", F.when(turned, F.lit("MarketMaker")).otherwise(F.col("agent_type")))
+
+
+@query
+def agent_pnl_incremental(spark, d):
+    """Trades and orders in three batches of which the later ones change types, orders' first placements and stored days."""
+    lake = scratch_lake(spark, "pnl", HISTORY)
+    feed = source.envelopes(source.trades(spark, d)).unionByName(source.envelopes(_turned_orders(spark, d)))
+    sent = F.get_json_object("value", "$.data.timestamp")
+    late = F.pmod(F.crc32("value"), F.lit(20)) == 3
+    number = F.when(late, 2).when(sent >= "1996", 1).otherwise(0)
+    for batch in range(3):
+        chosen = ("bronze", "staging", "silver", "gold")
+        layers.run_layers(lake, chosen, feed.filter(number == batch), batch, dates="batch", tables=("trades", "orders"), gold_tables=("agent_pnl",))
+    return lake.read("gold", "agent_pnl")
+
+
+@query
+def ohlcv_from_partials(spark, d):
+    """Bars merged from the partials of four batches with trades of all days each, the first two of them folded."""
+    lake = scratch_lake(spark, "partials", HISTORY)
+    trades = good_trades(spark, d).select("event_id", "symbol", "timestamp_utc", "trade_id", "price_cast", "quantity_cast")
+    trades = settle(spark, "trades")(trades)
+    state = BarState(lake)
+    for batch in range(4):
+        state.add(trades.where(F.pmod(F.crc32("event_id"), F.lit(4)) == batch), batch)
+        if batch == 1:
+            state.fold()
+    return gold.with_stats(state.bars(), source.market_stats(spark, d)).orderBy("trade_date", "symbol")
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -776,9 +811,8 @@ def stream_ohlcv(spark, d):
     lake = scratch_lake(spark, "bars", HISTORY)
     unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, DELAY)
     trade_stream.publish_unique(unique, lake, lake.path("_checkpoints", "dedup"))
-    daily = trade_stream.daily_bars(trade_stream.stream_unique(lake), DELAY)
-    trade_stream.publish_bars(daily, lake, lake.path("_checkpoints", "bars"))
-    return trade_stream.current_bars(lake)
+    trade_stream.publish_partials(trade_stream.stream_unique(lake), lake, lake.path("_checkpoints", "bars"))
+    return BarState(lake).bars()
 
 
 def _staged_stream(spark, d, tables):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -30,6 +31,10 @@ def on_dates(dates: Iterable[str | None], column: str | Column = EVENT_DATE) ->
     return hit | column.isNull() if None in dates else hit
 
 
+def files_digest(files: Iterable[str]) -> str:
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:24]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables under `base`. `unit` is the span of a partition: "day", or "month" for long histories with few rows a day,
@@ -145,6 +150,17 @@ class Lake:
             found.setdefault(unquote(folder.rpartition(f"{partition}=")[2].partition("/")[0]), set()).add(name)
         return {value: frozenset(names) for value, names in found.items()}
 
+    def stored_files(self, layer: str, table: str) -> list[str]:
+        """The table's files, from the listing that a read makes."""
+        if not self.exists(layer, table):
+            return []
+        listed = self.spark.read.schema("_none int").parquet(self.path(layer, table)).inputFiles()
+        return [unquote(f).rpartition(f"/{layer}/{table}/")[2] for f in listed]
+
+    def digest(self, layer: str, table: str) -> str:
+        """A name for what the table holds now: it changes with every write."""
+        return files_digest(self.stored_files(layer, table))
+
     def append_batch(self, df: DataFrame, layer: str, table: str, batch: int, partition: str | None = EVENT_DATE) -> str:
         """Add one batch under its own `_batch` partition; writing the same batch twice keeps one copy."""
         path = self.path(layer, table)
