@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import ship
+from marketlake.llm.common import ship, stored
 
 WINDOW = 256
 EMBEDDING = 8
@@ -38,6 +38,8 @@ AT_ONCE = 64
 UNKNOWN = "und"
 #: Below this score the pipeline rejects a document: no language stands out.
 LEAST_SCORE = 0.3
+#: Up to so many different labels their counts are broadcast; more than that is no list of languages, and the texts are shuffled.
+FEW_LANGUAGES = 10_000
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 
@@ -166,7 +168,9 @@ def labelled_sample(docs: DataFrame, seed: int = SEED) -> DataFrame:
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") > 0)
     ).select("lang", "text", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)).alias("turn"), "doc_id")
-    labels = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    labels = stored(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    if labels.count() <= FEW_LANGUAGES:
+        labels = F.broadcast(labels)
     thinned = usable.join(labels, "lang").where(F.col("turn") / F.lit(float(1 << 30)) * F.col("n") < 4 * PER_LANGUAGE)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id", "text"))
     return thinned.withColumn("nth", first).where(F.col("nth") <= PER_LANGUAGE).select("lang", "text", "turn")
