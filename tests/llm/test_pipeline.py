@@ -5,7 +5,8 @@ import corpus_pipeline
 from marketlake.llm import langid, packing
 from marketlake.llm.common import stored, table
 from tests.conftest import SF_DIR
-from tests.llm.test_documents import check_packing, plain_dedup, plain_fingerprint, plain_groups
+from tests.llm.test_documents import check_packing, plain_dedup
+from tests.llm.test_neardup import plain_near_groups
 
 
 def test_stages_by_brute_force(spark):
@@ -22,7 +23,9 @@ def test_stages_by_brute_force(spark):
     assert sorted(r["doc_id"] for r in outputs[0]) == sorted(kept) and len(kept) > 190
     stays = [d for d, *_, k in plain_dedup(list(kept.items())) if k]
     assert sorted(r["doc_id"] for r in outputs[1]) == sorted(stays)
-    groups = plain_groups({d: plain_fingerprint(kept[d]) for d in stays})
+    # Near copies: the smallest doc_id of a group stays; documents without a near one all stay.
+    groups = plain_near_groups({d: kept[d] for d in stays})
+    assert len(set(groups.values())) < len(stays)
     stays = [d for d in stays if groups[d] == d]
     assert sorted(r["doc_id"] for r in outputs[2]) == sorted(stays)
     assert {r["doc_id"] for r in outputs[3]} <= set(stays)

@@ -168,7 +168,26 @@ def test_fuzzy_passages_are_found(words, changed):
         (at, own), (other_at, theirs) = passages.seeds(x.astype(np.uint64)), passages.seeds(y.astype(np.uint64))
         first = {s: p for p, s in reversed(list(zip(other_at.tolist(), theirs.tolist())))}
         matches = [(p, first[s]) for p, s in zip(at.tolist(), own.tolist()) if s in first]
-        spans = passages.stretches([a for a, _ in matches], [b for _, b in matches])
+        spans = passages.dense([a for a, _ in matches], [b for _, b in matches])
         made = [p for a, b in spans if not passages._hopeless(x, y, a, b) for p in passages.align(x, y, a, b)]
         found += any(p[0] < 80 + words and p[1] > 80 for p in made)
     assert found >= 95
+
+
+def test_fuzzy_passages_are_found_by_the_query(spark):
+    """Passages of 60 to 120 words with 5 to 15 % of the words changed, each planted in two documents; some of their phrases occur elsewhere before."""
+    random = np.random.default_rng(12)
+    docs, planted = [], []
+    for n in range(120):
+        words, changed = (60, 80, 100, 120)[n % 4], (0.05, 0.1, 0.15)[n % 3]
+        passage = sentence(random, words).split()
+        kept = random.random(words) >= changed
+        other = [w if k else sentence(random, 1) for w, k in zip(passage, kept)]
+        # A first document has two short phrases of the passage, which take their seeds.
+        docs.append((10 * n, f"{sentence(random, 40)} {' '.join(passage[10:17])} {sentence(random, 40)} {' '.join(passage[30:36])}"))
+        docs.append((10 * n + 1, f"{sentence(random, 60)} {' '.join(passage)} {sentence(random, 60)}"))
+        docs.append((10 * n + 2, f"{sentence(random, 90)} {' '.join(other)} {sentence(random, 30)}"))
+        if kept.mean() >= passages.LEAST_EQUAL:
+            planted.append((10 * n + 2, 10 * n + 1))
+    got = {(r["doc_id"], r["other_id"]) for r in passages.passages(spark.createDataFrame(docs, SCHEMA).coalesce(1)).collect()}
+    assert len(planted) > 100 and len(got & set(planted)) >= 0.9 * len(planted) and not got - {(10 * n + 2, 10 * n + 1) for n in range(120)}
