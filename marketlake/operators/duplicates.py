@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,12 @@ def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
+def first_rows(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """(keys, _first): each key's first row in `order_by`. Every map task passes on one row per key, however many a key has."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
+    return rows.withColumn("_nth", nth).where("_nth = 1").select(*keys, F.struct(*order_by).alias("_first"))
+
+
 def label_duplicates(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,21 +34,17 @@ def label_duplicates(
 ) -> DataFrame:
     """Flag every row of a key except the first in `order_by`. NULL keys equal each other.
 
-    `order_by` has to tell any two rows of a key apart. The first row per key is found by an aggregate
-    (combined map-side, so a key with a third of all rows costs one row per map task) and only repeated
-    keys are joined back: usually a broadcast, else a sort-merge join that AQE splits on a hot key.
-    `history` supplies the rows to look for firsts in when `df` is only a part of the table.
+    `order_by` has to tell any two rows of a key apart. Keys are counted by a 64-bit hash first, which a hash aggregate does on
+    numbers alone; only rows whose hash repeats are looked through for firsts, and only those firsts are joined back.
+    `history` supplies the rows to look for firsts in when `df` is only a part of the table. With `settle`, the
+    repeated hashes and the firsts are stored on the way, so that their sizes are known before a join is
+    picked: where they are few, the table is never shuffled. Without it nothing runs until the result is asked for.
     """
     names = [f"_k{i}" for i in range(len(keys))]
-    rows = df if history is None else history
-    repeated = (
-        rows.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.min(F.struct(*order_by)).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .drop("_n")
-    )
-    if settle is not None:
-        repeated = settle(repeated)
-    hit = same_key([F.col(k) for k in keys], [F.col(n) for n in names])
+    settle = settle or (lambda small: small)
+    rows = (df if history is None else history).select(F.xxhash64(*keys).alias("_h"), *[F.col(k).alias(n) for k, n in zip(keys, names)], *order_by)
+    repeated = settle(rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"))
+    firsts = settle(first_rows(rows.join(repeated, "_h", "left_semi"), ["_h", *names], order_by).withColumnRenamed("_h", "_fh"))
+    hit = (F.xxhash64(*keys) == F.col("_fh")) & same_key([F.col(k) for k in keys], [F.col(n) for n in names])
     later = F.col("_first").isNotNull() & (F.struct(*order_by) > F.col("_first"))
-    return df.join(repeated, hit, "left").withColumn(flag, later).drop("_first", *names)
+    return df.join(firsts, hit, "left").withColumn(flag, later).drop("_first", "_fh", *names)

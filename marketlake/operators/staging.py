@@ -16,7 +16,7 @@ from marketlake.functions.labels import (
     spread_bps,
     validation_status,
 )
-from marketlake.operators.duplicates import Settle, label_duplicates
+from marketlake.operators.duplicates import Settle, first_rows, label_duplicates
 from marketlake.schemas import AGENT_TYPES, ORDER_TYPES
 
 TRADE_KEY = ("trade_id", "symbol", "timestamp")
@@ -90,24 +90,25 @@ def is_cancel(df: DataFrame) -> Column:
     return F.col("event_type").eqNullSafe("OrderCancelled") if "event_type" in df.columns else F.lit(False)
 
 
-def order_facts(orders: DataFrame) -> DataFrame:
+def order_facts(orders: DataFrame, settle: Settle | None = None) -> DataFrame:
     """What the rest of the feed says about an order id: its first placement and whether it was cancelled.
 
-    One combined aggregate serves both the duplicate flag and the fill status. Ids placed once and
-    never cancelled carry no news and are left out.
+    One hash aggregate serves both the duplicate flag and the fill status. Ids placed once and never cancelled carry no
+    news and are left out; first placements are looked for among the rows of ids placed more than once.
     """
+    settle = settle or (lambda small: small)
     df = _ensure(orders, "order_id", "timestamp").withColumn("timestamp_utc", to_utc(orders))
     placed = is_placed(df)
-    return (
+    known = settle(
         df.groupBy(F.col("order_id").alias("_order_id"))
-        .agg(
-            F.min(F.when(placed, F.struct(*order_columns(df)))).alias("_first"),
-            F.count_if(placed).alias("_n_placed"),
-            F.max(is_cancel(df) & F.col("order_id").isNotNull()).alias("_cancelled"),
-        )
+        .agg(F.count_if(placed).alias("_n_placed"), F.max(is_cancel(df) & F.col("order_id").isNotNull()).alias("_cancelled"))
         .filter("_n_placed > 1 OR _cancelled")
-        .drop("_n_placed")
     )
+    again = known.where("_n_placed > 1").select(F.col("_order_id").alias("_again"))
+    rows = df.where(placed).join(again, F.col("order_id").eqNullSafe(F.col("_again")), "left_semi")
+    firsts = first_rows(rows.select(F.col("order_id").alias("_placed_id"), *order_columns(df)), ["_placed_id"], order_columns(df))
+    found = known.join(firsts, F.col("_order_id").eqNullSafe(F.col("_placed_id")) & (F.col("_n_placed") > 1), "left")
+    return settle(found.select("_order_id", "_first", "_cancelled"))
 
 
 def orders(bronze: DataFrame, settle: Settle | None = None, facts: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -126,8 +127,7 @@ def orders(bronze: DataFrame, settle: Settle | None = None, facts: Callable[[Dat
         "agent_type_normalized": code_lookup(col_or(bronze, "agent_type").cast("string"), AGENT_TYPES),
     })
     if facts is None:
-        known = order_facts(bronze) if settle is None else settle(order_facts(bronze))
-        df = df.join(known, F.col("order_id").eqNullSafe(F.col("_order_id")), "left").drop("_order_id")
+        df = df.join(order_facts(bronze, settle), F.col("order_id").eqNullSafe(F.col("_order_id")), "left").drop("_order_id")
     else:
         df = facts(df)
     placed, cancel = is_placed(df), is_cancel(df)

@@ -559,6 +559,7 @@ _BODIES: dict[str, str] = {
         WHERE timestamp >= '2024-01-10' AND symbol <> 'SYM3'""",
     "lake_run_layers": LAYER_COUNTS,
     "lake_run_layers_incremental": INCREMENTS,
+    "stream_symbols_traded": "SELECT agent_type, trade_date, symbols_traded, true AS sketch_agrees FROM g_pnl",
     "ohlcv_from_partials": "SELECT * FROM g_ohlcv ORDER BY trade_date, symbol",
     "agent_pnl_incremental": _pnl(_agents("turned_ok")),
     "stream_ingest_bronze": BRONZE_STREAM,

@@ -40,6 +40,7 @@ from marketlake.streaming import halts as halt_stream
 from marketlake.streaming import ingest as ingest_stream
 from marketlake.streaming import orders as order_stream
 from marketlake.streaming import staged as staged_stream
+from marketlake.streaming import symbols as symbol_stream
 from marketlake.streaming import trades as trade_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,11 +89,11 @@ def settle(spark: SparkSession, name: str):
 
 
 def staged_trades(spark, d):
-    return staging.trades(source.trades(spark, d), settle(spark, "trade_firsts"))
+    return staging.trades(source.trades(spark, d))
 
 
 def staged_orders(spark, d):
-    return staging.orders(source.orders(spark, d), settle=settle(spark, "order_facts"))
+    return staging.orders(source.orders(spark, d))
 
 
 def staged_quotes(spark, d):
@@ -815,6 +816,19 @@ def stream_ohlcv(spark, d):
     return BarState(lake).bars()
 
 
+@query
+def stream_symbols_traded(spark, d):
+    """Distinct symbols per agent type and day out of a stream of unique trades, exact, and whether the sketches agree within their error."""
+    lake = scratch_lake(spark, "symbols", HISTORY)
+    unique = trade_stream.drop_duplicates(_trade_stream(spark, d, lake), staging.TRADE_KEY, DELAY)
+    trade_stream.publish_unique(unique, lake, lake.path("_checkpoints", "dedup"))
+    registry = settle(spark, "registry")(gold.agent_registry(good_orders(spark, d)))
+    symbol_stream.keep_symbols_traded(trade_stream.stream_unique(lake), registry, lake, lake.path("_checkpoints", "symbols"))
+    found = symbol_stream.symbols_traded(lake)
+    close = F.abs(F.col("estimate") - F.col("symbols_traded")) <= F.col("symbols_traded") * symbol_stream.ERROR
+    return found.select("agent_type", "trade_date", "symbols_traded", close.alias("sketch_agrees"))
+
+
 def _staged_stream(spark, d, tables):
     lake = scratch_lake(spark, "staged", HISTORY)
     feed = _feed_files(spark, source.raw_feed(spark, d, tables, False), lake)

@@ -196,12 +196,12 @@ class Lake:
                 self.delete(unquote(folder))
 
     def settle(self, name: str, used: list[str] | None = None):
-        """A function that stores a frame under a work folder of its own and reads it back with its true size; `used` gets the folder."""
-        path = f"{self.path('_work', name)}-{uuid.uuid4().hex[:12]}"
-        if used is not None:
-            used.append(path)
+        """A function that stores a frame under a new work folder and reads it back with its true size; `used` gets the folders."""
 
         def write_and_read(df: DataFrame) -> DataFrame:
+            path = f"{self.path('_work', name)}-{uuid.uuid4().hex[:12]}"
+            if used is not None:
+                used.append(path)
             df.write.parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
 

@@ -10,6 +10,7 @@ from marketlake.sources import order_index
 from marketlake.sources.lake import BATCH, Lake
 from marketlake.sources.order_index import OrderIndex, order_key
 from marketlake.streaming import orders as order_stream
+from marketlake.streaming import symbols
 from pyspark.sql import functions as F
 from tests.conftest import SF_DIR
 from tests.test_lake_layers import lines_of, order_line, placed_line, stream_of, trade_line
@@ -227,3 +228,25 @@ def test_the_run_log_counts_what_was_written(spark, lake):
     counts = {(r.layer, r.table_name): r.n_rows for r in layers.run_log(lake).collect()}
     assert counts["bronze", "trades"] == 3 and counts["staging", "trades"] == 3 and counts["silver", "trades"] == 1 and counts["invalid", "trades"] == 2
     assert ("silver", "quotes") not in counts
+
+
+# --- distinct symbols ---------------------------------------------------------------------------
+
+
+def test_symbols_of_a_stream_are_counted_once_and_sketched(spark, lake):
+    """Symbols that come again in later batches count once; with thousands of them the sketch stays within its error."""
+    def trade(n, day, symbol):
+        return (f"t{n}", symbol, f"2024-01-0{day} 10:00:00", 5.0, 1.0, "ann", "bob")
+
+    rows = [[trade(n, 1, f"S{n % 3000}") for n in range(3500)], [trade(n, 1, f"S{n}") for n in range(2500, 4000)] + [trade(9, 2, "S1")]]
+    schema = "trade_id string, symbol string, ts string, price_cast double, quantity_cast double, buyer_agent_id string, seller_agent_id string"
+    for n, batch in enumerate(rows):
+        df = spark.createDataFrame(batch, schema)
+        df.withColumn("timestamp_utc", F.col("ts").cast("timestamp")).coalesce(1).write.parquet(lake.path("feed", f"s/part{n}"))
+    folder = lake.path("feed", "s") + "/*"
+    stream = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    registry = spark.createDataFrame([("ann", "retail")], "agent_id string, agent_type string")
+    symbols.keep_symbols_traded(stream, registry, lake, lake.path("_c", "s"))
+    got = {(r.agent_type, str(r.trade_date)): (r.symbols_traded, r.estimate) for r in symbols.symbols_traded(lake).collect()}
+    assert {k: v[0] for k, v in got.items()} == {("retail", "2024-01-01"): 4000, ("unknown", "2024-01-01"): 4000, ("retail", "2024-01-02"): 1, ("unknown", "2024-01-02"): 1}
+    assert all(abs(estimate - exact) <= symbols.ERROR * exact for exact, estimate in got.values())

@@ -3,12 +3,15 @@
 import datetime as dt
 import glob
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from marketlake.operators import duplicates, staging
 from marketlake.plans import oracle, queries
+from marketlake.sources import driver_tables as source
 from tests.conftest import SF_DIR
 
 QUERIES, ORACLE = queries.QUERIES, oracle.ORACLE
@@ -63,9 +66,32 @@ def test_plans_stay_on_the_jvm_and_never_cross_join(spark, name):
         assert node not in plan, node
 
 
+def windows_of(plan):
+    """The first column that each window of a plan is partitioned by."""
+    return set(re.findall(r"windowspecdefinition\((\w+)", plan))
+
+
 def test_no_window_over_a_whole_symbol_of_trades(spark):
-    assert "Window" not in plan_of(queries.bars(spark, SF_DIR))
-    assert "Window" not in plan_of(queries.staged_trades(spark, SF_DIR))
+    # The windows there are order the few rows whose key repeats, by key.
+    assert windows_of(plan_of(queries.bars(spark, SF_DIR))) == {"_h"}
+    assert windows_of(plan_of(queries.staged_trades(spark, SF_DIR))) == {"_h"}
+
+
+@pytest.mark.parametrize("wire, label", [
+    (source.trades, staging.trades),
+    (source.orders, staging.orders),
+    (source.trades, lambda df: duplicates.label_duplicates(df, ["trade_id"], ["event_id", "timestamp"])),
+])
+def test_labels_need_no_sorted_aggregate_and_no_job_to_be_planned(spark, wire, label):
+    given = wire(spark, SF_DIR)  # Spark looks at the files' schemas here
+    spark.sparkContext.setJobGroup("planning", "labels")
+    try:
+        plan = plan_of(label(given))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tree = plan.split("\n\n", 1)[0]
+    assert "SortAggregate" not in tree and "HashAggregate" in tree and "WindowGroupLimit" in tree
 
 
 def test_lake_reads_prune_dates_and_columns(spark, lake):
