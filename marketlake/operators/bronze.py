@@ -43,8 +43,16 @@ def extra_keys(raw: Column, table: str) -> Column:
     return F.when(others, F.map_filter(F.from_json(raw, "map<string,string>"), lambda k, v: ~F.array_contains(declared, k)))
 
 
-def ingest(messages: DataFrame, table: str, keep_extra: bool = True) -> DataFrame:
-    """Decoded table rows plus `event_date`, and undeclared keys in the map `extra`.
+def typed_extra(raw: Column, table: str) -> Column:
+    """As `extra_keys`, as one VARIANT object: numbers, booleans, nulls and nesting stay what they are; read with `variant_get`."""
+    declared = F.array(*[F.lit(n) for n in wire_schema(table).names])
+    others = F.size(F.array_except(F.json_object_keys(raw), declared)) > 0
+    kept = F.map_filter(F.from_json(raw, "map<string,variant>"), lambda k, v: ~F.array_contains(declared, k))
+    return F.when(others, F.to_variant_object(kept))
+
+
+def ingest(messages: DataFrame, table: str, keep_extra: bool = True, keep_typed: bool = False) -> DataFrame:
+    """Decoded table rows plus `event_date`, and undeclared keys in the map `extra`; with `keep_typed` as VARIANT in `extra_typed`, too.
 
     Lists stay as their JSON text in the named column; `<name>_levels` / `<name>_list` hold them typed.
     """
@@ -61,6 +69,8 @@ def ingest(messages: DataFrame, table: str, keep_extra: bool = True) -> DataFram
             columns.append(F.from_json(field.name, "array<string>").alias(f"{field.name}_list"))
     if keep_extra:
         columns.append(extra_keys(F.col("_raw"), table).alias("extra"))
+    if keep_typed:
+        columns.append(typed_extra(F.col("_raw"), table).alias("extra_typed"))
     return rows.select(*columns, F.to_date(to_utc(rows)).alias("event_date"))
 
 

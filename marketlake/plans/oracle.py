@@ -432,6 +432,9 @@ _BODIES: dict[str, str] = {
         GROUP BY ALL""",
     "decode_utf8": """SELECT right(event_id, 1) = '7' AS quarantined, count(*) AS n_records, count(*) FILTER (WHERE right(event_id, 1) <> '7') AS n_event_ids
         FROM w_quotes GROUP BY 1""",
+    "bronze_extra_variant": """SELECT 'v' || (n % 7) AS venue, CAST(n % 3 AS INTEGER) AS rank, CAST(n % 2 AS DOUBLE) AS fee,
+       CASE WHEN n % 5 = 0 THEN 'true' WHEN n % 7 = 0 THEN 'null' ELSE 'absent' END AS is_odd, count(*) AS n_rows
+FROM (SELECT CAST(substr(event_id, 2) AS BIGINT) AS n FROM w_quotes) GROUP BY ALL""",
     "bronze_extra_keys": """SELECT 'venue' AS key, 'v' || (CAST(substr(event_id, 2) AS BIGINT) % 7) AS value, count(*) AS n_rows FROM w_quotes GROUP BY 2
         UNION ALL SELECT 'is_odd', 'true', count(*) FROM w_quotes WHERE CAST(substr(event_id, 2) AS BIGINT) % 5 = 0 HAVING count(*) > 0""",
     "event_type_counts": " UNION ALL ".join(

@@ -183,6 +183,25 @@ def bronze_extra_keys(spark, d):
     return extra.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def bronze_extra_variant(spark, d):
+    """Undeclared keys with their types, out of stored rows: here each quote carries a nested venue, every fifth a flag and every seventh a null."""
+    lake = scratch_lake(spark, "variant")
+    rows = source.topic_messages(spark, d, "quotes")
+    number = F.get_json_object("value", "$.event_id").substr(F.lit(2), F.lit(20)).cast("bigint")
+    text = lambda c: c.cast("string")
+    venue = F.concat(F.lit('{"venue":{"code":"v'), text(number % 7), F.lit('","rank":'), text(number % 3), F.lit(',"fees":[0.5,'), text(number % 2), F.lit("]},"))
+    flag = F.when(number % 5 == 0, F.lit('"is_odd":true,')).when(number % 7 == 0, F.lit('"is_odd":null,')).otherwise("")
+    sent = rows.select(F.concat(venue, flag, F.substring("value", 2, 1 << 30)).alias("value"))
+    lake.append_batch(bronze.ingest(sent, "quotes", keep_extra=False, keep_typed=True), "bronze", "quotes", 0)
+    get = lambda path, kind: F.variant_get("extra_typed", path, kind)
+    flags = F.when(F.is_variant_null(get("$.is_odd", "variant")), "null").otherwise(F.coalesce(text(get("$.is_odd", "boolean")), F.lit("absent")))
+    return lake.read("bronze", "quotes").groupBy(
+        get("$.venue.code", "string").alias("venue"), get("$.venue.rank", "int").alias("rank"),
+        get("$.venue.fees[1]", "double").alias("fee"), flags.alias("is_odd"),
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def event_type_counts(spark, d):
     parts = [bronze.event_type_counts(source.TABLES[t](spark, d)) for t in source.TABLES]

@@ -126,3 +126,12 @@ def test_contract_violations(spark, trades):
     bad = bad.withColumn("timestamp", F.when(F.col("event_id") == "E2", "soon").otherwise(F.col("timestamp")))
     found = {r.event_id: r.violations for r in contracts.label_contract(bad, "TradeExecuted").collect()}
     assert found == {"E0": "bound:price", "E1": "missing:price", "E2": "type:timestamp", "E3": "", "E4": ""}
+
+
+def test_undeclared_keys_keep_their_types(spark):
+    rows = ['{"event_type":"QuoteUpdate","event_id":"1","a":1,"b":{"c":[true,null,"x"]},"d":null}', '{"event_type":"QuoteUpdate","event_id":"2"}']
+    made = bronze.ingest(lines(spark, rows), "quotes", keep_extra=False, keep_typed=True)
+    got = made.selectExpr("event_id", "variant_get(extra_typed, '$.b.c[0]', 'boolean') AS flag", "variant_get(extra_typed, '$.a', 'int') + 1 AS n",
+                          "is_variant_null(variant_get(extra_typed, '$.d', 'variant')) AS none", "to_json(extra_typed) AS text").orderBy("event_id").collect()
+    assert (got[0].flag, got[0].n, got[0].none, got[0].text) == (True, 2, True, '{"a":1,"b":{"c":[true,null,"x"]},"d":null}')
+    assert got[1].text is None
