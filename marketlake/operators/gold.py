@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from marketlake.functions.casts import (
     QUANTITY,
     TOTAL,
+    amount_limbs,
+    amount_sum,
     exact_mean,
     exact_notional,
-    exact_parts,
     exact_sum,
-    notional_parts,
+    notional_limbs,
+    notional_sum,
     round_half_away,
+    summed,
     to_number,
     to_utc,
     total,
@@ -58,13 +61,14 @@ _SUMS = ("_volume", "_volume_rest", "_notional", "_notional_rest", "trade_count"
 def bar_partials(trades: DataFrame) -> DataFrame:
     """One mergeable row per symbol and day: first and last trade, extremes, exact sums, count."""
     price, quantity = F.col("price_cast"), F.col("quantity_cast")
-    volume, notional = exact_parts(quantity, QUANTITY), notional_parts(price, quantity)
+    volume, notional = summed(amount_limbs(quantity)), summed(notional_limbs(price, quantity))
     return trades.groupBy("symbol", _trade_day()).agg(
         F.min(F.struct(*_TRADE)).alias("_first"),
         F.max(F.struct(*_TRADE)).alias("_last"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        *[F.sum(part).alias(name) for part, name in zip((*volume, *notional), _SUMS)],
+        amount_sum(volume).alias("_volume"), volume["rest"].alias("_volume_rest"),
+        notional_sum(notional).alias("_notional"), notional["rest"].alias("_notional_rest"),
         F.count(F.lit(1)).alias("trade_count"),
     )
 
@@ -182,20 +186,21 @@ FLOWS = ("_cash", "_cash_rest", "_volume", "_volume_rest", "trade_count")
 
 
 def agent_flows(trades: DataFrame) -> DataFrame:
-    """Cash, volume and trade count per agent, symbol and day, as sums that can be added up further."""
-    signed = F.when(F.col("side") == "sell", F.col("volume")).otherwise(-F.col("volume"))
-    cash, cash_rest = notional_parts(F.col("price_cast"), signed)
-    volume, volume_rest = exact_parts(F.col("volume"), QUANTITY)
-    return (
-        trade_sides(trades)
-        .groupBy("agent_id", *DAY_KEY)
-        .agg(
-            F.sum(cash).alias("_cash"),
-            F.sum(cash_rest).alias("_cash_rest"),
-            F.sum(volume).alias("_volume"),
-            F.sum(volume_rest).alias("_volume_rest"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
+    """Cash, volume and trade count per agent, symbol and day, as sums that can be added up further.
+
+    A trade's notional is taken once, for both sides, as longs; only sums become decimals.
+    """
+    cash = {f"c_{n}": c for n, c in notional_limbs(F.col("price_cast"), F.col("quantity_cast")).items()}
+    volume = {f"v_{n}": c for n, c in amount_limbs(F.col("quantity_cast")).items()}
+    sides = F.array(*[F.struct(F.col(agent).alias("agent_id"), F.lit(sign).cast("bigint").alias("sign")) for agent, sign in (("buyer_agent_id", -1), ("seller_agent_id", 1))])
+    rows = trades.select("symbol", _trade_day(), *[c.alias(n) for n, c in {**cash, **volume}.items()], F.inline(sides))
+    sums = rows.groupBy("agent_id", *DAY_KEY).agg(
+        *[F.sum(F.col("sign") * F.col(n)).alias(n) for n in cash], *[F.sum(n).alias(n) for n in volume], F.count(F.lit(1)).alias("trade_count"),
+    )
+    part = lambda prefix: {n: F.col(f"{prefix}_{n}") for n in ("low", "mid", "high")}
+    return sums.select(
+        "agent_id", *DAY_KEY, notional_sum(part("c")).alias("_cash"), F.col("c_rest").alias("_cash_rest"),
+        amount_sum(part("v")).alias("_volume"), F.col("v_rest").alias("_volume_rest"), "trade_count",
     )
 
 

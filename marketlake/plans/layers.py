@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.casts import to_utc
 from marketlake.operators import bronze, gold, halts, promote, reference, router, staging
 from marketlake.plans.pnl import PnlView
 from marketlake.schemas import TABLE_EVENTS, bronze_schema
