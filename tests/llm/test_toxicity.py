@@ -67,3 +67,44 @@ def test_sample_is_bounded(spark, monkeypatch):
     sample = toxicity.labelled_sample(docs, labels).toPandas()
     assert sample["label"].value_counts().to_dict() == {0: 20, 1: 20}
     assert abs(sample.groupby("label")["weight"].sum()[0] - 2970) < 1
+
+
+def plain_ordinal(texts, grades, decay):
+    """Gradient descent with halved steps on the cumulative-link loss, over a dense matrix of the same features: probabilities of grade 1 and above, 2 and above."""
+    counted = [toxicity.Counter(f for w, n in toxicity.Counter(toxicity.words(t)).items() for f in toxicity.features(w)) for t in texts]
+    grades = np.array(grades)
+    names = toxicity.telling((grades > 0).astype(int), counted)
+    x = np.array([[c[f] for f in names] for c in counted], dtype=float)
+    over = (grades[:, None] >= np.arange(1, grades.max() + 1)).astype(float)
+
+    def loss(w, t):
+        z = (x @ w)[:, None] - t
+        return (np.logaddexp(0, z) - over * z).sum(axis=1).mean() + decay / 2 * (w @ w)
+
+    w, t, rate = np.zeros(len(names)), np.linspace(0.5, 1.5, over.shape[1]), 1.0
+    for _ in range(20_000):
+        wrong = (1 / (1 + np.exp(t - (x @ w)[:, None])) - over) / len(x)
+        to_w, to_t = x.T @ wrong.sum(axis=1) + decay * w, -wrong.sum(axis=0)
+        while rate > 1e-9 and loss(w - rate * to_w, t - rate * to_t) > loss(w, t):
+            rate /= 2
+        w, t, rate = w - rate * to_w, t - rate * to_t, rate * 1.1
+    return 1 / (1 + np.exp(t - (x @ w)[:, None]))
+
+
+def test_fit_and_grades_by_plain_gradient_descent(spark):
+    """The whole way through Spark against a plain fit of the same rows: probability of being toxic, and expected grade."""
+    random = np.random.default_rng(8)
+    texts, grades = [], []
+    for _ in range(400):
+        grade = int(random.integers(0, 3))
+        # Every grade has some words of the others, so that no threshold parts the texts for good.
+        shown = int(np.clip(grade + random.choice([-1, 0, 0, 0, 1]), 0, 2))
+        words = [f"w{'abcdefgh'[i]}{'abcdefgh'[j]}" for i, j in random.integers(0, 8, (12, 2))] + [["vile"], ["vile", "awful"]][shown - 1] * (shown > 0)
+        texts.append(" ".join(words))
+        grades.append(grade)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(grades)), "doc_id long, toxic int")
+    graded = toxicity.grade(docs, toxicity.fit(docs, labels, graded=True)).orderBy("doc_id").select("toxicity.*").toPandas()
+    expected = plain_ordinal(texts, grades, toxicity.DECAY)
+    assert np.abs(graded["p_toxic"] - expected[:, 0]).max() < 0.03
+    assert np.abs(graded["severity"] - expected.sum(axis=1)).max() < 0.05
