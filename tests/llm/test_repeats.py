@@ -191,3 +191,25 @@ def test_fuzzy_passages_are_found_by_the_query(spark):
             planted.append((10 * n + 2, 10 * n + 1))
     got = {(r["doc_id"], r["other_id"]) for r in passages.passages(spark.createDataFrame(docs, SCHEMA).coalesce(1)).collect()}
     assert len(planted) > 100 and len(got & set(planted)) >= 0.9 * len(planted) and not got - {(10 * n + 2, 10 * n + 1) for n in range(120)}
+
+
+def test_chunks_and_buckets_dont_change_what_is_found(spark, given, monkeypatch):
+    """One chunk and one bucket against many of both, and every match against a plain search for a seed's first occurrence."""
+    docs = spark.createDataFrame(list(zip(given["doc_id"].tolist(), given["text"].tolist())), SCHEMA).coalesce(1)
+    columns = ["doc_id", "other_id", "start", "end", "other_start", "other_end", "similarity"]
+    whole = passages.passages(docs).toPandas().sort_values(columns).reset_index(drop=True)
+    monkeypatch.setattr(passages, "CHUNK", 3000)
+    monkeypatch.setattr(passages, "BUCKET", 1 << 12)
+    own = passages.prepare(docs)
+    assert own.select("chunk").distinct().count() > 5
+    first, expected = {}, {}
+    for r in own.orderBy("row").collect():
+        seed, _, at = passages._occurrences([r["row"]], [bytes(r["words"])], -1)
+        for s, place in zip(seed.tolist(), at.tolist()):
+            other, there = first.setdefault(s, (r["row"], place))
+            if other != r["row"]:
+                expected.setdefault((r["row"], other), []).append((place, there))
+    pairs = {(r["row"], r["other"]) for r in passages.likely_pairs(own).select("row", "other").collect()}
+    assert pairs == {p for p, found in expected.items() if passages.dense([a for a, _ in sorted(found)], [b for _, b in sorted(found)])}
+    split = passages.passages(docs).toPandas().sort_values(columns).reset_index(drop=True)
+    assert len(whole) and split.equals(whole)
