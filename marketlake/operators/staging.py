@@ -79,7 +79,9 @@ def trades(bronze: DataFrame, settle: Settle | None = None) -> DataFrame:
     rows = _ensure(bronze, "trade_id", "symbol", "timestamp")
     # The timestamp is part of the key, so only what tells two copies apart has to be ordered.
     order = [c for c in ("event_id", INGEST_ORDER) if c in rows.columns] or ["timestamp"]
-    return _trade_reasons(label_duplicates(_trade_casts(bronze), TRADE_KEY, order, history=rows, settle=settle))
+    # The flag comes before the casts, so that rows are as narrow as they were sent if they have to be moved.
+    flagged = _trade_casts(label_duplicates(rows, TRADE_KEY, order, settle=settle))
+    return _trade_reasons(flagged.select(*[c for c in flagged.columns if c != "_is_duplicate"], "_is_duplicate"))
 
 
 def is_placed(df: DataFrame) -> Column:

@@ -92,6 +92,12 @@ def staged_trades(spark, d):
     return staging.trades(source.trades(spark, d))
 
 
+def kept_trades(spark, d):
+    """As `staged_trades`, by a stored copy of the trades: they are made once instead of for each pass, and the table isn't shuffled for its labels."""
+    lake = scratch_lake(spark, "trades")
+    return staging.trades(lake.settle("sent")(source.trades(spark, d)), lake.settle("firsts"))
+
+
 def staged_orders(spark, d):
     return staging.orders(source.orders(spark, d))
 
@@ -101,7 +107,7 @@ def staged_quotes(spark, d):
 
 
 def good_trades(spark, d):
-    return promote.silver(staged_trades(spark, d))
+    return promote.silver(kept_trades(spark, d))
 
 
 def good_orders(spark, d):
@@ -112,8 +118,8 @@ def good_quotes(spark, d):
     return promote.silver(staged_quotes(spark, d), dup=False)
 
 
-def bars(spark, d):
-    return gold.ohlcv(good_trades(spark, d), source.market_stats(spark, d))
+def bars(spark, d, staged=staged_trades):
+    return gold.ohlcv(promote.silver(staged(spark, d)), source.market_stats(spark, d))
 
 
 def quality(spark, d):
@@ -248,7 +254,7 @@ def route_rejects(spark, d):
 
 @query
 def stg_trades(spark, d):
-    return staged_trades(spark, d)
+    return kept_trades(spark, d)
 
 
 @query
@@ -278,7 +284,7 @@ def silver_quotes(spark, d):
 
 @query
 def invalid_trades(spark, d):
-    return promote.invalid(staged_trades(spark, d))
+    return promote.invalid(kept_trades(spark, d))
 
 
 @query
@@ -294,7 +300,7 @@ def invalid_quotes(spark, d):
 @query
 def promotion_summary(spark, d):
     return (
-        promote.summary(staged_trades(spark, d), "trades")
+        promote.summary(kept_trades(spark, d), "trades")
         .unionByName(promote.summary(staged_orders(spark, d), "orders"))
         .unionByName(promote.summary(staged_quotes(spark, d), "quotes"))
     )
@@ -303,7 +309,7 @@ def promotion_summary(spark, d):
 @query
 def staging_conservation(spark, d):
     """Staged trades minus the union of silver and invalid, and the other way round: no rows."""
-    staged = staged_trades(spark, d).select("event_id", "trade_id", "_validation_status", "_is_duplicate")
+    staged = kept_trades(spark, d).select("event_id", "trade_id", "_validation_status", "_is_duplicate")
     split = promote.silver(staged).unionByName(promote.invalid(staged))
     lost = staged.exceptAll(split).withColumn("side", F.lit("lost"))
     return lost.unionByName(split.exceptAll(staged).withColumn("side", F.lit("gained")))
@@ -332,7 +338,7 @@ def label_duplicates(spark, d):
 def invalid_reason_counts(spark, d):
     parts = [
         promote.reason_counts(df).withColumn("table_name", F.lit(name))
-        for name, df in (("trades", staged_trades(spark, d)), ("orders", staged_orders(spark, d)), ("quotes", staged_quotes(spark, d)))
+        for name, df in (("trades", kept_trades(spark, d)), ("orders", staged_orders(spark, d)), ("quotes", staged_quotes(spark, d)))
     ]
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -427,7 +433,7 @@ def ref_symbols(spark, d):
 
 @query
 def gold_ohlcv(spark, d):
-    return bars(spark, d).orderBy("trade_date", "symbol")
+    return bars(spark, d, kept_trades).orderBy("trade_date", "symbol")
 
 
 @query
@@ -494,13 +500,13 @@ def pair_halts_resumes(spark, d):
 
 @query
 def expect_not_null(spark, d):
-    return expectations.Suite("stg_trades").expect_not_null("price_cast").evaluate(staged_trades(spark, d)).drop("observed")
+    return expectations.Suite("stg_trades").expect_not_null("price_cast").evaluate(kept_trades(spark, d)).drop("observed")
 
 
 @query
 def expect_between(spark, d):
     suite = expectations.Suite("stg_trades").expect_between("price_cast", 0.01, 50_000).expect_between("quantity_cast", min_value=10)
-    return suite.evaluate(staged_trades(spark, d)).drop("observed")
+    return suite.evaluate(kept_trades(spark, d)).drop("observed")
 
 
 @query
@@ -512,7 +518,7 @@ def expect_in_set(spark, d):
 @query
 def expect_unique(spark, d):
     suite = expectations.Suite("stg_trades").expect_unique("trade_id").expect_unique("trade_id", "symbol", "timestamp")
-    return suite.evaluate(staged_trades(spark, d)).drop("observed")
+    return suite.evaluate(kept_trades(spark, d)).drop("observed")
 
 
 @query
@@ -539,7 +545,7 @@ def check_silver_orders(spark, d):
 
 @query
 def check_gold_ohlcv(spark, d):
-    return suites.gold_ohlcv().result(bars(spark, d))
+    return suites.gold_ohlcv().result(bars(spark, d, kept_trades))
 
 
 @query
@@ -592,7 +598,7 @@ def check_pass_rate(spark, d):
 @query
 def freshness(spark, d):
     """The newest dates of the gold tables themselves, so that an empty or stale one shows."""
-    tables = {"gold_ohlcv": (bars(spark, d), "trade_date"), "gold_market_quality": (quality(spark, d), "trade_date")}
+    tables = {"gold_ohlcv": (bars(spark, d, kept_trades), "trade_date"), "gold_market_quality": (quality(spark, d), "trade_date")}
     return monitor.freshness(tables, as_of())
 
 
@@ -616,7 +622,7 @@ def run_log_metrics(spark, d):
 
 @query
 def adhoc_ohlcv_listing(spark, d):
-    return reports.ohlcv_listing(bars(spark, d))
+    return reports.ohlcv_listing(bars(spark, d, kept_trades))
 
 
 @query
@@ -631,7 +637,7 @@ def adhoc_trades_by_symbol(spark, d):
 
 @query
 def adhoc_mean_by_symbol(spark, d):
-    return reports.mean_by_symbol(bars(spark, d))
+    return reports.mean_by_symbol(bars(spark, d, kept_trades))
 
 
 @query

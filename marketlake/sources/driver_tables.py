@@ -43,9 +43,10 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(F.col("l_partkey") % 97 == 0, None).when(F.col("l_partkey") % 101 == 0, 0.0).otherwise(F.col("l_extendedprice"))
     copies = F.when(F.col("l_orderkey") % 50 == 0, F.array(F.lit(""), F.lit("r"))).otherwise(F.array(F.lit("")))
     rows = (
+        # Orders first: the rows lie by order key already, so that of the two joins one alone may shuffle them again.
         spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
-        .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("copy", F.explode(copies))
     )
     trade_id = F.concat_ws("-", "l_orderkey", "l_linenumber")

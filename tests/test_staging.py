@@ -146,3 +146,28 @@ def test_code_tables(spark):
     assert {r.raw_value: r.requires_price for r in reference.order_type_map(spark).collect()} == {
         "Market": False, "Limit": True, "StopLoss": True, "StopLimit": True}
     assert {r.raw_value: r.aggressor_flag for r in reference.order_side_map(spark).collect()} == {"Buy": True, "Sell": False}
+
+
+def test_stored_labels_shuffle_only_what_may_repeat(spark, lake):
+    # 400 trades, every 40th sent twice, two of them without a symbol; the last key is sent 30 times.
+    n = F.col("id")
+    rows = spark.range(400).select(
+        F.lit("TradeExecuted").alias("event_type"), F.concat(F.lit("E"), n).alias("event_id"), F.concat(F.lit("t"), n).alias("trade_id"),
+        F.when(n % 200 != 0, "ALFA").alias("symbol"), F.lit("2024-03-04T10:00:00+00:00").alias("timestamp"),
+        F.lit("1.5").alias("price"), F.lit("2").alias("quantity"),
+        F.explode(F.when(n == 399, F.sequence(F.lit(0), F.lit(29))).when(n % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    rows = rows.withColumn("event_id", F.concat("event_id", F.lpad("copy", 2, "0"))).drop("copy")
+    sent = lake.settle("sent")(rows)
+    staged = staging.trades(sent, lake.settle("firsts"))
+    assert staged.columns == staging.trades(rows).columns
+    assert staged.exceptAll(staging.trades(rows)).isEmpty() and staged.count() == rows.count()
+    assert staged.where("_is_duplicate").count() == 10 + 29
+    # However large the firsts: the rows that surely don't repeat pass by every exchange.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = staging.trades(sent, lake.settle("firsts"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    alone, _, again = plan.partition("Union")[2].partition("SortMergeJoin")
+    assert again and alone.count("Exchange hashpartitioning(") == alone.count("Exchange hashpartitioning(_groupingexpression")  # the marks' own
