@@ -309,10 +309,13 @@ def promotion_summary(spark, d):
 @query
 def staging_conservation(spark, d):
     """Staged trades minus the union of silver and invalid, and the other way round: no rows."""
-    staged = kept_trades(spark, d).select("event_id", "trade_id", "_validation_status", "_is_duplicate")
+    staged = settle(spark, "staged")(kept_trades(spark, d).select("event_id", "trade_id", "_validation_status", "_is_duplicate"))
     split = promote.silver(staged).unionByName(promote.invalid(staged))
-    lost = staged.exceptAll(split).withColumn("side", F.lit("lost"))
-    return lost.unionByName(split.exceptAll(staged).withColumn("side", F.lit("gained")))
+    # Both differences of the two multisets at once: staged rows count up, split ones down.
+    left = staged.withColumn("_n", F.lit(1)).unionByName(split.withColumn("_n", F.lit(-1)))
+    left = left.groupBy(*staged.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, "lost").otherwise("gained").alias("side")
+    return left.select(*staged.columns, side, F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))).alias("_copy")).drop("_copy")
 
 
 @query
