@@ -226,9 +226,7 @@ def route_events(spark, d):
     routed = _routed(spark, d)
     return routed.filter(F.col("disposition") == router.PUBLISHED).select(
         "topic", "key", "event_type",
-        F.get_json_object("value", "$.event_type").alias("payload_event_type"),
-        F.get_json_object("value", "$.event_id").alias("event_id"),
-        F.get_json_object("value", "$.timestamp").alias("sent_at"),
+        F.json_tuple("value", "event_type", "event_id", "timestamp").alias("payload_event_type", "event_id", "sent_at"),
     )
 
 
