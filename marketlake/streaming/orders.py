@@ -25,7 +25,7 @@ def keep_order_status(feed: DataFrame, lake: Lake, checkpoint: str) -> None:
         if not dates:
             return
         run.stage({"orders": dates}, ("orders",))
-        lake.write(promote.silver_orders(run.table("staging", "orders", dates)), "silver", "orders", dates=dates)
+        lake.write(promote.silver_orders(run.table("staging", "orders", dates)), "silver", "orders", dates=dates, gather=False)
         run.finish()
 
     run_available(feed, write_batch, checkpoint)
