@@ -92,6 +92,20 @@ def fingerprint(hashes: np.ndarray) -> list[int]:
     return np.packbits(2 * ones > max(1, len(hashes))).view(">i8").tolist()
 
 
+def placed(lanes: np.ndarray, chosen: list[list[int]]) -> np.ndarray:
+    """A place for each fingerprint (row of lanes) and choice: a hash of the choice and of its blocks' bits."""
+    in_lane = 64 // BLOCK
+    lanes, mask = lanes.view(np.uint64), np.uint64((1 << BLOCK) - 1)
+    blocks = [lanes[:, b // in_lane] >> np.uint64(BLOCK * (b % in_lane)) & mask for b in range(LANES * in_lane)]
+    out = np.empty((len(lanes), len(chosen)), dtype=np.uint64)
+    for n, numbers in enumerate(chosen):
+        key = np.zeros(len(lanes), dtype=np.uint64)
+        for b in numbers:
+            key = key << np.uint64(BLOCK) | blocks[b]
+        out[:, n] = _mixed(key, n + 1)  # no two of them meet: keys are far shorter than the gaps between the choices' shifts
+    return out.view(np.int64)
+
+
 def _lane(name: str, lane: int) -> Column:
     return F.col(f"{name}.l{lane}")
 
@@ -115,19 +129,13 @@ def prints(docs: DataFrame) -> DataFrame:
 def candidates(distinct: DataFrame) -> DataFrame:
     """(a, b): text_ids that meet in a choice and whose fingerprints differ in at most RADIUS bits, without all pairs of a crowd."""
     chosen = choices(distinct.count())
-    in_lane = 64 // BLOCK
 
-    def value(blocks: list[int]) -> Column:
-        """The chosen blocks' bits, side by side."""
-        mask = F.lit((1 << BLOCK) - 1).cast("long")
-        parts = [F.shiftright(_lane("fp", b // in_lane), BLOCK * (b % in_lane)).bitwiseAND(mask) for b in blocks]
-        total = F.lit(0).cast("long")
-        for n, part in enumerate(parts):
-            total = total.bitwiseOR(F.shiftleft(part, BLOCK * n))
-        return total
-
-    keys = F.array(*[F.struct(F.lit(n).alias("choice"), value(blocks).alias("key")) for n, blocks in enumerate(chosen)])
-    dealt = distinct.select("text_id", F.inline(keys)).select(F.xxhash64("choice", "key").alias("place"), "text_id")
+    # As columns, some hundred choices of a dozen blocks each would be an expression of thousands of nodes to plan and compile.
+    @F.pandas_udf("array<long>")
+    def places(fps: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(placed(fps.to_numpy(dtype=np.int64), chosen)))
+
+    dealt = distinct.select("text_id", F.explode(places("fp")).alias("place"))
     shared = stored(dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("place"), "shared")
     # Most fingerprints meet nobody; the others' bits join those that do.
     left = stored(stored(dealt.join(shared, "place", "left_semi"), "met-ids").join(distinct, "text_id"), "met")

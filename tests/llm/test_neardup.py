@@ -88,3 +88,15 @@ def test_choices_reach_the_wanted_probability(number):
     bits = len(chosen[0]) * neardup.BLOCK
     one = (1 - neardup.differing(neardup.LEAST)) ** bits
     assert 1 - (1 - one) ** len(chosen) >= neardup.MET and bits >= np.log2(max(2, number))
+
+
+def test_places_are_those_of_the_chosen_blocks():
+    random = np.random.default_rng(9)
+    lanes = random.integers(-(2**63), 2**63 - 1, size=(300, neardup.LANES))
+    lanes[150:] = lanes[:150] ^ (1 << random.integers(0, 63, size=(150, neardup.LANES)))
+    chosen = neardup.choices(300)
+    bits = [tuple(int(lane) >> at & 3 for lane in row for at in range(0, 64, 2)) for row in lanes]
+    keys = [[(n, *[row[b] for b in c]) for n, c in enumerate(chosen)] for row in bits]
+    got = neardup.placed(lanes, chosen).tolist()
+    pairs = {(key, place) for k, p in zip(keys, got) for key, place in zip(k, p)}
+    assert len(pairs) == len({k for k, _ in pairs}) == len({p for _, p in pairs})
