@@ -106,17 +106,17 @@ def survivors(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     They are found by digest, doc_id and length together, so that a large group of copies is spread by doc_id.
     """
     index = index or new_index(docs.sparkSession)
+    # Keys without nulls: the join and the firsts after it share one shuffle of the rows, and one order.
+    keys = lambda doc_id, chars: [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_none"), chars.alias("_chars")]
     keepers = index.register(keyed(docs)).where("kept_row IS NOT NULL")
-    keepers = keepers.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_id"), F.col("keep_chars").alias("_chars"))
+    keepers = keepers.select(F.col("digest").alias("_digest"), *keys(F.col("keep_id"), F.col("keep_chars")))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         digest(text_of()).alias("_digest"),
-        F.col("doc_id").cast("long").alias("_id"),
-        F.length(text_of()).cast("long").alias("_chars"),
+        *keys(F.col("doc_id").cast("long"), F.length(text_of()).cast("long")),
     )
-    same = (rows["_digest"] == keepers["_digest"]) & rows["_id"].eqNullSafe(keepers["_id"]) & (rows["_chars"] == keepers["_chars"])
-    found = rows.join(keepers, same, "left_semi")
-    return found.dropDuplicates(["_digest", "_id", "_chars"]).select("row.*")
+    same = ["_digest", "_id", "_none", "_chars"]
+    return rows.join(keepers, same, "left_semi").dropDuplicates(same).select("row.*")
 
 
 def new_index(spark: SparkSession) -> DigestIndex:

@@ -63,6 +63,21 @@ def test_index_is_matched_by_sort_merge_and_not_shuffled(spark, odd, tmp_path):
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan and plan.count("Exchange") == 1
 
 
+def test_survivors_shuffle_the_texts_once(spark, odd):
+    """One shuffle of the rows, one of the keepers; and the rows themselves: null ids and repeated rows among them."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = exact.survivors(odd)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("Exchange hashpartitioning") == 2 and got.columns == odd.columns
+    kept = {(r["doc_id"], r["keep_id"]) for r in exact.decide(odd).collect() if r["kept"]}
+    assert sorted(r["doc_id"] for r in rows) == sorted(d for d, _ in kept) and len({(r["text"] or "").strip() for r in rows}) == len(rows)
+
+
 # --- SimHash ------------------------------------------------------------------------------------
 
 
