@@ -6,9 +6,10 @@ texts' fingerprints differ in each bit with a probability that follows from thei
 bits in all agrees with a known probability. Fingerprints are dealt out by as many choices as make it likely that near texts
 meet in one; k grows with the logarithm of the number of fingerprints, so that others seldom meet.
 
-Where few meet, all pairs are checked. Where many do, they are checked against the lowest of them, so that a whole group of near copies
-costs one pair for each member; the rest, which share less, are dealt out again by several further bits each, until few
-meet. The check is the Hamming distance, then the exact similarity of the sets of shingles. Links are joined to groups.
+Where few meet, all pairs are checked. Where many do, they are first checked against the lowest of them, so that a whole group of near
+copies costs one pair for each member. Then every pair of such a crowd that is not in one group yet is compared too, in blocks of
+bounded size; a pair within a group could add nothing. So every pair that meets anywhere is checked or joined already.
+The check is the Hamming distance, then the exact similarity of the sets of shingles. Links are joined to groups.
 
 Defined cases: only documents with the same text share a fingerprint and a group without a check; texts of fewer words than a shingle
 have one shingle, texts without words none, and are alike only to those; a null text is an empty one; a null
@@ -40,8 +41,8 @@ MET = 0.97
 ALLOWED = 3.0
 #: Fingerprints that are paired off where they meet.
 PAIRED = 8
-#: How often those are dealt out again that are too many and not near the lowest, and by how many further bits.
-AGAIN, FURTHER = 4, 4
+#: Fingerprints of a crowd that meet as many others in one task; rows of them that are compared at once.
+SIDE, STRIP = 2048, 256
 CHUNK = 1 << 15
 SEED = 42
 
@@ -126,8 +127,8 @@ def prints(docs: DataFrame) -> DataFrame:
     return stored(_texts(docs).select("doc_id", "text_id", fp("text").alias("fp")), "wide-prints")
 
 
-def candidates(distinct: DataFrame) -> DataFrame:
-    """(a, b): text_ids that meet in a choice and whose fingerprints differ in at most RADIUS bits, without all pairs of a crowd."""
+def meeting(distinct: DataFrame) -> DataFrame:
+    """(place, n, low, text_id, fp), stored: the texts that meet in a choice, how many they are there, and the lowest of them."""
     chosen = choices(distinct.count())
 
     # As columns, some hundred choices of a dozen blocks each would be an expression of thousands of nodes to plan and compile.
@@ -136,43 +137,72 @@ def candidates(distinct: DataFrame) -> DataFrame:
         return pd.Series(list(placed(fps.to_numpy(dtype=np.int64), chosen)))
 
     dealt = distinct.select("text_id", F.explode(places("fp")).alias("place"))
-    shared = stored(dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("place"), "shared")
+    shared = stored(dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("text_id").alias("low")).where("n > 1"), "shared")
     # Most fingerprints meet nobody; the others' bits join those that do.
-    left = stored(stored(dealt.join(shared, "place", "left_semi"), "met-ids").join(distinct, "text_id"), "met")
-    found, turn = None, 0
-    while True:
-        sizes = stored(left.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("text_id").alias("low")).where("n > 1"), "met-sizes")
-        few = left.join(sizes.where(F.col("n") <= PAIRED).select("place"), "place", "left_semi")
-        pairs = few.select("place", F.col("text_id").alias("a"), F.col("fp").alias("fa")).join(few.select("place", F.col("text_id").alias("b"), F.col("fp").alias("fb")), "place")
-        pairs = pairs.where((F.col("a") < F.col("b")) & (_distance("fa", "fb") <= RADIUS)).select("a", "b")
-        crowded = stored(left.join(sizes.where(F.col("n") > PAIRED).select("place", "low"), "place"), "crowded")
-        lowest = crowded.where("text_id = low").select("place", F.col("fp").alias("fb"))
-        seen = stored(crowded.where("text_id <> low").join(lowest, "place").withColumn("near", _distance("fp", "fb") <= RADIUS), "against-lowest")
-        both = pairs.union(seen.where("near").select(F.col("low").alias("a"), F.col("text_id").alias("b")))
-        found = stored((both if found is None else found.union(both)).distinct(), "candidates")
-        rest, turn = seen.where("NOT near").select("place", "text_id", "fp"), turn + 1
-        if not rest.head(1):
-            return found
-        lanes = F.array(*[_lane("fp", n) for n in range(LANES)])
-        again = rest.withColumn("lanes", lanes).select("place", "text_id", "fp", "lanes", F.explode(F.array(*[F.lit(n) for n in range(AGAIN)])).alias("again"))
-        again = again.withColumn("block", F.pmod(F.xxhash64("place", "again", F.lit(turn)), F.lit(BITS // FURTHER)).cast("int"))
-        bits = F.expr(f"shiftright(lanes[cast(block / {64 // FURTHER} AS int)], {FURTHER} * (block % {64 // FURTHER}))").bitwiseAND(F.lit((1 << FURTHER) - 1).cast("long"))
-        left = stored(again.select(F.xxhash64("place", "again", bits).alias("place"), "text_id", "fp"), "met")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The pairs whose sets of shingles have a Jaccard similarity of LEAST or more.
-
-    Of the texts that are in a pair, one copy is hashed; its set goes to its pairs, where the JVM compares them row by row.
+    return stored(stored(dealt.join(shared, "place"), "met-ids").join(distinct, "text_id"), "met")
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """(a, b), stored: texts whose fingerprints differ in at most RADIUS bits, out of all pairs of a place where few meet, and of the lowest with all others of a crowd."""
+    few, crowded = met.where(F.col("n") <= PAIRED), met.where(F.col("n") > PAIRED)
+    pairs = few.select("place", F.col("text_id").alias("a"), F.col("fp").alias("fa")).join(few.select("place", F.col("text_id").alias("b"), F.col("fp").alias("fb")), "place")
+    pairs = pairs.where((F.col("a") < F.col("b")) & (_distance("fa", "fb") <= RADIUS)).select("a", "b")
+    lowest = crowded.where("text_id = low").select("place", F.col("fp").alias("fb"))
+    against = crowded.where("text_id <> low").join(lowest, "place").where(_distance("fp", "fb") <= RADIUS)
+    return stored(pairs.union(against.select(F.col("low").alias("a"), F.col("text_id").alias("b"))).distinct(), "candidates")
+
+
+def crossing(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b), stored: all pairs of a crowd whose fingerprints differ in at most RADIUS bits and that are in different groups so far.
+
+    A crowd is dealt into blocks; a task compares one block with one.
     """
+    crowded = met.where(F.col("n") > PAIRED).join(roots, F.col("text_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "text_id"))
+    crowded = stored(crowded.select("place", "n", "text_id", "root", *[_lane("fp", n).alias(f"l{n}") for n in range(LANES)]), "crowds")
+    mixed = crowded.groupBy("place").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("place")
+    number = F.ceil(F.col("n") / SIDE).cast("int")
+    dealt = (
+        crowded.join(mixed, "place", "left_semi")
+        .withColumn("own", F.pmod(F.xxhash64("text_id"), number).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), number - 1)))
+        .select("place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "root", *[f"l{n}" for n in range(LANES)])
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        ids, root, own = (group[c].to_numpy() for c in ("text_id", "root", "own"))
+        lanes = group[[f"l{n}" for n in range(LANES)]].to_numpy().view(np.uint64)
+        within, first = group["i"].iloc[0] == group["j"].iloc[0], own == group["i"].iloc[0]
+        left, right = np.flatnonzero(first), np.flatnonzero(first if within else ~first)
+        found = []
+        for start in range(0, len(left), STRIP):
+            strip = left[start : start + STRIP]
+            distance = np.zeros((len(strip), len(right)), dtype=np.uint16)
+            for n in range(LANES):
+                distance += np.bitwise_count(lanes[strip, n][:, None] ^ lanes[right, n][None, :])
+            x, y = np.nonzero((distance <= RADIUS) & (root[strip][:, None] != root[right][None, :]))
+            found.append(np.stack([ids[strip[x]], ids[right[y]]], axis=1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+        pairs = np.sort(pairs[pairs[:, 0] < pairs[:, 1]] if within else pairs, axis=1)
+        return pd.DataFrame(pairs, columns=["a", "b"])
+
+    # By the number of partitions asked for: the blocks are few bytes and much work, so that they must not be put together by size.
+    dealt = dealt.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), "place", "i", "j")
+    return stored(dealt.groupBy("place", "i", "j").applyInPandas(compare, "a long, b long").distinct(), "crossing")
+
+
+def shingle_sets(asked: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(text_id, held, size), stored: the shingles of the texts asked for, of one copy each. The texts are moved once."""
 
     @F.pandas_udf("array<long>")
     def hashed(values: pd.Series) -> pd.Series:
         return pd.Series([shingles(t).view(np.int64) for t in values])
 
-    asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("text_id")).distinct().join(firsts, "text_id"), "asked")
+    asked = stored(asked.distinct().join(firsts, "text_id"), "asked")
     texts = _texts(docs).join(asked, "text_id").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    held = stored(texts.select("text_id", hashed("text").alias("held")).dropDuplicates(["text_id"]).withColumn("size", F.size("held")), "shingles")
+    return stored(texts.select("text_id", hashed("text").alias("held")).dropDuplicates(["text_id"]).withColumn("size", F.size("held")), "shingles")
+
+
+def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs whose sets of shingles have a Jaccard similarity of LEAST or more: each set goes to its pairs, where the JVM compares them row by row."""
     a, b = (held.select(F.col("text_id").alias(n), F.col("held").alias(f"h{n}"), F.col("size").alias(f"n{n}")) for n in "ab")
     # Sets of too different a size go before any set is moved.
     sized = pairs.join(a.drop("ha"), "a").join(b.drop("hb"), "b").where(F.least("na", "nb") >= LEAST * F.greatest("na", "nb")).select("a", "b")
@@ -190,9 +220,17 @@ def near_groups(docs: DataFrame) -> DataFrame:
     seen = prints(docs)
     distinct = stored(seen.groupBy("text_id").agg(F.min("doc_id").alias("first_id"), *[F.min(_lane("fp", n)).alias(f"l{n}") for n in range(LANES)])
                       .select("text_id", "first_id", F.struct(*[f"l{n}" for n in range(LANES)]).alias("fp")), "distinct-texts")
-    pairs = candidates(distinct.select("text_id", "fp"))
+    met = meeting(distinct.select("text_id", "fp"))
     firsts = distinct.select("text_id", "first_id")
-    roots = components(verified(pairs, docs, firsts))
+    pairs = candidates(met)
+    # Whoever is in a crowd may be compared again.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("text_id")).union(met.where(F.col("n") > PAIRED).select("text_id"))
+    held = shingle_sets(asked, docs, firsts)
+    links = verified(pairs, held)
+    roots = components(links)
+    further = stored(crossing(met, roots).join(pairs, ["a", "b"], "left_anti"), "further-pairs")  # the others have been checked
+    if further.head(1):
+        roots = components(links.union(verified(further, held)))
     rooted = stored(firsts.join(roots, F.col("text_id") == F.col("node"), "left").select("text_id", "first_id", F.coalesce("root", "text_id").alias("root")), "near-roots")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = stored(rooted.join(stored(ids, "near-ids"), "root").select("text_id", "component_id"), "near-groups")

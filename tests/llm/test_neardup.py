@@ -73,6 +73,21 @@ def test_large_groups_and_crowds_that_are_not_near(spark, monkeypatch):
     assert len(apart) >= 35 and sum(got[a] == got[b] for a, b in apart) >= 0.9 * len(apart)
 
 
+@pytest.mark.parametrize("side", [neardup.SIDE, 8])
+def test_a_crowd_whose_lowest_is_near_nobody_loses_no_pair(spark, monkeypatch, side):
+    """Texts whose fingerprints are near the lowest one's, though the texts are not: each is near to two others of the crowd."""
+    monkeypatch.setattr(neardup, "PAIRED", 1)
+    monkeypatch.setattr(neardup, "SIDE", side)
+    monkeypatch.setattr(neardup, "STRIP", 3)
+    random = np.random.default_rng(8)
+    form, texts = sentence(random, 340), {}
+    for n in range(0, 90, 3):
+        texts[n] = form + " " + sentence(random, 60)
+        texts[n + 1], texts[n + 2] = (changed(random, texts[n], 0.004) for _ in range(2))
+    got, truth = groups_of(spark, texts), plain_near_groups(texts)
+    assert len(set(truth.values())) < 90 and got == truth
+
+
 def test_odd_rows(odd, no_docs):
     got = neardup.near_groups(odd).collect()
     assert len(got) == odd.count()
