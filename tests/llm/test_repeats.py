@@ -6,6 +6,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from marketlake.llm import lines, passages
@@ -193,6 +194,16 @@ def test_fuzzy_passages_are_found_by_the_query(spark):
     assert len(planted) > 100 and len(got & set(planted)) >= 0.9 * len(planted) and not got - {(10 * n + 2, 10 * n + 1) for n in range(120)}
 
 
+def test_seeds_are_sent_in_few_bytes(spark, monkeypatch):
+    """As a shuffle packs them; of 2^15 seeds that nobody shares, in one chunk and eight buckets."""
+    random = np.random.default_rng(1)
+    docs = spark.createDataFrame([(n, " ".join(f"w{w}" for w in random.integers(0, 1 << 40, 1 << 11))) for n in range(16)], SCHEMA).coalesce(1)
+    own = passages.prepare(docs)
+    packets = [[bytes(p) for p in r["planes"]] for r in passages.dealt(own, 8).collect()]
+    assert len(packets) == 8 and sum(len(p[0]) for p in packets) == 16 * ((1 << 11) - passages.K + 1)
+    assert sum(len(pa.compress(p, codec="lz4_raw", asbytes=True)) for planes in packets for p in planes) < 9 * 16 * (1 << 11)
+
+
 def test_chunks_and_buckets_dont_change_what_is_found(spark, given, monkeypatch):
     """One chunk and one bucket against many of both, and every match against a plain search for a seed's first occurrence."""
     docs = spark.createDataFrame(list(zip(given["doc_id"].tolist(), given["text"].tolist())), SCHEMA).coalesce(1)
