@@ -130,6 +130,28 @@ def test_stretches_of_one_unit(spark):
     assert {(r["doc_id"], r["other_id"]) for r in got} == {(2, 1), (5, 4)}
 
 
+@pytest.mark.parametrize("side, copies", [(1024, 1), (8, 12)])
+def test_passages_whose_seeds_others_have_first(spark, monkeypatch, side, copies):
+    """Overlapping pieces of a passage come first, each in documents that lack the rest of it; the last two documents, and two fuzzy ones, share the whole."""
+    monkeypatch.setattr(passages, "SIDE", side)
+    random = np.random.default_rng(11)
+    whole, other = sentence(random, 80).split(), sentence(random, 100).split()
+    docs = []
+    for text in (whole, other):
+        for _ in range(copies):
+            for start in range(0, len(text), 25):
+                docs.append(" ".join([sentence(random, 60), *text[start : start + 30], sentence(random, 60)]))
+    first = len(docs)
+    docs += [" ".join([sentence(random, 90), *whole, sentence(random, 40)]) for _ in range(2)]
+    for changed in (20, 60):
+        docs.append(" ".join([sentence(random, 30), *other[:changed], "changed", *other[changed + 1 :], sentence(random, 30)]))
+    got = passages.passages(spark.createDataFrame(list(enumerate(docs)), SCHEMA).coalesce(1)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == {(first + 1, first), (first + 3, first + 2)}
+    found = {r["doc_id"]: r for r in got}
+    assert len(got) == 2 and (found[first + 1]["start"], found[first + 1]["end"], found[first + 1]["similarity"]) == (90, 170, 1.0)
+    assert (found[first + 3]["start"], found[first + 3]["end"], found[first + 3]["similarity"]) == (30, 130, 0.98)
+
+
 def test_query_finds_every_long_exact_repeat(run, given):
     got = run("op8_substring_dedup")
     flagged = set(got["doc_id"]) | set(got["other_id"])
