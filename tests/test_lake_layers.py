@@ -310,3 +310,25 @@ def test_halt_pairs_stream_equals_batch(spark, lake):
     batch = halts.pair_halts(source.trading_halts(spark, SF_DIR))
     got = halt_stream.halt_pairs(lake).select(*batch.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect()))
+
+
+@pytest.mark.parametrize("tables, with_noise", [(("trades",), False), (("orders",), False), (tuple(source.TABLES), True)])
+def test_feed_partitions_are_in_order_without_a_second_pass(spark, tables, with_noise):
+    """Every line once, later partitions hold later times, and no sort by range, whose sampling would make all lines a first time."""
+    feed = source.feed_in_order(spark, SF_DIR, 7, tables, with_noise)
+    assert "rangepartitioning" not in feed._jdf.queryExecution().executedPlan().toString()
+    assert feed.exceptAll(source.raw_feed(spark, SF_DIR, tables, with_noise)).isEmpty() and feed.count() == source.raw_feed(spark, SF_DIR, tables, with_noise).count()
+    sent = F.coalesce(F.get_json_object("value", "$.data.timestamp"), F.lit(""))
+    parts = feed.groupBy(F.spark_partition_id().alias("p")).agg(F.min(sent).alias("a"), F.max(sent).alias("b"), F.count("*").alias("n")).orderBy("p").collect()
+    assert all(x.b[:19] <= y.a[:19] for x, y in zip(parts, parts[1:])) and len(parts) == 7
+    assert max(p.n for p in parts) < 2 * min(p.n for p in parts)
+
+
+def test_staged_stream_without_gathering_has_the_same_rows(spark, tmp_path):
+    lake, other = (lakes.Lake(spark, str(tmp_path / n), "month") for n in "ab")
+    source.feed_in_order(spark, SF_DIR, 4, ("trades",), False).write.parquet(lake.path("feed", "t"))
+    for to, gather in ((lake, True), (other, False)):
+        staged_stream.keep_staged(feeds.file_stream(spark, lake.path("feed", "t"), max_files=2), to, to.path("_c", "t"), ("trades",), gather=gather)
+    for layer in ("silver", "invalid"):
+        a, b = (x.read(layer, "trades").drop("extra") for x in (lake, other))
+        assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty()
