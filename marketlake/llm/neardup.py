@@ -43,6 +43,8 @@ ALLOWED = 3.0
 PAIRED = 8
 #: Fingerprints of a crowd that meet as many others in one task; rows of them that are compared at once.
 SIDE, STRIP = 2048, 256
+#: Shingles of a block of a crowd, about.
+SHINGLES = 1 << 21
 CHUNK = 1 << 15
 SEED = 42
 
@@ -93,17 +95,18 @@ def fingerprint(hashes: np.ndarray) -> list[int]:
     return np.packbits(2 * ones > max(1, len(hashes))).view(">i8").tolist()
 
 
-def placed(lanes: np.ndarray, chosen: list[list[int]]) -> np.ndarray:
-    """A place for each fingerprint (row of lanes) and choice: a hash of the choice and of its blocks' bits."""
+def placed(lanes: np.ndarray, chosen: list[list[int]], only: list[int] | None = None) -> np.ndarray:
+    """A place for each fingerprint (row of lanes) and choice (or those choices `only`): a hash of the choice and of its blocks' bits."""
     in_lane = 64 // BLOCK
     lanes, mask = lanes.view(np.uint64), np.uint64((1 << BLOCK) - 1)
     blocks = [lanes[:, b // in_lane] >> np.uint64(BLOCK * (b % in_lane)) & mask for b in range(LANES * in_lane)]
-    out = np.empty((len(lanes), len(chosen)), dtype=np.uint64)
-    for n, numbers in enumerate(chosen):
+    only = list(range(len(chosen))) if only is None else only
+    out = np.empty((len(lanes), len(only)), dtype=np.uint64)
+    for column, n in enumerate(only):
         key = np.zeros(len(lanes), dtype=np.uint64)
-        for b in numbers:
+        for b in chosen[n]:
             key = key << np.uint64(BLOCK) | blocks[b]
-        out[:, n] = _mixed(key, n + 1)  # no two of them meet: keys are far shorter than the gaps between the choices' shifts
+        out[:, column] = _mixed(key, n + 1)  # no two of them meet: keys are far shorter than the gaps between the choices' shifts
     return out.view(np.int64)
 
 
@@ -127,19 +130,61 @@ def prints(docs: DataFrame) -> DataFrame:
     return stored(_texts(docs).select("doc_id", "text_id", fp("text").alias("fp")), "wide-prints")
 
 
-def meeting(distinct: DataFrame) -> DataFrame:
-    """(place, n, low, text_id, fp), stored: the texts that meet in a choice, how many they are there, and the lowest of them."""
-    chosen = choices(distinct.count())
+#: Bits of a place: those that name its bucket (some 4,000 buckets) and the others.
+BUCKET, REST = 12, 32
 
-    # As columns, some hundred choices of a dozen blocks each would be an expression of thousands of nodes to plan and compile.
-    @F.pandas_udf("array<long>")
-    def places(fps: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(placed(fps.to_numpy(dtype=np.int64), chosen)))
 
-    dealt = distinct.select("text_id", F.explode(places("fp")).alias("place"))
-    shared = stored(dealt.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("text_id").alias("low")).where("n > 1"), "shared")
-    # Most fingerprints meet nobody; the others' bits join those that do.
-    return stored(stored(dealt.join(shared, "place"), "met-ids").join(distinct, "text_id"), "met")
+def places_of(hashes: np.ndarray) -> np.ndarray:
+    """Places as they are kept: the first bits alone."""
+    return (hashes.view(np.uint64) >> np.uint64(64 - BUCKET - REST)).astype(np.int64)
+
+
+def meeting(distinct: DataFrame, chosen: list[list[int]]) -> DataFrame:
+    """(place, n, lowest, text_id, fp), stored: the texts that meet in a choice, how many they are there, and whether one has the lowest number of them.
+
+    Most texts meet nobody, so that their places go to one of some buckets packed: 32 bits of a place and 16 bits of a text's number, as
+    arrays of bytes. Two places may share these bits; who meets so by chance is told apart by the checks.
+    """
+    spark = distinct.sparkSession
+
+    def deal(batches):
+        for batch in batches:
+            numbers = batch["number"].to_numpy()
+            lanes = batch[[f"l{n}" for n in range(LANES)]].to_numpy()
+            for base in np.unique(numbers >> 16):
+                own = np.flatnonzero(numbers >> 16 == base)
+                places = places_of(placed(lanes[own], chosen)).ravel()
+                buckets = places >> REST
+                order = np.argsort(buckets, kind="stable")
+                rest = places[order].astype(np.uint32)
+                offsets = np.repeat((numbers[own] & 0xFFFF).astype(np.uint16), len(chosen))[order]
+                found, starts = np.unique(buckets[order], return_index=True)
+                ends = np.append(starts[1:], len(order))
+                yield pd.DataFrame({
+                    "bucket": found, "base": int(base) << 16,
+                    "places": [rest[x:y].tobytes() for x, y in zip(starts, ends)], "offsets": [offsets[x:y].tobytes() for x, y in zip(starts, ends)],
+                })
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        rest = np.concatenate([np.frombuffer(x, np.uint32) for x in group["places"]])
+        numbers = np.concatenate([base + np.frombuffer(x, np.uint16).astype(np.int64) for base, x in zip(group["base"], group["offsets"])])
+        order = np.lexsort((numbers, rest))
+        rest, numbers = rest[order], numbers[order]
+        starts = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+        counts = np.diff(np.append(starts, len(rest)))
+        n, lowest = np.repeat(counts, counts), np.zeros(len(rest), dtype=bool)
+        lowest[starts] = True
+        met = n > 1
+        place = (int(group["bucket"].iloc[0]) << REST) + rest[met].astype(np.int64)
+        return pd.DataFrame({"place": place, "n": n[met], "lowest": lowest[met], "number": numbers[met]})
+
+    lanes = distinct.select("number", *[F.col(f"fp.l{n}").alias(f"l{n}") for n in range(LANES)])
+    packed = lanes.mapInPandas(deal, "bucket long, base long, places binary, offsets binary")
+    # By the number of partitions asked for: the bytes are few.
+    packed = packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
+    met = stored(packed.groupBy("bucket").applyInPandas(meet, "place long, n long, lowest boolean, number long"), "met-ids")
+    # The others' bits join those that meet somebody.
+    return stored(met.join(distinct, "number").select("place", "n", "lowest", "text_id", "fp"), "met")
 
 
 def candidates(met: DataFrame) -> DataFrame:
@@ -147,46 +192,93 @@ def candidates(met: DataFrame) -> DataFrame:
     few, crowded = met.where(F.col("n") <= PAIRED), met.where(F.col("n") > PAIRED)
     pairs = few.select("place", F.col("text_id").alias("a"), F.col("fp").alias("fa")).join(few.select("place", F.col("text_id").alias("b"), F.col("fp").alias("fb")), "place")
     pairs = pairs.where((F.col("a") < F.col("b")) & (_distance("fa", "fb") <= RADIUS)).select("a", "b")
-    lowest = crowded.where("text_id = low").select("place", F.col("fp").alias("fb"))
-    against = crowded.where("text_id <> low").join(lowest, "place").where(_distance("fp", "fb") <= RADIUS)
-    return stored(pairs.union(against.select(F.col("low").alias("a"), F.col("text_id").alias("b"))).distinct(), "candidates")
+    lowest = crowded.where("lowest").select("place", F.col("text_id").alias("low"), F.col("fp").alias("fb"))
+    against = crowded.where("NOT lowest").join(lowest, "place").where(_distance("fp", "fb") <= RADIUS)
+    return stored(pairs.union(against.select(F.least("low", "text_id").alias("a"), F.greatest("low", "text_id").alias("b"))).distinct(), "candidates")
+
 
+def _strips(left: np.ndarray, right: np.ndarray, lanes: np.ndarray, root: np.ndarray):
+    """Rows (x, y) of texts in different groups whose fingerprints differ in at most RADIUS bits, strip by strip."""
+    for start in range(0, len(left), STRIP):
+        strip = left[start : start + STRIP]
+        distance = np.zeros((len(strip), len(right)), dtype=np.uint16)
+        for n in range(LANES):
+            distance += np.bitwise_count(lanes[strip, n][:, None] ^ lanes[right, n][None, :])
+        x, y = np.nonzero((distance <= RADIUS) & (root[strip][:, None] != root[right][None, :]))
+        yield strip[x], right[y]
 
-def crossing(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b), stored: all pairs of a crowd whose fingerprints differ in at most RADIUS bits and that are in different groups so far.
 
-    A crowd is dealt into blocks; a task compares one block with one.
+def _sides(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    first = group["own"].to_numpy() == group["i"].iloc[0]
+    return np.flatnonzero(first), np.flatnonzero(first if group["i"].iloc[0] == group["j"].iloc[0] else ~first)
+
+
+def crossing(met: DataFrame, roots: DataFrame, held: DataFrame, chosen: list[list[int]]) -> DataFrame:
+    """(a, b), stored: links between texts of a crowd that are near and in different groups so far.
+
+    A crowd is dealt into blocks of a bounded number of texts and shingles; a task compares one block with one. First by the fingerprints: who has a pair within RADIUS
+    that meets in no earlier choice stays. Then by the sets of shingles, which go to the blocks of those that stayed. A block gives no more
+    links than it has texts, as a pair that is joined by then adds nothing; pairs themselves are never rows.
     """
+    bits = [f"l{n}" for n in range(LANES)]
     crowded = met.where(F.col("n") > PAIRED).join(roots, F.col("text_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "text_id"))
-    crowded = stored(crowded.select("place", "n", "text_id", "root", *[_lane("fp", n).alias(f"l{n}") for n in range(LANES)]), "crowds")
-    mixed = crowded.groupBy("place").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("place")
-    number = F.ceil(F.col("n") / SIDE).cast("int")
+    crowded = crowded.join(held.select("text_id", "size"), "text_id")
+    crowded = stored(crowded.select("place", "text_id", "root", "size", *[_lane("fp", n).alias(f"l{n}") for n in range(LANES)]), "crowds")
+    number = F.ceil(F.greatest(F.count(F.lit(1)) / SIDE, F.sum("size") / SHINGLES)).cast("int")
+    mixed = crowded.groupBy("place").agg(F.min("root").alias("least"), F.max("root").alias("most"), number.alias("blocks")).where("least < most")
     dealt = (
-        crowded.join(mixed, "place", "left_semi")
-        .withColumn("own", F.pmod(F.xxhash64("text_id"), number).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), number - 1)))
-        .select("place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "root", *[f"l{n}" for n in range(LANES)])
+        crowded.join(mixed, "place")
+        .withColumn("own", F.pmod(F.xxhash64("text_id"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("place", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "text_id", "root", *bits)
     )
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        ids, root, own = (group[c].to_numpy() for c in ("text_id", "root", "own"))
-        lanes = group[[f"l{n}" for n in range(LANES)]].to_numpy().view(np.uint64)
-        within, first = group["i"].iloc[0] == group["j"].iloc[0], own == group["i"].iloc[0]
-        left, right = np.flatnonzero(first), np.flatnonzero(first if within else ~first)
-        found = []
-        for start in range(0, len(left), STRIP):
-            strip = left[start : start + STRIP]
-            distance = np.zeros((len(strip), len(right)), dtype=np.uint16)
-            for n in range(LANES):
-                distance += np.bitwise_count(lanes[strip, n][:, None] ^ lanes[right, n][None, :])
-            x, y = np.nonzero((distance <= RADIUS) & (root[strip][:, None] != root[right][None, :]))
-            found.append(np.stack([ids[strip[x]], ids[right[y]]], axis=1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-        pairs = np.sort(pairs[pairs[:, 0] < pairs[:, 1]] if within else pairs, axis=1)
-        return pd.DataFrame(pairs, columns=["a", "b"])
-
+    uses = np.zeros((BITS // BLOCK, len(chosen)), dtype=np.float32)
+    for n, numbers in enumerate(chosen):
+        uses[numbers, n] = 1
+
+    def stay(group: pd.DataFrame) -> pd.DataFrame:
+        lanes, root = group[bits].to_numpy().view(np.uint64), group["root"].to_numpy()
+        wanted, kept = group["place"].iloc[0], np.zeros(len(group), dtype=bool)
+        for x, y in _strips(*_sides(group), lanes, root):
+            for start in range(0, len(x), CHUNK):
+                u, v = x[start : start + CHUNK], y[start : start + CHUNK]
+                differ = np.unpackbits((lanes[u] ^ lanes[v]).astype(">u8").view(np.uint8).reshape(len(u), LANES, 8), axis=2)
+                # A lane's blocks are numbered from its last bits on.
+                differ = differ.reshape(len(u), LANES, 64 // BLOCK, BLOCK).any(axis=3)[:, :, ::-1].reshape(len(u), -1)
+                agree = differ.astype(np.float32) @ uses == 0
+                first = agree.argmax(axis=1)
+                here = agree[np.arange(len(u)), first]
+                for choice in np.unique(first[here]).tolist():
+                    of = here & (first == choice)
+                    at = places_of(placed(lanes[u[of]].view(np.int64), chosen, [choice])[:, 0]) == wanted
+                    kept[u[of][at]] = kept[v[of][at]] = True
+        return group[kept]
+
+    def check(group: pd.DataFrame) -> pd.DataFrame:
+        ids, root, size = group["text_id"].to_numpy(), group["root"].to_numpy().copy(), group["size"].to_numpy()
+        lanes, sets = group[bits].to_numpy().view(np.uint64), group["held"].to_numpy()
+        ends = np.cumsum([0, *[len(held) for held in sets]])
+        known, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        of, links = np.zeros(len(known), dtype=bool), []
+        for x, y in _strips(*_sides(group), lanes, root):
+            near_size = np.minimum(size[x], size[y]) >= LEAST * np.maximum(size[x], size[y])
+            for u in np.unique(x[near_size]):
+                mine = codes[ends[u] : ends[u + 1]]
+                of[mine] = True
+                for v in y[near_size & (x == u)]:
+                    if root[u] != root[v]:
+                        both = int(of[codes[ends[v] : ends[v + 1]]].sum())
+                        if both >= LEAST * (size[u] + size[v] - both):
+                            links.append((min(ids[u], ids[v]), max(ids[u], ids[v])))
+                            root[root == root[v]] = root[u]
+                of[mine] = False
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    schema = "place long, i int, j int, own int, text_id long, root long, " + ", ".join(f"{b} long" for b in bits)
     # By the number of partitions asked for: the blocks are few bytes and much work, so that they must not be put together by size.
-    dealt = dealt.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), "place", "i", "j")
-    return stored(dealt.groupBy("place", "i", "j").applyInPandas(compare, "a long, b long").distinct(), "crossing")
+    parts, block = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["place", "i", "j"]
+    stayed = stored(dealt.repartition(parts, *block).groupBy(*block).applyInPandas(stay, schema), "stayed")
+    blocks = stayed.join(held, "text_id").repartition(parts, *block)
+    return stored(blocks.groupBy(*block).applyInPandas(check, "a long, b long").distinct(), "crossing")
 
 
 def shingle_sets(asked: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -219,8 +311,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, text_id, component_id) of every document: the smallest doc_id reachable over pairs of near texts."""
     seen = prints(docs)
     distinct = stored(seen.groupBy("text_id").agg(F.min("doc_id").alias("first_id"), *[F.min(_lane("fp", n)).alias(f"l{n}") for n in range(LANES)])
-                      .select("text_id", "first_id", F.struct(*[f"l{n}" for n in range(LANES)]).alias("fp")), "distinct-texts")
-    met = meeting(distinct.select("text_id", "fp"))
+                      .select("text_id", "first_id", F.monotonically_increasing_id().alias("number"), F.struct(*[f"l{n}" for n in range(LANES)]).alias("fp")), "distinct-texts")
+    chosen = choices(distinct.count())
+    met = meeting(distinct, chosen)
     firsts = distinct.select("text_id", "first_id")
     pairs = candidates(met)
     # Whoever is in a crowd may be compared again.
@@ -228,9 +321,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     held = shingle_sets(asked, docs, firsts)
     links = verified(pairs, held)
     roots = components(links)
-    further = stored(crossing(met, roots).join(pairs, ["a", "b"], "left_anti"), "further-pairs")  # the others have been checked
+    further = crossing(met, roots, held, chosen)
     if further.head(1):
-        roots = components(links.union(verified(further, held)))
+        roots = components(links.union(further))
     rooted = stored(firsts.join(roots, F.col("text_id") == F.col("node"), "left").select("text_id", "first_id", F.coalesce("root", "text_id").alias("root")), "near-roots")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     groups = stored(rooted.join(stored(ids, "near-ids"), "root").select("text_id", "component_id"), "near-groups")

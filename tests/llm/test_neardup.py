@@ -115,3 +115,15 @@ def test_places_are_those_of_the_chosen_blocks():
     got = neardup.placed(lanes, chosen).tolist()
     pairs = {(key, place) for k, p in zip(keys, got) for key, place in zip(k, p)}
     assert len(pairs) == len({k for k, _ in pairs}) == len({p for _, p in pairs})
+
+
+def test_pairs_of_a_crowd_that_are_not_near_never_become_rows(spark, monkeypatch):
+    """All fingerprints of a crowd are within the radius and its texts are not near: rows that are joined don't grow with its square."""
+    monkeypatch.setattr(neardup, "PAIRED", 1)
+    random, asked, plain = np.random.default_rng(8), [], neardup.verified
+    form = sentence(random, 340)
+    texts = {n: form + " " + sentence(random, 50) for n in range(160)}
+    texts[160] = changed(random, texts[100], 0.004)
+    monkeypatch.setattr(neardup, "verified", lambda pairs, held: asked.append(pairs.count()) or plain(pairs, held))
+    assert groups_of(spark, texts) == plain_near_groups(texts)
+    assert sum(asked) < 161 * 160 / 2 / 4, asked
