@@ -1,6 +1,7 @@
 """Line dedup and substring dedup against brute force."""
 
 import hashlib
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
@@ -246,3 +247,26 @@ def test_chunks_and_buckets_dont_change_what_is_found(spark, given, monkeypatch)
     assert pairs == {p for p, found in expected.items() if passages.dense([a for a, _ in sorted(found)], [b for _, b in sorted(found)])}
     split = passages.passages(docs).toPandas().sort_values(columns).reset_index(drop=True)
     assert len(whole) and split.equals(whole)
+
+
+def test_second_look_holds_slices_of_what_it_makes():
+    """The groups of words around a frequent seed's occurrences are handed on before a whole batch of documents has been read, and pairs that are met again aren't kept."""
+    random = np.random.default_rng(3)
+    padded = [passages._around(random.integers(0, 1 << 15, 400).astype("<u2")) for _ in range(600)]
+    asked = [{"seed": 5, "at": at, "free": at % 2 == 0} for at in range(0, 395, 20)]
+    columns = ["key", "seed", "row", "at", "free"]
+    number = sum(part.shape[1] for part in passages._keys_around(0, padded[0], asked))
+    tracemalloc.start()
+    got = most = 0
+    for frame in passages._slices((part for row, words in enumerate(padded) for part in passages._keys_around(row, words, asked)), columns):
+        got, most = got + len(frame), max(most, len(frame))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    pairs = np.stack([np.repeat(np.arange(100), 100), np.tile(np.arange(100), 100)], axis=1)[::-1]
+    found = passages._without_repeats(pairs.copy() for _ in range(1000))
+    again = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert abs(got - 600 * number) < 600 and most < passages.SLICE + 200
+    assert peak < 25e6 and again < 25e6  # all keys are 56 MB, all pairs 160 MB, and a frame of them twice that
+    assert found.tolist() == pairs[::-1].tolist()
+    assert len(passages._without_repeats(iter([]))) == 0
