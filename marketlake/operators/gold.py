@@ -194,16 +194,33 @@ def agent_flows(trades: DataFrame) -> DataFrame:
     volume = {f"v_{n}": c for n, c in amount_limbs(F.col("quantity_cast")).items()}
     sides = F.array(*[F.struct(F.col(agent).alias("agent_id"), F.lit(sign).cast("bigint").alias("sign")) for agent, sign in (("buyer_agent_id", -1), ("seller_agent_id", 1))])
     rows = trades.select("symbol", _trade_day(), *[c.alias(n) for n, c in {**cash, **volume}.items()], F.inline(sides))
-    sums = rows.groupBy("agent_id", *DAY_KEY).agg(
-        *[F.sum(F.col("sign") * F.col(n)).alias(n) for n in cash], *[F.sum(n).alias(n) for n in volume], F.count(F.lit(1)).alias("trade_count"),
-    )
+    return _flow_sums(rows, "agent_id", [F.sum(F.col("sign") * F.col(n)).alias(n) for n in cash], [F.sum(n).alias(n) for n in volume])
+
+
+def _flow_sums(rows: DataFrame, of: str, cash: list[Column], volume: list[Column]) -> DataFrame:
+    """Flows of an agent or a type, symbol and day, out of the sums of limbs."""
+    sums = rows.groupBy(of, *DAY_KEY).agg(*cash, *volume, F.count(F.lit(1)).alias("trade_count"))
     part = lambda prefix: {n: F.col(f"{prefix}_{n}") for n in ("low", "mid", "high")}
     return sums.select(
-        "agent_id", *DAY_KEY, notional_sum(part("c")).alias("_cash"), F.col("c_rest").alias("_cash_rest"),
+        of, *DAY_KEY, notional_sum(part("c")).alias("_cash"), F.col("c_rest").alias("_cash_rest"),
         amount_sum(part("v")).alias("_volume"), F.col("v_rest").alias("_volume_rest"), "trade_count",
     )
 
 
+def typed_flows(trades: DataFrame, registry: DataFrame) -> DataFrame:
+    """Cash, volume and trade count per agent type, symbol and day, for trades that no flows per agent are kept of.
+
+    Each side meets the registry as it is, with price and quantity, and is summed up where it met it: sides are moved once, and are not
+    sorted. An agent behind a third of all trades is split among tasks by AQE; its type is one row in each of them.
+    """
+    sides = F.array(*[F.struct(F.col(agent).alias("agent_id"), F.lit(sign).cast("tinyint").alias("sign")) for agent, sign in (("buyer_agent_id", -1), ("seller_agent_id", 1))])
+    rows = trades.select("symbol", _trade_day(), "price_cast", "quantity_cast", F.inline(sides))
+    typed = rows.join(registry.hint("shuffle_hash"), "agent_id", "left").withColumn("agent_type", F.coalesce("agent_type", F.lit("unknown")))
+    cash = {f"c_{n}": c for n, c in notional_limbs(F.col("price_cast"), F.col("quantity_cast")).items()}
+    volume = {f"v_{n}": c for n, c in amount_limbs(F.col("quantity_cast")).items()}
+    return _flow_sums(typed, "agent_type", [F.sum(F.col("sign").cast("bigint") * c).alias(n) for n, c in cash.items()], [F.sum(c).alias(n) for n, c in volume.items()])
+
+
 def type_flows(flows: DataFrame, registry: DataFrame) -> DataFrame:
     """The agents' flows with the type of each; agents that the registry doesn't know are of type unknown."""
     agent_type = F.coalesce("agent_type", F.lit("unknown")).alias("agent_type")
@@ -232,12 +249,8 @@ def daily_pnl(by_symbol: DataFrame) -> DataFrame:
 
 
 def agent_pnl_by_symbol(trades: DataFrame, registry: DataFrame) -> DataFrame:
-    """P&L, volume and trade count per agent type, symbol and day.
-
-    Sides are summed per agent, symbol and day before they meet the registry, so an agent behind a third
-    of all trades joins with a few rows.
-    """
-    return pnl_by_symbol(type_flows(agent_flows(trades), registry))
+    """P&L, volume and trade count per agent type, symbol and day."""
+    return pnl_by_symbol(typed_flows(trades, registry))
 
 
 def agent_pnl(

@@ -92,10 +92,11 @@ def staged_trades(spark, d):
     return staging.trades(source.trades(spark, d))
 
 
-def kept_trades(spark, d):
-    """As `staged_trades`, by a stored copy of the trades: they are made once instead of for each pass, and the table isn't shuffled for its labels."""
+def kept_trades(spark, d, *without):
+    """As `staged_trades`, by a stored copy of the trades: they are made once instead of for each pass, and the table isn't shuffled for its labels.
+    Columns that a query doesn't ask for needn't be stored."""
     lake = scratch_lake(spark, "trades")
-    return staging.trades(lake.settle("sent")(source.trades(spark, d)), lake.settle("firsts"))
+    return staging.trades(lake.settle("sent")(source.trades(spark, d).drop(*without)), lake.settle("firsts"))
 
 
 def staged_orders(spark, d):
@@ -106,8 +107,8 @@ def staged_quotes(spark, d):
     return staging.quotes(source.quotes(spark, d))
 
 
-def good_trades(spark, d):
-    return promote.silver(kept_trades(spark, d))
+def good_trades(spark, d, *without):
+    return promote.silver(kept_trades(spark, d, *without))
 
 
 def good_orders(spark, d):
@@ -128,8 +129,12 @@ def quality(spark, d):
     return gold.market_quality(good_quotes(spark, d), trades)
 
 
+# What P&L knows nothing of.
+NOT_FOR_PNL = ("buy_order_id", "sell_order_id", "is_aggressive_buy")
+
+
 def pnl(spark, d):
-    return gold.agent_pnl(good_trades(spark, d), good_orders(spark, d))
+    return gold.agent_pnl(good_trades(spark, d, *NOT_FOR_PNL), good_orders(spark, d))
 
 
 # --- bronze -------------------------------------------------------------------------------------
@@ -564,6 +569,10 @@ def check_agent_fill_rate(spark, d):
     return suites.agent_fill_rate().result(analysis.agent_fill_rate(good_orders(spark, d)))
 
 
+# Columns of trades that no suite and no gold table reads.
+NOT_CHECKED = ("buy_order_id", "sell_order_id")
+
+
 def _suite_results(spark, d):
     """All suites over silver and gold tables that are stored once; gold is made of the stored silver."""
     lake = scratch_lake(spark, "suites")
@@ -573,7 +582,7 @@ def _suite_results(spark, d):
         layers.together(*[functools.partial(lake.replace, df, layer, name, None) for name, df in frames.items()])
         return [lake.read(layer, name, df.schema) for name, df in frames.items()]
 
-    trades, orders, quotes = keep("silver", trades=good_trades(spark, d), orders=good_orders(spark, d), quotes=good_quotes(spark, d))
+    trades, orders, quotes = keep("silver", trades=good_trades(spark, d, *NOT_CHECKED), orders=good_orders(spark, d), quotes=good_quotes(spark, d))
     own = promote.silver(staging.trades(source.event_trades(spark, d)))
     ohlcv, market_quality, agent_pnl = keep(
         "gold", ohlcv=gold.ohlcv(trades, source.market_stats(spark, d)), market_quality=gold.market_quality(quotes, own),

@@ -1,10 +1,11 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import analysis, gold, halts, staging
+from marketlake.operators import analysis, gold, halts, promote, staging
 from marketlake.operators.timeline import carry_last, running_sums
 
 STATS = "event_type string, event_id string, symbol string, timestamp string, vwap double, volume double"
@@ -200,3 +201,16 @@ def test_agent_pnl_is_zero_sum_on_the_given_tables(spark):
 
 def test_staged_trades_feed_gold(trades):
     assert gold.trade_bars(staging.trades(trades)).count() == 5
+
+
+def test_batch_pnl_moves_each_side_once(spark, trades, orders):
+    good = promote.silver(staging.trades(trades.unionByName(trades.withColumns({
+        "event_id": F.concat("event_id", F.lit("b")), "trade_id": F.concat("trade_id", F.lit("b")), "buyer_agent_id": F.lit(None).cast("string"), "price": F.col("price") * 3,
+    }))))
+    registry = gold.agent_registry(promote.silver_orders(staging.orders(orders)))
+    found = gold.agent_pnl_by_symbol(good, registry)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(agent_id#\d+, symbol", plan), "sides are summed per agent first, and their sums moved again"
+    assert "ShuffledHashJoin" in plan, "sides are sorted to meet the registry"
+    by_agent = gold.pnl_by_symbol(gold.type_flows(gold.agent_flows(good), registry))
+    assert sorted(map(str, found.collect())) == sorted(map(str, by_agent.collect())) and found.count() > 0
