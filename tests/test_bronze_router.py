@@ -135,3 +135,29 @@ def test_undeclared_keys_keep_their_types(spark):
                           "is_variant_null(variant_get(extra_typed, '$.d', 'variant')) AS none", "to_json(extra_typed) AS text").orderBy("event_id").collect()
     assert (got[0].flag, got[0].n, got[0].none, got[0].text) == (True, 2, True, '{"a":1,"b":{"c":[true,null,"x"]},"d":null}')
     assert got[1].text is None
+
+
+def test_payloads_without_other_keys_are_told_without_a_second_parse(spark):
+    """What is sure to have no other key is right, plain payloads are sure, and the keys found are the same as by looking at all payloads."""
+    plain = '{"event_type":"TradeExecuted","event_id":"1","timestamp":"2024-01-15T09:30:00+00:00","symbol":"a:b","price":1.5'
+    sent = [
+        plain + "}", plain + ' , "quantity" : {"a":{"b":":"}} }', plain + ',"quantity":null}', plain + ',"price":"2"}', plain + ',"venue":null}',
+        plain + ',"venue":"x"}', plain + ',"ve:nue":1}', plain + ',"":1}', plain + ',"quantity":"\\u003a","v":1}', plain + ',"quantity":"a\\u003a"}',
+        plain + ',"n":{"price":1}}', plain + '} {"v":1}', "{'event_id':'1','v':'2'}", "{}",
+    ]
+    rows = bronze.decode(lines(spark, sent), "trades").filter("_corrupt IS NULL")
+    got = rows.select("_raw", bronze._no_others(F.col("_raw"), "trades").alias("sure"), bronze.extra_keys(F.col("_raw"), "trades").alias("extra")).collect()
+    declared = set(bronze.wire_schema("trades").names)
+    for r in got:
+        others = {k for k in json.JSONDecoder().raw_decode(r._raw.replace("'", '"'))[0] if k not in declared}
+        assert set(r.extra or {}) == others and not (r.sure and others), r._raw
+    assert len(got) == len(sent) and [r._raw for r in got if r.sure][:2] == sent[:2]
+
+
+def test_heads_of_payloads(spark):
+    """The head of a known event is the same as one made for an event by its name, escapes included."""
+    names = ["TradeExecuted", "TradingHalt", 'a"b', "Neu\u00e9", "back\\slash"]
+    sent = [json.dumps({"event_type": n, "data": {"event_id": "1", "x": [1]}}, ensure_ascii=False) for n in names] + ['{"event_type":"X","data":"{ }"}', '{"event_type":"X","data":"{ \\"a\\":1}"}']
+    got = router.route(lines(spark, sent)).collect()
+    assert [json.loads(r.value) for r in got[:5]] == [{"event_type": n, "event_id": "1", "x": [1]} for n in names]
+    assert [r.disposition for r in got[5:]] == ["malformed_envelope", "published"]
