@@ -332,3 +332,18 @@ def test_staged_stream_without_gathering_has_the_same_rows(spark, tmp_path):
     for layer in ("silver", "invalid"):
         a, b = (x.read(layer, "trades").drop("extra") for x in (lake, other))
         assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty()
+
+
+def test_unique_trades_are_written_once_without_gathering(spark, tmp_path):
+    """The same rows by date, and no copy of a batch is stored on the way."""
+    found = []
+    for name, gather in (("a", True), ("b", False)):
+        lake = lakes.Lake(spark, str(tmp_path / name), "month")
+        source.feed_in_order(spark, SF_DIR, 4, ("trades",), False).write.parquet(lake.path("feed", "t"))
+        messages = router.published(router.route(feeds.file_stream(spark, lake.path("feed", "t"), max_files=2)))
+        rows = staging.trades_labelled(bronze.from_topics(messages, "trades", keep_extra=False)).filter("_validation_status = 'valid'")
+        unique = trade_stream.drop_duplicates(rows, staging.TRADE_KEY, "2 days")
+        trade_stream.publish_unique(unique, lake, lake.path("_c", "t"), gather=gather)
+        assert ("_work" in lake.names(lake.base)) == gather
+        found.append(trade_stream.unique_trades(lake).select("trade_id", "symbol", "timestamp", "price", "quantity", lakes.EVENT_DATE))
+    assert found[0].count() == found[1].count() > 0 and found[0].exceptAll(found[1]).isEmpty()
