@@ -347,3 +347,15 @@ def test_unique_trades_are_written_once_without_gathering(spark, tmp_path):
         assert ("_work" in lake.names(lake.base)) == gather
         found.append(trade_stream.unique_trades(lake).select("trade_id", "symbol", "timestamp", "price", "quantity", lakes.EVENT_DATE))
     assert found[0].count() == found[1].count() > 0 and found[0].exceptAll(found[1]).isEmpty()
+
+
+def test_incremental_feed_is_made_once(spark, lake):
+    """Each line in one batch, read back from what was stored."""
+    from marketlake.plans import queries
+
+    feed_ = source.raw_feed(spark, SF_DIR, ("quotes",), False)
+    lines = queries._by_batch(lake, feed_, F.pmod(F.crc32("value"), F.lit(3)).cast("int"))
+    parts = [lines(n) for n in range(3)]
+    assert all("Join" not in p._jdf.queryExecution().executedPlan().toString() and p.inputFiles() for p in parts)
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert both.count() == feed_.count() and both.exceptAll(feed_).isEmpty()
